@@ -1,0 +1,124 @@
+"""Statistics of a trailing frame, from exact running sums.
+
+On a complete grid the sums over a frame are the difference of two running
+sums, so the cost per row does not grow with the frame. The running sums of an
+integer target are kept as integers and decimals: they are exact, whatever the
+order of addition, and differences do not cancel.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, Window, functions as F
+from pyspark.sql.window import WindowSpec
+
+WHOLE = "decimal(38,0)"
+LOG = "decimal(38,17)"
+
+
+def running_sums(target: Column, step_index: Column, window: WindowSpec) -> Column:
+    """Struct of running sums up to the current row; null targets do not count."""
+    upto = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    x = target.cast("decimal(19,0)")
+    t = F.when(target.isNotNull(), step_index.cast("decimal(19,0)"))
+    square = (x * x).cast(WHOLE)
+
+    def total(column: Column, kind: str) -> Column:
+        return F.coalesce(F.sum(column).over(upto), F.lit(0)).cast(kind)
+
+    return F.struct(
+        F.count(target).over(upto).alias("n"),
+        total(x, WHOLE).alias("s1"),
+        total(square, WHOLE).alias("s2"),
+        total((square * x).cast(WHOLE), WHOLE).alias("s3"),
+        total((square * square).cast(WHOLE), WHOLE).alias("s4"),
+        total(F.ln(target.cast("double") + 1).cast("decimal(28,17)"), LOG).alias("log"),
+        total(t, WHOLE).alias("t1"),
+        total((t * t).cast(WHOLE), WHOLE).alias("t2"),
+        total((t * x).cast(WHOLE), WHOLE).alias("tx"),
+    )
+
+
+SUM_FIELDS = ("n", "s1", "s2", "s3", "s4", "log", "t1", "t2", "tx")
+
+
+def frame_sums(end: Column, before: Column) -> Column:
+    """Sums over a frame: running sums at its end less those just before its start.
+
+    ``before`` is null where the frame starts at or before the first row.
+    """
+    return F.struct(
+        *(
+            (end.getField(f) - F.coalesce(before.getField(f), F.lit(0)))
+            .cast("long" if f == "n" else LOG if f == "log" else WHOLE)
+            .alias(f)
+            for f in SUM_FIELDS
+        )
+    )
+
+
+def centred_sums(f: Column) -> Column:
+    """Power sums about a whole number next to the mean (exact, so well conditioned)."""
+    c = F.when(f["n"] > 0, F.round(f["s1"].cast("double") / f["n"])).cast("decimal(19,0)")
+    n = f["n"].cast("decimal(19,0)")
+    s1, s2, s3, s4 = (f[k] for k in ("s1", "s2", "s3", "s4"))
+
+    def whole(column: Column) -> Column:
+        return column.cast(WHOLE)
+
+    d1 = whole(s1 - n * c)
+    d2 = whole(s2 - c * whole(2 * s1 - n * c))
+    d3 = whole(s3 - c * whole(3 * s2 - c * whole(3 * s1 - n * c)))
+    d4 = whole(s4 - c * whole(4 * s3 - c * whole(6 * s2 - c * whole(4 * s1 - n * c))))
+    t_top = whole(whole(n * f["tx"]) - whole(f["t1"] * s1))
+    t_low = whole(whole(n * f["t2"]) - whole(f["t1"] * f["t1"]))
+    return F.struct(
+        f["n"].cast("double").alias("n"),
+        s1.alias("s1"),
+        s2.alias("s2"),
+        f["log"].alias("log"),
+        d1.cast("double").alias("d1"),
+        d2.cast("double").alias("d2"),
+        d3.cast("double").alias("d3"),
+        d4.cast("double").alias("d4"),
+        t_top.cast("double").alias("t_top"),
+        t_low.cast("double").alias("t_low"),
+    )
+
+
+def central_moments(c: Column) -> Column:
+    """Population central moments of order 2 to 4."""
+    n, e = c["n"], c["d1"] / c["n"]
+    a2, a3, a4 = c["d2"] / n, c["d3"] / n, c["d4"] / n
+    moments = F.struct(
+        (a2 - e * e).alias("m2"),
+        (a3 - 3 * e * a2 + 2 * e * e * e).alias("m3"),
+        (a4 - 4 * e * a3 + 6 * e * e * a2 - 3 * e * e * e * e).alias("m4"),
+    )
+    return F.when(n > 0, moments)
+
+
+def sample_skew(n: Column, g1: Column) -> Column:
+    """Bias-corrected skewness from the population one; null below three values."""
+    return F.when(n >= 3, g1 * F.sqrt(n * (n - 1)) / (n - 2))
+
+
+def sample_kurtosis(n: Column, g2: Column) -> Column:
+    """Bias-corrected excess kurtosis from the population one; null below four values."""
+    return F.when(n >= 4, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6))
+
+
+def moment_statistics(c: Column, m: Column, step_seconds: int) -> dict[str, Column]:
+    """Named statistics of a frame from its centred sums and central moments."""
+    n, some, spread = c["n"], c["n"] > 0, (c["n"] > 1) & (m["m2"] > 0)
+    g1 = m["m3"] / F.pow(m["m2"], F.lit(1.5))
+    g2 = m["m4"] / (m["m2"] * m["m2"]) - 3
+    return {
+        "avg": F.when(some, c["s1"].cast("double") / n),
+        "std": F.when(n > 1, F.sqrt(m["m2"] * n / (n - 1))),
+        "skew": F.when(spread, sample_skew(n, g1)),
+        "kurt": F.when(spread, sample_kurtosis(n, g2)),
+        "geomean": F.when(some, F.exp(c["log"].cast("double") / n) - 1),
+        "sum": F.when(some, c["s1"]).cast("long"),
+        "abs_energy": F.when(some, c["s2"]).cast("double"),
+        "slope": F.when(c["t_low"] > 0, c["t_top"] / c["t_low"] / step_seconds),
+    }

@@ -1,0 +1,83 @@
+"""Minimum, maximum and discrete quantiles of sliding frames.
+
+Spark refuses exact quantiles over a window frame and re-reads the whole frame
+per row for the approximate one. Here Spark hands over one block of one series
+per row, as arrays, and the sliding is done with pandas' rolling structures,
+whose cost per row grows with the logarithm of the frame.
+"""
+
+from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import functions as F
+
+QUANTILES = {"q25": 0.25, "q50": 0.50, "q75": 0.75}
+ORDER_STATISTICS = ("min", *QUANTILES, "max")
+
+
+def order_statistics(frames: dict[str, int | None], horizon_seconds: int):
+    """A pandas UDF over arrays, one input row per block.
+
+    ``frames`` gives per frame name its length in seconds, or None where the
+    frame starts come as an array of their own (calendar months). Input struct:
+    ``t`` epoch seconds ascending, ``x`` values (NaN for null), ``own`` the first
+    second of the block, and one array per None frame. Output struct: arrays
+    ``<stat>_<frame>``, NaN for rows before the block.
+    """
+    names = [f"{stat}_{frame}" for frame in frames for stat in ORDER_STATISTICS]
+    quantiles = dict(QUANTILES)
+
+    # Everything used inside is local, so executors need no copy of this package.
+    @F.pandas_udf(", ".join(f"`{name}` array<double>" for name in names))
+    def sliding(block: pd.DataFrame) -> pd.DataFrame:
+        import numpy as np
+        from pandas.api.indexers import BaseIndexer
+
+        class Given(BaseIndexer):
+            def get_window_bounds(self, num_values=0, min_periods=None, center=None, closed=None, step=None):
+                return self.lo, self.hi
+
+        def discrete(n, q):
+            """Position of the discrete quantile among n sorted values."""
+            return np.ceil(q * n) - 1
+
+        out = {name: [] for name in names}
+        for row in block.to_dict("records"):
+            t, x = np.asarray(row["t"]), np.asarray(row["x"], dtype="float64")
+            own = t >= row["own"]
+            series = pd.Series(x)
+            end = t - horizon_seconds
+            hi = np.where(own, np.searchsorted(t, end, side="right"), 0)
+            for frame, seconds in frames.items():
+                start = np.asarray(row[frame]) if seconds is None else end - seconds
+                lo = np.where(own, np.searchsorted(t, start, side="left"), 0)
+                # Month frames step back at month ends. Rolling needs starts that
+                # only advance; the few rows that step back are done one by one.
+                steady = np.maximum.accumulate(lo)
+                back = np.flatnonzero(lo < steady)
+                rolling = series.rolling(Given(lo=steady, hi=hi), min_periods=1)
+                n = rolling.count().to_numpy()
+                found = {"min": rolling.min().to_numpy(copy=True), "max": rolling.max().to_numpy(copy=True)}
+                for name, q in quantiles.items():
+                    value = rolling.quantile(q, interpolation="lower").to_numpy(copy=True)
+                    # The discrete position is one of the two neighbours of q*(n-1).
+                    upper = (n > 0) & (discrete(n, q) > np.floor(q * (n - 1)))
+                    if upper.any():
+                        above = rolling.quantile(q, interpolation="higher").to_numpy()
+                        value[upper] = above[upper]
+                    found[name] = value
+                for i in back:
+                    values = x[lo[i]:hi[i]]
+                    values = np.sort(values[~np.isnan(values)])
+                    for name in found:
+                        if not len(values):
+                            found[name][i] = np.nan
+                        elif name in quantiles:
+                            found[name][i] = values[int(discrete(len(values), quantiles[name]))]
+                        else:
+                            found[name][i] = values[0 if name == "min" else -1]
+                for name, value in found.items():
+                    out[f"{name}_{frame}"].append(value)
+        return pd.DataFrame(out, columns=names)
+
+    return sliding
