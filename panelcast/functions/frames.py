@@ -5,15 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F, types as T
 
 from ..spec import DAY, PanelSpec, Span
-from .moments import sample_kurtosis, sample_skew
+from .sliding import STATISTICS, FROM_VALUES
 from .time import epoch_seconds, minus, quoted
 
-STATISTICS = (
-    "avg", "min", "max", "q25", "q50", "q75", "std", "skew", "kurt",
-    "geomean", "sum", "abs_energy", "slope",
-)
-
-
 def range_frame(partition: list[str], time: str, earliest: str, latest: str) -> str:
     """OVER clause of a time-range frame."""
     keys = ", ".join(quoted(name) for name in partition)
@@ -26,6 +20,16 @@ def point_before(column: str, partition: list[str], time: str, span: Span) -> Co
     return F.expr(f"first({quoted(column)}) {range_frame(partition, time, at, at)}")
 
 
+def sample_skew(n: Column, g1: Column) -> Column:
+    """Bias-corrected skewness from the population one; null below three values."""
+    return F.when(n >= 3, g1 * F.sqrt(n * (n - 1)) / (n - 2))
+
+
+def sample_kurtosis(n: Column, g2: Column) -> Column:
+    """Bias-corrected excess kurtosis from the population one; null below four values."""
+    return F.when(n >= 4, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6))
+
+
 def frame_statistics(spec: PanelSpec, partition: list[str], span: Span, target_type: T.DataType) -> Column:
     """Struct of the thirteen statistics over the trailing ``span``, both ends included.
 
@@ -70,10 +74,9 @@ def _fixed_frame(spec: PanelSpec, partition: list[str], span: Span, target_type:
         "abs_energy": agg(f"sum(CAST({x} AS DOUBLE) * {x})"),
         "slope": agg(f"regr_slope({x}, {seconds})"),
     }
-    keep_type = ("min", "max", "q25", "q50", "q75")
     return F.struct(
         *(
-            (values[s].cast(target_type) if s in keep_type else values[s]).alias(s)
+            (values[s].cast(target_type) if s in FROM_VALUES else values[s]).alias(s)
             for s in STATISTICS
         )
     )

@@ -1,23 +1,21 @@
 """Features from the past of each series: trailing statistics and lags.
 
 ``add_stat_features`` and ``add_lag_features`` are the two public operators;
-``add_history_features`` computes both in one pass over the same time blocks.
+``add_history_features`` computes both over the same time blocks, with one
+shuffle of the panel.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from ..functions.frames import STATISTICS, frame_statistics, point_before
-from ..functions.moments import (
-    central_moments, centred_sums, frame_sums, moment_statistics, running_sums,
-)
-from ..functions.orderstats import ORDER_STATISTICS, order_statistics
+from ..functions.frames import frame_statistics, point_before
+from ..functions.sliding import FROM_VALUES, STATISTICS, sliding_statistics
 from ..functions.time import epoch_seconds, minus, plus
 from ..functions.types import is_integral
-from ..spec import DAY, PanelSpec, Span, interval_suffix, require_columns
+from ..spec import PanelSpec, Span, interval_suffix, require_columns
 from .blocks import BLOCK, own_rows, with_history
 
 
@@ -31,24 +29,22 @@ def lag_columns(spec: PanelSpec, lags: Sequence[int]) -> list[str]:
 
 
 def add_stat_features(
-    df: DataFrame, spec: PanelSpec, intervals: Sequence[str], horizon: int = 30, dense: bool = True
+    df: DataFrame, spec: PanelSpec, intervals: Sequence[str], horizon: int = 30, native: bool = False
 ) -> DataFrame:
     """Thirteen trailing-window statistics per interval, as known ``horizon`` days earlier.
 
     The row at time t gets the statistics of the frame
     ``[t - horizon - interval, t - horizon]``, both ends included; null where
-    the series has no row at ``t - horizon``. ``dense`` says that the panel is
-    complete and unique (the output of ``densify``), which allows the running-sum
-    form; otherwise native window frames are used. (keys, time) must be unique.
+    the series has no row at ``t - horizon``. The panel may have gaps, but
+    (keys, time) must be unique. ``native`` computes them with Spark's own
+    window aggregates, at a cost per row that grows with the frame.
     """
-    return add_history_features(df, spec, intervals=intervals, horizon=horizon, dense=dense)
+    return add_history_features(df, spec, intervals=intervals, horizon=horizon, native=native)
 
 
-def add_lag_features(
-    df: DataFrame, spec: PanelSpec, lags: Sequence[int], unit: str = "DAY", dense: bool = True
-) -> DataFrame:
+def add_lag_features(df: DataFrame, spec: PanelSpec, lags: Sequence[int], unit: str = "DAY") -> DataFrame:
     """The target ``lag`` units earlier, one column per lag; null if there is no such row."""
-    return add_history_features(df, spec, lags=lags, lag_unit=unit, dense=dense)
+    return add_history_features(df, spec, lags=lags, lag_unit=unit)
 
 
 def add_history_features(
@@ -58,62 +54,44 @@ def add_history_features(
     lags: Sequence[int] = (),
     horizon: int = 30,
     lag_unit: str = "DAY",
-    dense: bool = True,
+    native: bool = False,
 ) -> DataFrame:
-    """Statistics and lags together: one set of blocks, one window order."""
+    """Statistics and lags together, over one set of blocks."""
     require_columns(df, spec.columns)
     spans = {interval_suffix(text): Span.parse(text) for text in intervals}
     ahead = Span(horizon, "DAY")
     lag_spans = {f"{spec.target}_lag_{lag}": Span.parse(f"{lag} {lag_unit}") for lag in lags}
     if any(span.months is not None for span in lag_spans.values()):
         if spans:
-            df = add_history_features(df, spec, intervals, horizon=horizon, dense=dense)
+            df = add_history_features(df, spec, intervals, horizon=horizon, native=native)
         return _lags_by_join(df, spec, lag_spans)
 
     reach = [span.seconds for span in lag_spans.values()]
-    reach += [ahead.seconds + span.seconds + spec.step_seconds for span in spans.values()]
+    reach += [ahead.seconds + span.seconds for span in spans.values()]
     blocks = with_history(df, spec, max(reach))
     partition = [*spec.keys, BLOCK]
-    on_grid = dense and _fits_grid(df, spec, spans, lag_spans, ahead)
-
-    if on_grid:
-        ordered = Window.partitionBy(*partition).orderBy(spec.time)
-        if spans:
-            blocks = _sliding_order_statistics(blocks, spec, spans, ahead)
-            blocks = _sliding_sums(blocks, spec, spans, ahead, ordered)
-        taken = {name: F.lag(spec.target, _steps(span, spec)).over(ordered) for name, span in lag_spans.items()}
+    if lag_spans:
+        blocks = blocks.withColumns(
+            {name: point_before(spec.target, partition, spec.time, span) for name, span in lag_spans.items()}
+        )
+    if not spans:
+        out = own_rows(blocks, spec)
+    elif native:
+        out = own_rows(_native_statistics(df, blocks, spec, spans, ahead), spec)
     else:
-        if spans:
-            blocks = _native_statistics(df, blocks, spec, spans, ahead)
-        taken = {name: point_before(spec.target, partition, spec.time, span) for name, span in lag_spans.items()}
-    out = own_rows(blocks.withColumns(taken) if taken else blocks, spec)
+        out = _sliding_statistics(blocks, spec, spans, ahead)
     return out.select(*df.columns, *stat_columns(spec, intervals), *lag_spans)
 
 
-def _steps(span: Span, spec: PanelSpec) -> int:
-    return span.seconds // spec.step_seconds
-
-
-def _fits_grid(df, spec, spans, lag_spans, ahead) -> bool:
-    """Whether offsets in time are whole numbers of rows (and sums can be exact)."""
-    step = spec.step_seconds
-    if any(span.seconds % step for span in lag_spans.values()):
-        return False
-    if not spans:
-        return True
-    whole_days = DAY % step == 0 or all(span.months is None for span in spans.values())
-    return whole_days and ahead.seconds % step == 0 and is_integral(df, spec.target)
-
-
-def _sliding_order_statistics(blocks: DataFrame, spec: PanelSpec, spans: dict[str, Span], ahead: Span) -> DataFrame:
-    """Add ``<stat>_<frame>`` double columns for minimum, maximum and quantiles."""
+def _sliding_statistics(blocks: DataFrame, spec: PanelSpec, spans: dict[str, Span], ahead: Span) -> DataFrame:
+    """Statistics of each block from its values as arrays; yields the block's own rows."""
     others = [name for name in blocks.columns if name not in (spec.time, *spec.keys, BLOCK)]
     month_starts = {
         name: epoch_seconds(minus(minus(F.col(spec.time), ahead), span))
         for name, span in spans.items() if span.months is not None
     }
-    seconds = epoch_seconds(F.col(spec.time))
-    # One row per block: at most (block + look-back) / step elements long.
+    seconds, own = epoch_seconds(F.col(spec.time)), F.col(BLOCK) * spec.block_seconds
+    # One row per block: its arrays are at most (block + look-back) / step long.
     grouped = blocks.groupBy(*spec.keys, BLOCK).agg(
         F.sort_array(
             F.collect_list(
@@ -127,83 +105,44 @@ def _sliding_order_statistics(blocks: DataFrame, spec: PanelSpec, spans: dict[st
             )
         ).alias("_rows"),
         F.max(seconds).alias("_last"),
-    ).where(F.col("_last") >= F.col(BLOCK) * spec.block_seconds)
+    ).where(F.col("_last") >= own)
 
     frames = {name: None if name in month_starts else span.seconds for name, span in spans.items()}
-    rows = F.col("_rows")
-    slid = grouped.withColumn(
+    names = [f"{stat}_{frame}" for frame in spans for stat in STATISTICS]
+    rows, slid = F.col("_rows"), F.col("_slid")
+    size = F.size(slid[names[0]])
+    flat = grouped.withColumn(
         "_slid",
-        order_statistics(frames, ahead.seconds)(
+        sliding_statistics(frames, ahead.seconds)(
             F.struct(
                 rows["_t"].alias("t"),
                 rows["_x"].alias("x"),
-                (F.col(BLOCK) * spec.block_seconds).alias("own"),
+                own.alias("own"),
                 *(rows[f"_from_{name}"].alias(name) for name in month_starts),
             )
         ),
-    )
-    names = [f"{stat}_{frame}" for frame in spans for stat in ORDER_STATISTICS]
-    flat = slid.select(
+    ).select(
         *spec.keys,
-        BLOCK,
         F.inline(
             F.arrays_zip(
-                *(rows[name].alias(name) for name in (spec.time, *others)),
-                *(F.col("_slid")[name].alias(f"_{name}") for name in names),
+                *(F.slice(rows[name], -size, size).alias(name) for name in (spec.time, *others)),
+                *(slid[name].alias(f"_{name}") for name in names),
             )
         ),
     )
-    kind = blocks.schema[spec.target].dataType
-    return flat.select(
-        *spec.keys, BLOCK, spec.time, *others,
-        *(
-            F.when(~F.isnan(f"_{stat}_{frame}"), F.col(f"_{stat}_{frame}")).cast(kind)
-            .alias(f"{stat}_{spec.target}_{frame}")
-            for frame in spans for stat in ORDER_STATISTICS
-        ),
-    )
+    target = blocks.schema[spec.target].dataType
+    total = "bigint" if is_integral(blocks, spec.target) else "double"
 
+    def typed(stat: str, frame: str):
+        value = F.nullif(F.col(f"_{stat}_{frame}"), F.lit(float("nan")))
+        if stat in FROM_VALUES:
+            value = value.cast(target)
+        elif stat == "sum":
+            value = value.cast(total)
+        return value.alias(f"{stat}_{spec.target}_{frame}")
 
-def _sliding_sums(blocks: DataFrame, spec: PanelSpec, spans: dict[str, Span], ahead: Span, ordered) -> DataFrame:
-    """Add the statistics that follow from sums over the frame."""
-    index = F.floor((epoch_seconds(F.col(spec.time)) - F.col(BLOCK) * spec.block_seconds) / spec.step_seconds)
-    blocks = blocks.withColumn("_upto", running_sums(F.col(spec.target), index, ordered))
-
-    def earlier(rows: int) -> Column:
-        return F.lag("_upto", rows).over(ordered)
-
-    now = minus(F.col(spec.time), ahead)
-    delay = _steps(ahead, spec)
-    looks = {"_end": earlier(delay) if delay else F.col("_upto")}
-    before: dict[str, Column] = {}
-    for name, span in spans.items():
-        if span.months is None:
-            looks[f"_before_{name}"] = earlier(delay + _steps(span, spec) + 1)
-            before[name] = F.col(f"_before_{name}")
-            continue
-        days = (epoch_seconds(now) - epoch_seconds(minus(now, span))) / DAY
-        chosen = None
-        for length in span.day_lengths:
-            column = f"_before_{length}_days"
-            looks[column] = earlier(delay + length * DAY // spec.step_seconds + 1)
-            pick = F.col(column)
-            chosen = F.when(days == length, pick) if chosen is None else chosen.when(days == length, pick)
-        before[name] = chosen
-    kept = [name for name in blocks.columns if name != "_upto"]
-    sums = blocks.withColumns(looks).select(
-        *kept, *(frame_sums(F.col("_end"), before[name]).alias(f"_f_{name}") for name in spans)
-    )
-    centred = sums.select(*kept, *(centred_sums(F.col(f"_f_{name}")).alias(f"_c_{name}") for name in spans))
-    moments = centred.withColumns({f"_m_{name}": central_moments(F.col(f"_c_{name}")) for name in spans})
-    return moments.select(
-        *kept,
-        *(
-            column.alias(f"{stat}_{spec.target}_{name}")
-            for name in spans
-            for stat, column in moment_statistics(
-                F.col(f"_c_{name}"), F.col(f"_m_{name}"), spec.step_seconds
-            ).items()
-        ),
+    return flat.select(
+        *spec.keys, spec.time, *others, *(typed(stat, frame) for frame in spans for stat in STATISTICS)
     )
 
 
