@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.frames import frame_statistics, point_before
 from ..functions.sliding import FROM_VALUES, STATISTICS, sliding_statistics
-from ..functions.time import epoch_seconds, minus, plus
+from ..functions.time import epoch_seconds, minus, plus, quoted
 from ..functions.types import is_integral
 from ..spec import PanelSpec, Span, interval_suffix, require_columns
 from .blocks import BLOCK, own_rows, with_history
@@ -108,10 +108,8 @@ def _sliding_statistics(blocks: DataFrame, spec: PanelSpec, spans: dict[str, Spa
     ).where(F.col("_last") >= own)
 
     frames = {name: None if name in month_starts else span.seconds for name, span in spans.items()}
-    names = [f"{stat}_{frame}" for frame in spans for stat in STATISTICS]
-    rows, slid = F.col("_rows"), F.col("_slid")
-    size = F.size(slid[names[0]])
-    flat = grouped.withColumn(
+    rows = F.col("_rows")
+    slid = grouped.withColumn(
         "_slid",
         sliding_statistics(frames, ahead.seconds)(
             F.struct(
@@ -121,28 +119,26 @@ def _sliding_statistics(blocks: DataFrame, spec: PanelSpec, spans: dict[str, Spa
                 *(rows[f"_from_{name}"].alias(name) for name in month_starts),
             )
         ),
-    ).select(
-        *spec.keys,
-        F.inline(
-            F.arrays_zip(
-                *(F.slice(rows[name], -size, size).alias(name) for name in (spec.time, *others)),
-                *(slid[name].alias(f"_{name}") for name in names),
-            )
-        ),
     )
-    target = blocks.schema[spec.target].dataType
+    # Plain SQL text below: one parse instead of several calls per column.
+    names = [f"{stat}_{frame}" for frame in spans for stat in STATISTICS]
+    size = f"size(_slid.{quoted(names[0])})"
+    arrays = [f"slice(_rows.{quoted(name)}, -{size}, {size})" for name in (spec.time, *others)]
+    arrays += [f"_slid.{quoted(name)}" for name in names]
+    labels = ", ".join(quoted(name) for name in (spec.time, *others, *(f"_{name}" for name in names)))
+    keys = [quoted(name) for name in spec.keys]
+    flat = slid.selectExpr(*keys, f"inline(arrays_zip({', '.join(arrays)})) AS ({labels})")
+
+    target = blocks.schema[spec.target].dataType.simpleString()
     total = "bigint" if is_integral(blocks, spec.target) else "double"
-
-    def typed(stat: str, frame: str):
-        value = F.nullif(F.col(f"_{stat}_{frame}"), F.lit(float("nan")))
-        if stat in FROM_VALUES:
-            value = value.cast(target)
-        elif stat == "sum":
-            value = value.cast(total)
-        return value.alias(f"{stat}_{spec.target}_{frame}")
-
-    return flat.select(
-        *spec.keys, spec.time, *others, *(typed(stat, frame) for frame in spans for stat in STATISTICS)
+    kinds = {stat: target if stat in FROM_VALUES else total if stat == "sum" else "double" for stat in STATISTICS}
+    return flat.selectExpr(
+        *(quoted(name) for name in (*spec.keys, spec.time, *others)),
+        *(
+            f"CAST(nullif({quoted(f'_{stat}_{frame}')}, double('NaN')) AS {kinds[stat]}) "
+            f"AS {quoted(f'{stat}_{spec.target}_{frame}')}"
+            for frame in spans for stat in STATISTICS
+        ),
     )
 
 
@@ -157,9 +153,12 @@ def _native_statistics(df: DataFrame, blocks: DataFrame, spec: PanelSpec, spans:
         at_row = at_row.withColumns(
             {f"_s_{name}": point_before(f"_s_{name}", partition, spec.time, ahead) for name in spans}
         )
-    return at_row.select(
-        *blocks.columns,
-        *(F.col(f"_s_{name}")[s].alias(f"{s}_{spec.target}_{name}") for name in spans for s in STATISTICS),
+    return at_row.selectExpr(
+        *(quoted(name) for name in blocks.columns),
+        *(
+            f"{quoted(f'_s_{name}')}.{s} AS {quoted(f'{s}_{spec.target}_{name}')}"
+            for name in spans for s in STATISTICS
+        ),
     )
 
 

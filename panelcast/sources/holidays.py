@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date, timedelta
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 # Public holidays of Turkey. (month, day, first year it is one)
@@ -36,4 +37,4 @@ def turkish_holidays(spark: SparkSession, years: Iterable[int]) -> DataFrame:
         for first in feasts:
             if first.year in years:
                 days.update(first + timedelta(days=i) for i in range(length))
-    return spark.createDataFrame([(d,) for d in sorted(days)], "day date")
+    return spark.createDataFrame(pa.table({"day": pa.array(sorted(days), pa.date32())}))
