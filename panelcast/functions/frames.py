@@ -52,7 +52,8 @@ def frame_statistics(spec: PanelSpec, partition: list[str], span: Span, target_t
 def _fixed_frame(spec: PanelSpec, partition: list[str], span: Span, target_type: T.DataType) -> Column:
     over = range_frame(partition, spec.time, f"{span.sql} PRECEDING", "CURRENT ROW")
     x = quoted(spec.target)
-    seconds = f"timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {quoted(spec.time)})"
+    since = f"{quoted(spec.time)} - TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+    seconds = f"CAST(CAST({since} AS INTERVAL SECOND) AS BIGINT)"
 
     def agg(call: str) -> Column:
         return F.expr(f"{call} {over}")

@@ -6,16 +6,18 @@ from pyspark.sql import Column, functions as F
 
 from ..spec import Span
 
-_EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+def seconds_between(start: Column, end: Column) -> Column:
+    """Whole seconds from ``start`` to ``end``.
 
-
-def epoch_seconds(ts: Column) -> Column:
-    """Seconds since 1970-01-01, without any session time zone."""
-    return F.timestamp_diff("SECOND", F.expr(_EPOCH), ts)
+    Subtraction of zone-less timestamps; ``timestampdiff`` would first move both
+    into the session time zone, where hours go missing or repeat.
+    """
+    return (end - start).cast("interval second").cast("long")
 
 
-def epoch_micros(ts: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), ts)
+def epoch_seconds(ts: Column) -> Column:
+    """Seconds since 1970-01-01, without any time zone."""
+    return seconds_between(F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), ts)
 
 
 def minus(ts: Column, span: Span) -> Column:

@@ -25,7 +25,7 @@ def with_history(df: DataFrame, spec: PanelSpec, lookback_seconds: int) -> DataF
     seconds = epoch_seconds(F.col(spec.time))
     return df.where(F.col(spec.time).isNotNull()).withColumn(
         BLOCK,
-        F.explode(F.sequence(block_of(seconds, spec), block_of(seconds + lookback_seconds, spec))),
+        F.explode_outer(F.sequence(block_of(seconds, spec), block_of(seconds + lookback_seconds, spec))),
     )
 
 

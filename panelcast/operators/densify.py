@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.time import epoch_micros
+from ..functions.time import seconds_between
 from ..spec import PanelSpec, Span, require_columns
 
 
@@ -45,20 +45,22 @@ def densify(df: DataFrame, spec: PanelSpec) -> DataFrame:
     """
     require_columns(df, spec.columns)
     step, block = F.expr(_seconds(spec.step_seconds)), F.expr(_seconds(spec.block_seconds))
-    step_us, block_us = spec.step_seconds * 1_000_000, spec.block_seconds * 1_000_000
 
-    # Bounds enter as a scalar subquery: no join and nothing fetched to the driver program.
-    bounds = time_bounds(df, spec).select(F.struct("first_time", "last_time").alias("b")).scalar()
-    first, last = bounds.getField("first_time"), bounds.getField("last_time")
-    time, offset = F.col(spec.time), epoch_micros(F.col(spec.time)) - epoch_micros(first)
-
-    anchors = distinct_series(df, spec).select(
-        *spec.keys, F.posexplode(F.sequence(first, last, block)).alias("_cell", spec.time)
-    ).withColumn("_anchor", F.lit(True))
+    # Keys and bounds come from one pass: both uses of this small table are the
+    # same plan, so Spark runs it once. The bounds enter as a scalar subquery, with
+    # no join and nothing fetched to the driver program.
+    series = df.groupBy(*spec.keys).agg(F.min(spec.time).alias("_first"), F.max(spec.time).alias("_last"))
+    bounds = series.agg(F.struct(F.min("_first").alias("first"), F.max("_last").alias("last")).alias("b")).scalar()
+    first, last = bounds.getField("first"), bounds.getField("last")
+    time = F.col(spec.time)
+    offset = seconds_between(first, time)
+
+    whole = F.sequence(F.least(first, "_first"), F.greatest(last, "_last"), block)
+    anchors = series.select(*spec.keys, F.posexplode_outer(whole).alias("_cell", spec.time)).withColumn("_anchor", F.lit(True))
     observed = (
         df.dropna(subset=[spec.time, *spec.keys])
-        .where(offset % step_us == 0)
-        .withColumn("_cell", F.floor(offset / block_us).cast("int"))
+        .where(first + F.floor(offset / spec.step_seconds) * step == time)
+        .withColumn("_cell", F.floor(offset / spec.block_seconds).cast("int"))
         .withColumn("_anchor", F.lit(False))
     )
     rows = anchors.unionByName(observed, allowMissingColumns=True)
@@ -75,8 +77,9 @@ def densify(df: DataFrame, spec: PanelSpec) -> DataFrame:
     )
     generated = F.col("_anchor") | (F.col("_slot") > 0)
     values = [name for name in df.columns if name not in (spec.time, *spec.keys)]
+    # The arrays are never empty; the outer form spares Spark from computing them once more to test that.
     return filled.select(
-        *spec.keys, *values, "_anchor", F.posexplode("_slots").alias("_slot", spec.time)
+        *spec.keys, *values, "_anchor", F.posexplode_outer("_slots").alias("_slot", spec.time)
     ).select(
         spec.time,
         *spec.keys,

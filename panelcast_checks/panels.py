@@ -15,7 +15,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def at_hour(day: Column, hour: Column) -> Column:
     """Zone-less timestamp at an hour of a day."""
-    return F.to_date(day).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), hour.cast("int"))
+    return F.to_date(day).cast("timestamp_ntz") + F.expr("INTERVAL '1' HOUR") * hour
 
 
 # Hourly event counts per event type.
