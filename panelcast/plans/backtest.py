@@ -4,20 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.columns import drop_columns
-from ..functions.errors import reciprocal_weight
 from ..functions.text import join_text
+from ..functions.time import quoted
 from ..functions.types import narrow_double
-from ..operators.folds import Fold, held_out_rows, train_rows
-from ..session import checkpoint_dir
+from ..operators.folds import Fold, held_out_rows, make_folds, train_rows
+from ..operators.metrics import forecast_metrics
+from ..session import checkpoint_dir, cut_lineage
+from ..sources.tables import read_features, write_metrics
 from ..spec import PanelSpec
+from . import presets
 
 # Below every feature value, so that one split tells missing from known.
 MISSING = -1.0e30
@@ -59,28 +63,42 @@ def with_model_inputs(df: DataFrame, spec: PanelSpec, settings: BoostingSettings
     The label is log1p of the target, the weight its reciprocal. A label of
     zero has no reciprocal; it weighs as much as a target of one.
     """
-    label = F.log1p(F.col(spec.target).cast("double")) if settings.log_target else F.col(spec.target).cast("double")
-    least = F.log1p(F.lit(1.0)) if settings.log_target else F.lit(1.0)
-    weight = F.coalesce(reciprocal_weight(label), 1.0 / least) if settings.weighted else F.lit(1.0)
-    inputs = [
-        F.coalesce(F.col(name).cast("double"), F.lit(MISSING)).alias(f"_in_{name}")
-        for name in feature_columns(df, spec)
-    ]
-    return df.select("*", label.alias("_label"), weight.alias("_weight"), *inputs)
+    target = f"CAST({quoted(spec.target)} AS DOUBLE)"
+    label, least = (f"log1p({target})", "log1p(1D)") if settings.log_target else (target, "1D")
+    weight = f"CASE WHEN {label} > 0 THEN 1D / {label} ELSE 1D / {least} END" if settings.weighted else "1D"
+    return df.selectExpr(
+        "*",
+        f"{label} AS _label",
+        f"{weight} AS _weight",
+        *(
+            f"coalesce(CAST({quoted(name)} AS DOUBLE), {MISSING}D) AS {quoted('_in_' + name)}"
+            for name in feature_columns(df, spec)
+        ),
+    )
 
 
 def fit_model(train: DataFrame, spec: PanelSpec, settings: BoostingSettings = BoostingSettings()) -> PipelineModel:
-    """Fit on rows with a known target. The series key is a categorical feature.
+    """Fit on the rows with a known target. The series key is a categorical feature.
 
     Beyond ``max_categories`` series the key is not used as such (its label list
     would pass through the driver); the history features tell the series apart.
     """
-    checkpoint_dir(train.sparkSession)
-    rows = with_model_inputs(train.dropna(subset=[spec.target]), spec, settings)
-    inputs = [f"_in_{name}" for name in feature_columns(train, spec)]
+    return _fit(with_model_inputs(train.dropna(subset=[spec.target]), spec, settings), spec, settings)
+
+
+def predict(
+    model: PipelineModel, rows: DataFrame, spec: PanelSpec, settings: BoostingSettings = BoostingSettings()
+) -> DataFrame:
+    """The rows with a ``prediction`` column, on the scale of the target."""
+    return _score(model, with_model_inputs(rows, spec, settings), rows.columns, settings)
+
+
+def _fit(rows: DataFrame, spec: PanelSpec, settings: BoostingSettings) -> PipelineModel:
+    checkpoint_dir(rows.sparkSession)
+    inputs = [name for name in rows.columns if name.startswith("_in_")]
     stages, bins = [], 32
     for key in spec.keys:
-        names = train.select(key).distinct().limit(settings.max_categories + 1).count()
+        names = rows.select(key).distinct().limit(settings.max_categories + 1).count()
         if names <= settings.max_categories:
             stages.append(StringIndexer(inputCol=key, outputCol=f"_code_{key}", handleInvalid="keep"))
             inputs.append(f"_code_{key}")
@@ -107,13 +125,9 @@ def fit_model(train: DataFrame, spec: PanelSpec, settings: BoostingSettings = Bo
     return Pipeline(stages=stages).fit(rows)
 
 
-def predict(
-    model: PipelineModel, rows: DataFrame, spec: PanelSpec, settings: BoostingSettings = BoostingSettings()
-) -> DataFrame:
-    """The rows with a ``prediction`` column, on the scale of the target."""
-    scored = model.transform(with_model_inputs(rows, spec, settings))
+def _score(model: PipelineModel, rows: DataFrame, keep: Sequence[str], settings: BoostingSettings) -> DataFrame:
     value = F.expm1("_raw") if settings.log_target else F.col("_raw")
-    return scored.select(*rows.columns, value.alias("prediction"))
+    return model.transform(rows).select(*(quoted(name) for name in keep), value.alias("prediction"))
 
 
 def backtest(
@@ -126,11 +140,41 @@ def backtest(
     prediction is distributed.
     """
     known = narrow_double(df.dropna(subset=[spec.target]))
+    rows = with_model_inputs(known, spec, settings)
     scored = [
-        predict(
-            fit_model(train_rows(known, spec.time, fold), spec, settings),
-            held_out_rows(known, spec.time, fold), spec, settings,
+        _score(
+            _fit(train_rows(rows, spec.time, fold), spec, settings),
+            held_out_rows(rows, spec.time, fold), known.columns, settings,
         ).withColumn(split, F.lit(i))
         for i, fold in enumerate(folds)
     ]
     return reduce(DataFrame.unionByName, scored)
+
+
+def run_backtest_job(
+    spark: SparkSession,
+    features: str,
+    folder: str,
+    line: str | None = None,
+    settings: BoostingSettings = BoostingSettings(),
+    folds: Sequence[Fold] | None = None,
+    since: datetime = presets.TRAIN_SINCE,
+) -> DataFrame:
+    """Backtest on a feature table and write both error tables to ``folder``.
+
+    Without ``line`` one model is fitted over all series, keyed by line and
+    station; with it, one model over the stations of that line. Returns the
+    scored rows, which are kept in the checkpoint folder so that the several
+    passes over them do not score again.
+    """
+    table = read_features(spark, features, since=since, line=line)
+    if line is None:
+        key, table = "line_station", joined_key(table, presets.PANEL.keys, "line_station")
+    else:
+        key = "station"
+    spec = PanelSpec(presets.PANEL.target, presets.PANEL.time, (key,), presets.PANEL.step)
+    if folds is None:
+        folds = make_folds(presets.LAST_TEST_HOUR, presets.FOLD_COUNT, presets.FOLD_DAYS)
+    scored = cut_lineage(backtest(table, spec, folds, settings))
+    write_metrics(*forecast_metrics(scored, key, spec.target), folder)
+    return scored

@@ -1,11 +1,16 @@
 import math
 from datetime import datetime, timedelta
+from uuid import uuid4
 
 from pyspark.sql import functions as F
 
 from panelcast.operators.folds import make_folds
 from panelcast.operators.history import add_history_features
-from panelcast.plans.backtest import BoostingSettings, backtest, joined_key
+from panelcast.plans.backtest import (
+    MISSING, BoostingSettings, backtest, joined_key, run_backtest_job, with_model_inputs,
+)
+from panelcast.session import checkpoint_dir
+from panelcast.sources.tables import write_features
 from panelcast.spec import PanelSpec
 
 
@@ -37,3 +42,34 @@ def test_backtest(spark):
     mean = {k: sum(r.prediction for r in rows if r.key == k) / sum(r.key == k for r in rows) for k in ("L_a", "L_b")}
     assert mean["L_b"] > 3 * mean["L_a"]
     assert any(r.key == "L_new" for r in rows)
+
+
+def test_backtest_job(spark):
+    """Feature table on disk, one line or all lines, error tables out."""
+    first = datetime(2024, 1, 1)
+    rows = [
+        (first + timedelta(days=i), line, s, 20 + 3 * (i % 7), float(i % 7), i % 2 == 0)
+        for i in range(60) for line, s in (("M1", "a"), ("M1", "b"), ("T1", "a"))
+    ]
+    rows += [(first, "M1", "c", None, 1.0, True)]
+    root = f"{checkpoint_dir(spark)}/backtest-{uuid4().hex}"
+    df = spark.createDataFrame(rows, "timestamp timestamp_ntz, line_name string, station string, passage bigint, f double, g boolean")
+    write_features(df, f"{root}/features")
+    folds = make_folds(first + timedelta(days=59), 2, 10)
+    settings = BoostingSettings(n_estimators=2, min_rows_per_leaf=1)
+    scored = run_backtest_job(spark, f"{root}/features", f"{root}/all", settings=settings, folds=folds)
+    assert scored.count() == 60
+    by_split = spark.read.parquet(f"{root}/all/by_split")
+    assert {(r.split, r.line_station) for r in by_split.collect()} == {(i, k) for i in (0, 1) for k in ("M1_a", "M1_b", "T1_a")}
+    run_backtest_job(spark, f"{root}/features", f"{root}/m1", line="M1", settings=settings, folds=folds)
+    by_series = spark.read.parquet(f"{root}/m1/by_series")
+    assert by_series.columns == ["station", "rmse", "medae", "mae", "mape"]
+    assert {r.station for r in by_series.collect()} == {"a", "b"}
+
+
+def test_weights_and_labels(spark):
+    df = spark.createDataFrame([("a", 0, None), ("a", 1, 2.0), ("a", 9, 3.0)], "key string, v bigint, f double")
+    got = with_model_inputs(df, PanelSpec("v", "t", ("key",)), BoostingSettings()).collect()
+    assert [round(r._label, 9) for r in got] == [0, round(math.log(2), 9), round(math.log(10), 9)]
+    assert [round(r._weight, 9) for r in got] == [round(1 / math.log(k), 9) for k in (2, 2, 10)]
+    assert [r._in_f for r in got] == [MISSING, 2.0, 3.0]
