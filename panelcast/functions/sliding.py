@@ -2,15 +2,18 @@
 
 Spark's sliding window frames read the whole frame again for every row, and
 refuse exact quantiles. Here Spark partitions the panel into blocks and hands
-each block over as arrays; the sliding itself costs the same per row whatever
-the frame length (sums) or its logarithm (order statistics). Sums are taken
-over whole numbers, so they are exact and differences of them do not cancel.
+each block over as an Arrow table; the sliding itself costs the same per row
+whatever the frame length (sums) or its logarithm (order statistics). Sums are
+taken over whole numbers, so they are exact and differences of them do not cancel.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import functions as F
+from collections.abc import Callable, Sequence
+
+import pyarrow as pa
+
+from ..spec import Span
 
 STATISTICS = (
     "avg", "min", "max", "q25", "q50", "q75", "std", "skew", "kurt",
@@ -20,25 +23,28 @@ QUANTILES = {"q25": 0.25, "q50": 0.50, "q75": 0.75}
 FROM_VALUES = ("min", "max", *QUANTILES)
 
 
-def sliding_statistics(frames: dict[str, int | None], horizon_seconds: int):
-    """A pandas UDF over arrays, one input row per block.
+def block_statistics(
+    frames: dict[str, Span], lags: dict[str, Span], horizon_seconds: int, target: str, seconds: str, block: str,
+    block_seconds: int, keep: Sequence[str],
+) -> Callable[[pa.Table], pa.Table]:
+    """Function for a grouped map over Arrow tables, one block of one series each.
 
-    ``frames`` gives per frame name its length in seconds, or None where the
-    frame starts come as an array of their own (calendar months). Input struct:
-    ``t`` epoch seconds ascending, ``x`` values (NaN for null), ``own`` the first
-    second of the block, and one array per None frame. Output struct: arrays
-    ``<stat>_<frame>``, one element per row of the block proper (the rows before
-    it are history), NaN for null.
+    The table holds the block's rows and the history before them, in any order,
+    with epoch seconds in ``seconds`` and the block id in ``block``. The result
+    holds the block's own rows: the columns ``keep``, ``<stat>_<target>_<frame>``
+    and the lags. Values beyond 2**53 are rounded to doubles, but for the lags.
     """
-    names = [f"{stat}_{frame}" for frame in frames for stat in STATISTICS]
-    quantile_points = dict(QUANTILES)
+    spans = {name: (span.months, span.seconds) for name, span in frames.items()}
+    lag_seconds = {name: span.seconds for name, span in lags.items()}
+    quantile_points, statistics, from_values_of = dict(QUANTILES), STATISTICS, FROM_VALUES
 
     # Everything used inside is local, so executors need no copy of this package.
-    @F.pandas_udf(", ".join(f"`{name}` array<double>" for name in names))
-    def sliding(block: pd.DataFrame) -> pd.DataFrame:
+    def slide(table):
         import math
 
         import numpy as np
+        import pandas as pd
+        import pyarrow as pa
         from pandas.api.indexers import BaseIndexer
 
         class Given(BaseIndexer):
@@ -63,7 +69,11 @@ def sliding_statistics(frames: dict[str, int | None], horizon_seconds: int):
             unit = int(np.gcd.reduce(np.diff(t))) if len(t) > 1 else 1
             k = (t - t[0]) // unit
             size, top, reach = len(t), int(np.abs(v).max(initial=0)), int(k[-1])
-            fits = max(32 * size * top**4, 2 * size**2 * reach * max(reach, top)) < 2**62
+            # 64-bit sums may wrap on the way; what comes out is right as long as
+            # the shifted sums themselves fit. Otherwise Python's integers do it.
+            width = int(v[valid].max(initial=0) - v[valid].min(initial=0)) + 1
+            largest = max(size * width**4, size * top**2, size**2 * reach * max(reach, width))
+            fits = v.dtype != object and largest < 2**63
             v = v.astype("int64" if fits else object)
             k = np.where(valid, k, 0).astype(v.dtype)
             inside = valid & (x > -1)
@@ -97,6 +107,7 @@ def sliding_statistics(frames: dict[str, int | None], horizon_seconds: int):
             t_low = (count * f["t2"] - f["t1"] * f["t1"]).astype("float64")
             total = f["s1"].astype("float64")
             return {
+                "n": count,
                 "avg": total / n / d,
                 "std": np.where(n > 1, np.sqrt(np.maximum(m2, 0) * n / (n - 1)) / d, np.nan),
                 "skew": np.where(n > 2, g1 * np.sqrt(n * (n - 1)) / (n - 2), np.nan),
@@ -111,7 +122,17 @@ def sliding_statistics(frames: dict[str, int | None], horizon_seconds: int):
             """Position of the discrete quantile among n sorted values."""
             return np.ceil(q * n) - 1
 
-        def from_values(x, lo, hi):
+        def months_before(end, months):
+            """The same time of day some months earlier, clamped to the month's last day."""
+            moment = end.astype("M8[s]")
+            day = moment.astype("M8[D]")
+            month = day.astype("M8[M]")
+            earlier = month - months
+            last = (earlier + 1).astype("M8[D]") - 1
+            moved = np.minimum(earlier.astype("M8[D]") + (day - month.astype("M8[D]")), last)
+            return (moved.astype("M8[s]") + (moment - day)).astype("int64")
+
+        def order_statistics(x, lo, hi, n):
             # Month frames step back at month ends. Rolling needs starts that
             # only advance; the few rows that step back are done one by one.
             first = len(x) - len(lo)
@@ -125,7 +146,6 @@ def sliding_statistics(frames: dict[str, int | None], horizon_seconds: int):
                 return result.to_numpy(copy=True)[first:]
 
             found = {"min": own(rolling.min()), "max": own(rolling.max())}
-            n = own(rolling.count())
             for name, q in quantile_points.items():
                 found[name] = own(rolling.quantile(q, interpolation="lower"))
                 # The discrete position is one of the two neighbours of q*(n-1).
@@ -141,21 +161,43 @@ def sliding_statistics(frames: dict[str, int | None], horizon_seconds: int):
                     found[name][i] = values[pick] if len(values) else np.nan
             return found
 
-        out = {name: [] for name in names}
-        for row in block.to_dict("records"):
-            t, x = np.asarray(row["t"]), np.asarray(row["x"], dtype="float64")
-            first = int(np.searchsorted(t, row["own"]))
-            end = t[first:] - horizon_seconds
-            hi = np.searchsorted(t, end, side="right")
-            known = (hi > 0) & (t[hi - 1] == end)
-            sums = prefix_sums(t, x)
-            for frame, seconds in frames.items():
-                start = end - seconds if seconds is not None else np.asarray(row[frame])[first:]
+        def column(values, kind):
+            missing = np.isnan(values)
+            if pa.types.is_integer(kind):
+                return pa.array(np.where(missing, 0, values).astype("int64"), mask=missing).cast(kind)
+            return pa.array(values, mask=missing).cast(kind)
+
+        kind = table.schema.field(target).type
+        kinds = {name: kind for name in from_values_of}
+        kinds["sum"] = pa.int64() if pa.types.is_integer(kind) else pa.float64()
+        t = table[seconds].to_numpy()
+        if (np.diff(t) < 0).any():
+            order = np.argsort(t, kind="stable")
+            table, t = table.take(order), t[order]
+        first = int(np.searchsorted(t, table[block][0].as_py() * block_seconds))
+        x = table[target].cast(pa.float64(), safe=False).to_numpy()
+        own = table.slice(first).select(list(keep))
+        end = t[first:] - horizon_seconds
+        hi = np.searchsorted(t, end, side="right")
+        known = (hi > 0) & (t[hi - 1] == end)
+        sums = prefix_sums(t, x) if len(end) else None
+        names, arrays = list(keep), list(own.columns)
+        for frame, (months, length) in spans.items():
+            if sums is None:  # nothing but history, as after the last block of a series
+                found = dict.fromkeys(statistics, np.empty(0))
+            else:
+                start = end - length if months is None else months_before(end, months)
                 lo = np.searchsorted(t, start, side="left")
                 with np.errstate(all="ignore"):
-                    found = {**from_sums(sums[0], lo, hi, *sums[1:]), **from_values(x, lo, hi)}
-                for name, value in found.items():
-                    out[f"{name}_{frame}"].append(np.where(known, value, np.nan))
-        return pd.DataFrame(out, columns=names)
-
-    return sliding
+                    found = from_sums(sums[0], lo, hi, *sums[1:])
+                    found.update(order_statistics(x, lo, hi, found["n"]))
+            for name in statistics:
+                names.append(f"{name}_{target}_{frame}")
+                arrays.append(column(np.where(known, found[name], np.nan), kinds.get(name, pa.float64())))
+        for name, length in lag_seconds.items():
+            at = np.searchsorted(t, t[first:] - length)
+            names.append(name)
+            arrays.append(table[target].take(pa.array(at, mask=t[at] != t[first:] - length)))
+        return pa.Table.from_arrays(arrays, names)
+
+    return slide

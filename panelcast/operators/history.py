@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.frames import frame_statistics, point_before
-from ..functions.sliding import FROM_VALUES, STATISTICS, sliding_statistics
-from ..functions.time import epoch_seconds, minus, plus, quoted
+from ..functions.sliding import FROM_VALUES, STATISTICS, block_statistics
+from ..functions.time import epoch_seconds, plus, quoted
 from ..functions.types import is_integral
 from ..spec import PanelSpec, Span, interval_suffix, require_columns
 from .blocks import BLOCK, own_rows, with_history
@@ -70,75 +70,41 @@ def add_history_features(
     reach += [ahead.seconds + span.seconds for span in spans.values()]
     blocks = with_history(df, spec, max(reach))
     partition = [*spec.keys, BLOCK]
-    if lag_spans:
-        blocks = blocks.withColumns(
-            {name: point_before(spec.target, partition, spec.time, span) for name, span in lag_spans.items()}
-        )
-    if not spans:
-        out = own_rows(blocks, spec)
-    elif native:
-        out = own_rows(_native_statistics(df, blocks, spec, spans, ahead), spec)
+    if spans and not native:
+        out = _sliding_features(blocks, spec, spans, lag_spans, ahead)
     else:
-        out = _sliding_statistics(blocks, spec, spans, ahead)
+        if lag_spans:
+            blocks = blocks.withColumns(
+                {name: point_before(spec.target, partition, spec.time, span) for name, span in lag_spans.items()}
+            )
+        out = own_rows(_native_statistics(df, blocks, spec, spans, ahead) if spans else blocks, spec)
     return out.select(*df.columns, *stat_columns(spec, intervals), *lag_spans)
 
 
-def _sliding_statistics(blocks: DataFrame, spec: PanelSpec, spans: dict[str, Span], ahead: Span) -> DataFrame:
-    """Statistics of each block from its values as arrays; yields the block's own rows."""
-    others = [name for name in blocks.columns if name not in (spec.time, *spec.keys, BLOCK)]
-    month_starts = {
-        name: epoch_seconds(minus(minus(F.col(spec.time), ahead), span))
-        for name, span in spans.items() if span.months is not None
-    }
-    seconds, own = epoch_seconds(F.col(spec.time)), F.col(BLOCK) * spec.block_seconds
-    # One row per block: its arrays are at most (block + look-back) / step long.
-    grouped = blocks.groupBy(*spec.keys, BLOCK).agg(
-        F.sort_array(
-            F.collect_list(
-                F.struct(
-                    spec.time,
-                    *others,
-                    seconds.alias("_t"),
-                    F.coalesce(F.col(spec.target).cast("double"), F.lit(float("nan"))).alias("_x"),
-                    *(start.alias(f"_from_{name}") for name, start in month_starts.items()),
-                )
-            )
-        ).alias("_rows"),
-        F.max(seconds).alias("_last"),
-    ).where(F.col("_last") >= own)
-
-    frames = {name: None if name in month_starts else span.seconds for name, span in spans.items()}
-    rows = F.col("_rows")
-    slid = grouped.withColumn(
-        "_slid",
-        sliding_statistics(frames, ahead.seconds)(
-            F.struct(
-                rows["_t"].alias("t"),
-                rows["_x"].alias("x"),
-                own.alias("own"),
-                *(rows[f"_from_{name}"].alias(name) for name in month_starts),
-            )
-        ),
-    )
-    # Plain SQL text below: one parse instead of several calls per column.
-    names = [f"{stat}_{frame}" for frame in spans for stat in STATISTICS]
-    size = f"size(_slid.{quoted(names[0])})"
-    arrays = [f"slice(_rows.{quoted(name)}, -{size}, {size})" for name in (spec.time, *others)]
-    arrays += [f"_slid.{quoted(name)}" for name in names]
-    labels = ", ".join(quoted(name) for name in (spec.time, *others, *(f"_{name}" for name in names)))
-    keys = [quoted(name) for name in spec.keys]
-    flat = slid.selectExpr(*keys, f"inline(arrays_zip({', '.join(arrays)})) AS ({labels})")
-
-    target = blocks.schema[spec.target].dataType.simpleString()
-    total = "bigint" if is_integral(blocks, spec.target) else "double"
-    kinds = {stat: target if stat in FROM_VALUES else total if stat == "sum" else "double" for stat in STATISTICS}
-    return flat.selectExpr(
-        *(quoted(name) for name in (*spec.keys, spec.time, *others)),
-        *(
-            f"CAST(nullif({quoted(f'_{stat}_{frame}')}, double('NaN')) AS {kinds[stat]}) "
-            f"AS {quoted(f'{stat}_{spec.target}_{frame}')}"
+def _sliding_features(
+    blocks: DataFrame, spec: PanelSpec, spans: dict[str, Span], lag_spans: dict[str, Span], ahead: Span
+) -> DataFrame:
+    """Statistics and lags of each block with its history; yields the block's own rows."""
+    keep = [name for name in blocks.columns if name != BLOCK]
+    target = blocks.schema[spec.target].dataType
+    kinds = {name: target for name in FROM_VALUES}
+    kinds["sum"] = T.LongType() if is_integral(blocks, spec.target) else T.DoubleType()
+    schema = T.StructType(
+        [blocks.schema[name] for name in keep]
+        + [
+            T.StructField(f"{stat}_{spec.target}_{frame}", kinds.get(stat, T.DoubleType()))
             for frame in spans for stat in STATISTICS
-        ),
+        ]
+        + [T.StructField(name, target) for name in lag_spans]
+    )
+    slide = block_statistics(
+        spans, lag_spans, ahead.seconds, spec.target, "_seconds", BLOCK, spec.block_seconds, keep
+    )
+    # A group is at most (block + look-back) / step rows.
+    return (
+        blocks.withColumn("_seconds", epoch_seconds(F.col(spec.time)))
+        .groupBy(*spec.keys, BLOCK)
+        .applyInArrow(slide, schema)
     )
 
 
