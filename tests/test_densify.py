@@ -62,3 +62,16 @@ def test_repeated_observations_are_kept(spark):
 def test_missing_column_is_an_error(spark):
     with pytest.raises(ValueError):
         densify(spark.createDataFrame(rows(), SCHEMA), PanelSpec("w", "ts", ("line",)))
+
+
+def test_session_zone_does_not_matter(spark):
+    """The grid runs over a night in which New York has no two o'clock."""
+    first, last = datetime(2024, 3, 9), datetime(2024, 3, 13)
+    df = spark.createDataFrame([(first, "A", "x", 1, ""), (last, "A", "x", 2, "")], SCHEMA)
+    spec = PanelSpec("v", "ts", ("line", "station"), block_days=1)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert densify(df, spec).count() == 97 and time_axis(df, spec).count() == 97
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
