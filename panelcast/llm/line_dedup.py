@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.llm.components import connected_components
@@ -24,12 +24,13 @@ STRETCH = 1 << 16
 class Settings:
     """Lines are linked at a Jaccard similarity of ``similarity`` or more of their sets of ``width``-character shingles.
 
-    A pair at 0.8 shares one of 16 bands of 6 values with a probability of 0.992, one at 0.9 of 0.99999; unrelated lines
-    (below 0.1) of 0.00002.
+    A band is ``rows`` of ``values`` MinHash values; neighbouring bands share two of theirs. A pair at 0.8 shares one of 16 bands
+    of 6 values with a probability of about 0.98, one at 0.9 of 0.9999; unrelated lines (below 0.1) of 0.00002.
     """
 
     width: int = 5
     similarity: float = 0.8
+    values: int = 64
     bands: int = 16
     rows: int = 6
 
@@ -57,7 +58,7 @@ def _digest(line: str) -> tuple[int, int]:
 
 def _factors(settings: Settings) -> tuple[np.ndarray, np.ndarray]:
     draw = np.random.default_rng(20240607)
-    n = settings.bands * settings.rows
+    n = settings.values
     return draw.integers(0, 1 << 31, n, dtype=np.uint32) * np.uint32(2) + np.uint32(1), draw.integers(0, 1 << 32, n, dtype=np.uint32)
 
 
@@ -110,7 +111,9 @@ def signatures(lines: list[str], settings: Settings) -> np.ndarray:
 
 def band_keys(signature: np.ndarray, settings: Settings) -> np.ndarray:
     """A 64-bit key per line and band."""
-    parts = signature.reshape(len(signature), settings.bands, settings.rows).astype(np.uint64)
+    step = settings.values // settings.bands
+    taken = (np.arange(settings.bands)[:, None] * step + np.arange(settings.rows)) % settings.values
+    parts = signature[:, taken].astype(np.uint64)
     key = np.broadcast_to(np.arange(1, settings.bands + 1, dtype=np.uint64), parts.shape[:2]).copy()
     for i in range(settings.rows):
         key = (key ^ parts[:, :, i]) * np.uint64(0x9E3779B97F4A7C15)
@@ -161,6 +164,35 @@ def _buckets(batches):
             yield pa.RecordBatch.from_arrays([pa.array(x[shared]) for x in (key, leader, ids)], names=["key", "leader", "id"])
 
 
+def sketches(lines: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each line the number of its shingles, and for 256 classes of shingles whether it has an odd number of each, as 4 longs.
+
+    Two lines differ in at least as many shingles as classes. At a Jaccard similarity s they differ in
+    (1 - s) / (1 + s) of both numbers together, so more classes than that rule out a link (see :func:`_near`).
+    """
+    codes = np.frombuffer("".join(x.ljust(width, "\0") for x in lines).encode("utf-32-le", "surrogatepass"), np.uint32)
+    lengths = np.array([max(len(x), width) for x in lines])
+    good = np.ones(len(codes), bool)
+    for back in range(1, width):
+        good[np.cumsum(lengths) - back] = False
+    h = _hashes(codes, width)
+    at = np.repeat(np.arange(len(lines), dtype=np.uint64), lengths - width + 1)
+    both = np.unique((at << np.uint64(32)) | h[good[: len(h)]])
+    at = (both >> np.uint64(32)).astype(np.int64)
+    kind = ((both & np.uint64(0xFFFFFFFF)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(56)).astype(np.int64)
+    odd = np.bincount(at * 256 + kind, minlength=len(lines) * 256).reshape(-1, 256) & 1
+    return np.bincount(at, minlength=len(lines)), np.packbits(odd.astype(np.uint8), axis=1).view("<i8")
+
+
+def _near(a: str, b: str, similarity: float) -> Column:
+    """Whether two rows' sketches allow the similarity; two shingles' room for hashes that coincide."""
+    classes = sum((F.bit_count(F.col(f"{a}{i}").bitwiseXOR(F.col(f"{b}{i}"))) for i in range(4)), F.lit(0))
+    return classes <= (F.col(f"{a}n") + F.col(f"{b}n")) * ((1 - similarity) / (1 + similarity)) + 2
+
+
+LINES = "id long, line string, n int, s0 long, s1 long, s2 long, s3 long"
+
+
 def _line_rows(batches):
     """``id, line`` of the lines of texts, once per batch."""
     for batch in batches:
@@ -172,6 +204,19 @@ def _line_rows(batches):
             yield pa.RecordBatch.from_arrays([pa.array(list(fresh), pa.int64()), pa.array(list(fresh.values()), pa.string())], names=["id", "line"])
 
 
+def _sketched(settings: Settings):
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                n, bits = sketches(batch.column(1).to_pylist(), settings.width)
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(n, pa.int32()), *(pa.array(np.ascontiguousarray(bits[:, i])) for i in range(4))],
+                    names=["id", "line", "n", "s0", "s1", "s2", "s3"],
+                )
+
+    return run
+
+
 def _occurrences(batches):
     for batch in batches:
         rows = [
@@ -196,10 +241,17 @@ def _similar(settings: Settings):
     return run
 
 
+def _marked(lines: DataFrame, name: str, *columns: str) -> DataFrame:
+    """The id, the sketch and ``columns`` of ``lines`` with names that begin with ``name``."""
+    sketch = [F.col(c).alias(f"{name}_{c.removeprefix('s')}") for c in ("n", "s0", "s1", "s2", "s3")]
+    return lines.select(F.col("id").alias(name), *sketch, *[F.col(c).alias(f"{name}_{c}") for c in columns])
+
+
 def _verified(pairs: DataFrame, lines: DataFrame, settings: Settings) -> DataFrame:
-    left = lines.select(F.col("id").alias("a"), F.col("line").alias("line_a"))
-    right = lines.select(F.col("id").alias("b"), F.col("line").alias("line_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "line_a", "line_b").mapInArrow(_similar(settings), "a long, b long")
+    left = pairs.join(_marked(lines, "a", "line"), "a")
+    right = _marked(lines, "b", "line").withColumnRenamed("b", "other")
+    near = left.join(right, (F.col("b") == F.col("other")) & _near("a_", "b_", settings.similarity))
+    return near.select("a", "b", "a_line", "b_line").mapInArrow(_similar(settings), "a long, b long")
 
 
 def line_links(docs: DataFrame, text_col: str, settings: Settings) -> DataFrame:
@@ -207,7 +259,8 @@ def line_links(docs: DataFrame, text_col: str, settings: Settings) -> DataFrame:
 
     A band key's members are verified with its smallest member first, which makes no more pairs than members. Those links are
     joined to components. Only then are the other pairs of a key looked at, and of them only pairs from different components: where
-    thousands of variants of a line have met already, none are left. No pair is left out that could join anything.
+    thousands of variants of a line have met already, none are left. Pairs whose sketches rule a link out end in the join; all
+    others are compared shingle by shingle. No pair is left out that could join anything.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(text_col).alias("text")).filter("text IS NOT NULL")
@@ -217,7 +270,8 @@ def line_links(docs: DataFrame, text_col: str, settings: Settings) -> DataFrame:
         "buckets",
     )
     lines, at_lines = staged(
-        texts.mapInArrow(_line_rows, "id long, line string").join(buckets.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]),
+        texts.mapInArrow(_line_rows, "id long, line string").join(buckets.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
+        .mapInArrow(_sketched(settings), LINES),
         "lines",
     )
     first = buckets.filter("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
@@ -226,9 +280,13 @@ def line_links(docs: DataFrame, text_col: str, settings: Settings) -> DataFrame:
         "key", "leader", "id", F.coalesce("component", "id").alias("component")
     )
     open_keys = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
-    rest, at_rest = staged(members.filter("id <> leader").join(open_keys, "key"), "open")
-    other = rest.select("key", F.col("id").alias("b"), F.col("component").alias("component_b"))
-    second = rest.join(other, "key").filter("component < component_b").select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
+    rest = members.filter("id <> leader").join(open_keys, "key").select("key", F.col("id").alias("a"), F.col("component").alias("a_component"))
+    rest, at_rest = staged(rest.join(_marked(lines, "a"), "a"), "open")
+    other = rest.select("key", *[F.col(c).alias("b" + c[1:]) for c in rest.columns if c != "key"])
+    second = (
+        rest.join(other.withColumnRenamed("key", "other_key"), (F.col("key") == F.col("other_key")) & (F.col("a_component") < F.col("b_component")) & _near("a_", "b_", settings.similarity))
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    )
     found, at_found = staged(links.unionByName(_verified(second, lines, settings)), "all-links")
     out = connected_components(found)
     drop(spark, at_buckets, at_lines, at_links, at_rest, at_found)
