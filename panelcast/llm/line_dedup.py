@@ -276,11 +276,21 @@ def line_links(docs: DataFrame, text_col: str, settings: Settings) -> DataFrame:
     )
     first = buckets.filter("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
     links, at_links = staged(_verified(first, lines, settings), "first-links")
-    members = buckets.join(connected_components(links), F.col("id") == F.col("node"), "left").select(
-        "key", "leader", "id", F.coalesce("component", "id").alias("component")
-    )
-    open_keys = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
-    rest = members.filter("id <> leader").join(open_keys, "key").select("key", F.col("id").alias("a"), F.col("component").alias("a_component"))
+    def open_members(links: DataFrame) -> DataFrame:
+        """Members of keys whose members are not all in one component yet, with their component."""
+        members = buckets.join(connected_components(links), F.col("id") == F.col("node"), "left").select(
+            "key", "leader", F.col("id").alias("a"), F.coalesce("component", "id").alias("a_component")
+        )
+        keys = members.groupBy("key").agg(
+            F.min("a_component").alias("low"), F.max("a_component").alias("high"),
+            F.max(F.struct("a_component", "a")).alias("hub"),
+        ).filter("low < high")
+        return members.join(keys.select("key", "hub"), "key")
+
+    # Members of other components than the leader's meet one of their own first: again no more pairs than members.
+    again = open_members(links).filter("a_component <> hub.a_component").select(F.least("a", "hub.a").alias("a"), F.greatest("a", "hub.a").alias("b")).distinct()
+    links, at_hubs = staged(links.unionByName(_verified(again, lines, settings)), "hub-links")
+    rest = open_members(links).filter("a <> leader").select("key", "a", "a_component")
     rest, at_rest = staged(rest.join(_marked(lines, "a"), "a"), "open")
     other = rest.select("key", *[F.col(c).alias("b" + c[1:]) for c in rest.columns if c != "key"])
     second = (
@@ -289,7 +299,7 @@ def line_links(docs: DataFrame, text_col: str, settings: Settings) -> DataFrame:
     )
     found, at_found = staged(links.unionByName(_verified(second, lines, settings)), "all-links")
     out = connected_components(found)
-    drop(spark, at_buckets, at_lines, at_links, at_rest, at_found)
+    drop(spark, at_buckets, at_lines, at_links, at_hubs, at_rest, at_found)
     return out
 
 
