@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 def pad_hour(hour: Column) -> Column:
-    """Two-digit hour: 9 becomes ``09``."""
-    return F.lpad(hour.cast("string"), 2, "0")
+    """Two-digit hour: 9 becomes ``09``; longer text stays, so that strict parsing refuses it."""
+    text = hour.cast("string")
+    return F.when(F.length(text) == 1, F.concat(F.lit("0"), text)).otherwise(text)
 
 
 def join_text(*parts: Column | str, separator: str = "") -> Column:

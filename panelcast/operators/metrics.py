@@ -17,26 +17,33 @@ from ..functions.types import narrow_fractional
 from .medians import grouped_median
 
 
-def _join_groups(left: DataFrame, right: DataFrame, groups: Sequence[str]) -> DataFrame:
+def _join_groups(left: DataFrame, right: DataFrame, groups: Sequence[str], how: str = "inner") -> DataFrame:
     condition = [F.col(f"l.{g}").eqNullSafe(F.col(f"r.{g}")) for g in groups]
     both = condition[0]
     for term in condition[1:]:
         both = both & term
     extra = [name for name in right.columns if name not in groups]
-    return left.alias("l").join(right.alias("r"), both).select("l.*", *(F.col(f"r.{name}") for name in extra))
+    return left.alias("l").join(right.alias("r"), both, how).select("l.*", *(F.col(f"r.{name}") for name in extra))
 
 
 def error_table(results: DataFrame, groups: Sequence[str], target: str, prediction: str = "prediction") -> DataFrame:
-    """rmse, medae, mae and mape per group, in double precision and unsorted."""
+    """rmse, medae, mae and mape per group, in double precision and unsorted.
+
+    Rows without an actual do not count. A group with an actual whose prediction is null or NaN has null errors: a model that
+    fails must not score well.
+    """
     y, p = F.col(target), F.col(prediction)
-    scored = results.select(*groups, target, prediction).dropna(subset=[target, prediction])
+    scored = results.select(*groups, target, prediction).dropna(subset=[target])
+    failed = p.isNull() | F.isnan(p.cast("double"))
     means = scored.groupBy(*groups).agg(
+        F.count_if(failed).alias("_failed"),
         root_mean_squared_error(y, p).alias("rmse"),
         mean_absolute_error(y, p).alias("mae"),
         mean_absolute_percentage_error(y, p).alias("mape"),
     )
-    medians = grouped_median(scored, groups, absolute_error(y, p), name="medae")
-    return _join_groups(means, medians, groups).select(*groups, "rmse", "medae", "mae", "mape")
+    medians = grouped_median(scored.where(~failed), groups, absolute_error(y, p), name="medae")
+    both = _join_groups(means, medians, groups, "left")
+    return both.select(*groups, *(F.when(F.col("_failed") == 0, F.col(m)).alias(m) for m in ("rmse", "medae", "mae", "mape")))
 
 
 def forecast_metrics(
@@ -49,11 +56,11 @@ def forecast_metrics(
 
 
 def fold_metrics(results: DataFrame, target: str, prediction: str = "prediction", split: str = "split") -> DataFrame:
-    """Per fold: rmse, medae, mape and the median error weighted by 1/actual."""
+    """Per fold: rmse, medae, mape and the median error weighted by 1/actual, which is null without a positive actual."""
     y, p = F.col(target), F.col(prediction)
     plain = error_table(results, [split], target, prediction).select(split, "rmse", "medae", "mape")
     weighted = grouped_median(results, [split], absolute_error(y, p), reciprocal_weight(y), name="medae_weighted")
-    return _join_groups(plain, weighted, [split])
+    return _join_groups(plain, weighted, [split], "left")
 
 
 def mean_over_folds(per_fold: DataFrame, split: str = "split") -> DataFrame:

@@ -80,8 +80,8 @@ def with_model_inputs(df: DataFrame, spec: PanelSpec, settings: BoostingSettings
 def fit_model(train: DataFrame, spec: PanelSpec, settings: BoostingSettings = BoostingSettings()) -> PipelineModel:
     """Fit on the rows with a known target. The series key is a categorical feature.
 
-    Beyond ``max_categories`` series the key is not used as such (its label list
-    would pass through the driver); the history features tell the series apart.
+    The label list of a key passes through the driver, so more than ``max_categories`` series are
+    refused; drop the key from the spec to fit a model without it.
     """
     return _fit(with_model_inputs(train.dropna(subset=[spec.target]), spec, settings), spec, settings)
 
@@ -99,10 +99,11 @@ def _fit(rows: DataFrame, spec: PanelSpec, settings: BoostingSettings) -> Pipeli
     stages, bins = [], 32
     for key in spec.keys:
         names = rows.select(key).distinct().limit(settings.max_categories + 1).count()
-        if names <= settings.max_categories:
-            stages.append(StringIndexer(inputCol=key, outputCol=f"_code_{key}", handleInvalid="keep"))
-            inputs.append(f"_code_{key}")
-            bins = max(bins, names + 1)
+        if names > settings.max_categories:
+            raise ValueError(f"{key} has more than {settings.max_categories} values; raise max_categories or leave the key out")
+        stages.append(StringIndexer(inputCol=key, outputCol=f"_code_{key}", handleInvalid="keep"))
+        inputs.append(f"_code_{key}")
+        bins = max(bins, names + 1)
     stages += [
         VectorAssembler(inputCols=inputs, outputCol="_features"),
         GBTRegressor(

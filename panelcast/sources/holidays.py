@@ -29,9 +29,15 @@ SACRIFICE_FEAST = (
 )
 
 
-def turkish_holidays(spark: SparkSession, years: Iterable[int]) -> DataFrame:
-    """Full public holidays of the years given; movable feasts are known for 2020 to 2026."""
+def turkish_holidays(spark: SparkSession, years: Iterable[int], without_feasts: bool = False) -> DataFrame:
+    """Full public holidays of the years given.
+
+    Movable feasts are known for 2020 to 2026. Other years are refused, unless ``without_feasts`` says that they may lack them.
+    """
     years = sorted(set(years))
+    unknown = set(years) - {first.year for first in RAMADAN_FEAST}
+    if unknown and not without_feasts:
+        raise ValueError(f"the movable feasts of {sorted(unknown)} are not known")
     days = {date(y, m, d) for y in years for m, d, begins in FIXED_DATES if y >= begins}
     for feasts, length in ((RAMADAN_FEAST, 3), (SACRIFICE_FEAST, 4)):
         for first in feasts:

@@ -81,7 +81,7 @@ def lag_features(panel: str, spec: PanelSpec, lags: Sequence[int], unit: str = "
             f'LEFT JOIN panel AS b{lag} ON b{lag}."{spec.time}" + INTERVAL {lag} {unit} = p."{spec.time}" AND {on}'
         )
         columns.append(f"b{lag}.{spec.target} AS {spec.target}_lag_{lag}")
-    return f"WITH panel AS ({panel}) SELECT p.*, {', '.join(columns)} FROM panel AS p {' '.join(joins)}"
+    return f"WITH panel AS MATERIALIZED ({panel}) SELECT p.*, {', '.join(columns)} FROM panel AS p {' '.join(joins)}"
 
 
 def cyclic(name: str, value: str, period: str) -> str:

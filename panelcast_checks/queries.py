@@ -327,7 +327,7 @@ def clock_encodings(spark, folder):
 @query(oracle.date_features(DENSE_ORDERS, "o_orderdate", HOLIDAYS))
 def date_features_daily(spark, folder):
     grid = densify(order_totals(spark, folder), ORDERS)
-    return rounded(add_date_features(grid, "o_orderdate", turkish_holidays(spark, HOLIDAY_YEARS)))
+    return rounded(add_date_features(grid, "o_orderdate", turkish_holidays(spark, HOLIDAY_YEARS, without_feasts=True)))
 
 
 @query(oracle.date_features(EVENT_TOTALS, "ts", "SELECT DISTINCT CAST(o_orderdate + INTERVAL 10592 DAY AS DATE) FROM orders WHERE day(o_orderdate) = 1"))
@@ -365,7 +365,7 @@ def _daily_trip_totals(spark, folder) -> DataFrame:
 
 def daily_trip_features(spark, folder) -> DataFrame:
     totals = cut_lineage(_daily_trip_totals(spark, folder))
-    return panel_features(totals, DAILY_TRIPS, turkish_holidays(spark, HOLIDAY_YEARS))
+    return panel_features(totals, DAILY_TRIPS, turkish_holidays(spark, HOLIDAY_YEARS, without_feasts=True))
 
 
 @query(_feature_table_sql())

@@ -2,6 +2,9 @@ from datetime import datetime
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from panelcast.functions.text import pad_hour
 from panelcast.operators.clean import clean_trips
 from panelcast.plans import presets
 from panelcast.plans.features import build_features, run_feature_job
@@ -90,3 +93,13 @@ def test_feature_job(spark):
     assert [(r.station, r.passage, r.was_null) for r in line.collect()] == [("SIRKECI", None, 1.0)]
     plan = line._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(line_name" in plan
+
+
+def test_only_one_digit_hours_are_padded(spark):
+    got = [r.h for r in spark.createDataFrame([("9",), ("10",), ("123",), (None,)], "h string").select(pad_hour(F.col("h")).alias("h")).collect()]
+    assert got == ["09", "10", "123", None]
+
+
+def test_unknown_feasts_are_refused(spark):
+    with pytest.raises(ValueError):
+        turkish_holidays(spark, [2019])

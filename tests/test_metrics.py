@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from panelcast.operators.folds import assign_fold, held_out_rows, make_folds, train_rows
 from panelcast.operators.medians import grouped_median
-from panelcast.operators.metrics import fold_metrics, forecast_metrics, mean_over_folds
+from panelcast.operators.metrics import error_table, fold_metrics, forecast_metrics, mean_over_folds
 
 from helpers import close
 
@@ -108,3 +108,15 @@ def test_overlapping_folds_repeat_rows(spark):
     first, second = make_folds(datetime(2024, 3, 1), 1, 10)[0], make_folds(datetime(2024, 3, 3), 1, 10)[0]
     df = spark.createDataFrame([(datetime(2024, 2, 28),)], "t timestamp_ntz")
     assert sorted(r.split for r in assign_fold(df, "t", [first, second]).collect()) == [0, 1]
+
+
+def test_failed_predictions_are_not_left_out(spark):
+    rows = [("a", 1.0, 2.0), ("a", 3.0, float("nan")), ("b", 1.0, None), ("c", 1.0, 3.0), ("c", None, 1.0)]
+    got = {r.k: r.mae for r in error_table(spark.createDataFrame(rows, "k string, y double, prediction double"), ["k"], "y").collect()}
+    assert got == {"a": None, "b": None, "c": 2.0}
+
+
+def test_fold_without_positive_actuals_stays(spark):
+    rows = [(0, 2.0, 3.0), (1, 0.0, 1.0)]
+    got = {r.split: r.medae_weighted for r in fold_metrics(spark.createDataFrame(rows, "split int, y double, prediction double"), "y").collect()}
+    assert got == {0: 1.0, 1: None}
