@@ -133,7 +133,7 @@ def halves(text: str, leaf: int) -> list[str]:
 
 
 def encode(
-    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", leaf: int = 16_384, ranks_path: str | None = None
+    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", leaf: int = 32_768, ranks_path: str | None = None
 ) -> DataFrame:
     """``doc_id, ids`` (little-endian unsigned 32-bit) of every whole text, as the tokenizer at ``path`` gives them.
 
@@ -166,13 +166,13 @@ def encode(
         for batch in batches:
             found = [Piece.encode(t, path) for t in batch.column(3).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([f.ids.tobytes() for f in found], pa.binary()), pa.array([f.begins.astype("<i8").tobytes() for f in found], pa.binary())],
+                [*batch.columns, pa.array([f.ids.tobytes() for f in found], pa.binary()), pa.array([f.begins.astype(ID).tobytes() for f in found], pa.binary())],
                 names=["row", "doc_id", "leaf", "text", "ids", "begins"],
             )
 
     def joined(table: pa.Table) -> pa.Table:
         parts = sorted(table.to_pylist(), key=lambda r: r["leaf"])
-        whole = join_all([Piece(r["text"], np.frombuffer(r["ids"], ID), np.frombuffer(r["begins"], "<i8")) for r in parts], path)
+        whole = join_all([Piece(r["text"], np.frombuffer(r["ids"], ID), np.frombuffer(r["begins"], ID).astype(np.int64)) for r in parts], path)
         return pa.table({"doc_id": pa.array([parts[0]["doc_id"]], pa.int64()), "ids": pa.array([whole.ids.tobytes()], pa.binary())})
 
     long = (
