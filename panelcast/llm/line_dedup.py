@@ -44,6 +44,31 @@ def jaccard(a: set, b: set) -> float:
     return both / (len(a) + len(b) - both)
 
 
+def packed_shingles(line: str, width: int) -> np.ndarray | None:
+    """:func:`shingles` as sorted whole numbers that hold all their characters.
+
+    None where 64 bits are too few, and for lines so short that a set is quicker.
+    """
+    bits = 64 // width
+    codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)
+    if len(codes) < max(128, width) or int(codes.max()) >> bits:
+        return None
+    packed = np.zeros(len(codes) - width + 1, np.uint64)
+    for i in range(width):
+        packed = (packed << np.uint64(bits)) | codes[i: i + len(packed)]
+    packed.sort()
+    fresh = np.ones(len(packed), bool)
+    np.not_equal(packed[1:], packed[:-1], out=fresh[1:])
+    return packed[fresh]
+
+
+def packed_jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    merged = np.concatenate([a, b])
+    merged.sort(kind="stable")  # two sorted runs are merged
+    both = int(np.count_nonzero(merged[1:] == merged[:-1]))
+    return both / (len(merged) - both)
+
+
 def split_lines(text: str):
     """(number, line without blanks around it) of every line that is not blank."""
     for number, line in enumerate(text.split("\n")):
@@ -176,10 +201,17 @@ def sketches(lines: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
     for back in range(1, width):
         good[np.cumsum(lengths) - back] = False
     h = _hashes(codes, width)
-    at = np.repeat(np.arange(len(lines), dtype=np.uint64), lengths - width + 1)
-    both = np.unique((at << np.uint64(32)) | h[good[: len(h)]])
-    at = (both >> np.uint64(32)).astype(np.int64)
-    kind = ((both & np.uint64(0xFFFFFFFF)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(56)).astype(np.int64)
+    at = np.repeat(np.arange(len(lines)), lengths - width + 1)
+    ends = np.cumsum(lengths - width + 1)
+    h = h[good[: len(h)]]
+    starts = ends - (lengths - width + 1)
+    for start, end in zip(starts.tolist(), ends.tolist()):  # a line at a time stays in the processor's cache
+        h[start:end].sort()
+    fresh = np.ones(len(h), bool)
+    fresh[1:] = h[1:] != h[:-1]
+    fresh[starts] = True
+    at, h = at[fresh], h[fresh].astype(np.uint64)
+    kind = (h * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(56)).astype(np.int64)
     odd = np.bincount(at * 256 + kind, minlength=len(lines) * 256).reshape(-1, 256) & 1
     return np.bincount(at, minlength=len(lines)), np.packbits(odd.astype(np.uint8), axis=1).view("<i8")
 
@@ -230,12 +262,17 @@ def _occurrences(batches):
 def _similar(settings: Settings):
     def run(batches):
         for batch in batches:
-            a, b, keep, last, held = batch.column(2).to_pylist(), batch.column(3).to_pylist(), [], None, set()
+            a, b, keep, last, held, plain = batch.column(2).to_pylist(), batch.column(3).to_pylist(), [], None, None, None
             for x, y in zip(a, b):
                 if x != last:
-                    last, held = x, shingles(x, settings.width)
-                low, high = sorted((len(x), len(y)))
-                keep.append(jaccard(held, shingles(y, settings.width)) >= settings.similarity if low else high == 0)
+                    last, held, plain = x, packed_shingles(x, settings.width), None
+                other = packed_shingles(y, settings.width) if held is not None else None
+                if other is not None:
+                    alike = packed_jaccard(held, other)
+                else:  # short lines, and characters of scripts beyond the packed ones
+                    plain = plain or shingles(x, settings.width)
+                    alike = jaccard(plain, shingles(y, settings.width))
+                keep.append(alike >= settings.similarity)
             yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run

@@ -188,3 +188,15 @@ def test_vector_edges(spark):
     assert got == [(0, 0, 0, True)] + [(i, 0, i, True) for i in range(1, 7)] + [(7, 3, 7, True), (8, 3, 7, False), (9, 3, 7, False), (9, 3, 7, False), (10, 0, 10, True), (11, 0, 11, True)]
     assert embeddings.near_vectors(frame.limit(0)).count() == 0
     assert embeddings.near_vectors(frame.filter("vec_id < 7")).filter("n_links > 0").count() == 0
+
+
+@given(st.text(alphabet="abcé0Я日 ", min_size=0, max_size=400), st.text(alphabet="abcé0Я日 ", min_size=0, max_size=400))
+def test_packed_shingles(a, b):
+    width = line_dedup.Settings().width
+    a, b = a * 3, (a + b) * 2
+    plain_sets = line_dedup.shingles(a, width), line_dedup.shingles(b, width)
+    packed = line_dedup.packed_shingles(a, width), line_dedup.packed_shingles(b, width)
+    if packed[0] is not None and packed[1] is not None:
+        assert line_dedup.packed_jaccard(*packed) == line_dedup.jaccard(*plain_sets)
+    if packed[0] is not None:
+        assert len(packed[0]) == len(plain_sets[0])
