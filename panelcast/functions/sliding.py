@@ -25,14 +25,16 @@ FROM_VALUES = ("min", "max", *QUANTILES)
 
 def block_statistics(
     frames: dict[str, Span], lags: dict[str, Span], horizon_seconds: int, target: str, seconds: str, block: str,
-    block_seconds: int, keep: Sequence[str],
+    block_seconds: int, keep: Sequence[str], no_history: int,
 ) -> Callable[[pa.Table], pa.Table]:
     """Function for a grouped map over Arrow tables, one block of one series each.
 
     The table holds the block's rows and the history before them, in any order,
     with epoch seconds in ``seconds`` and the block id in ``block``. The result
     holds the block's own rows: the columns ``keep``, ``<stat>_<target>_<frame>``
-    and the lags. Values beyond 2**53 are rounded to doubles, but for the lags.
+    and the lags. Blocks up to ``no_history`` hold rows without a past. Whole numbers stay exact; a sum
+    beyond 64 bits is an error. NaN is a value, larger than all others, as in Spark's
+    aggregates, and a frame with a NaN or an infinite value has such sums and moments.
     """
     spans = {name: (span.months, span.seconds) for name, span in frames.items()}
     lag_seconds = {name: span.seconds for name, span in lags.items()}
@@ -53,6 +55,8 @@ def block_statistics(
 
         def whole_numbers(x):
             """Integers v and a power of two d with x = v / d, exactly."""
+            if x.dtype.kind == "i":
+                return x.astype("int64"), 1
             if (x == np.rint(x)).all() and np.abs(x).max(initial=0) < 2**53:
                 return x.astype("int64"), 1
             ratios = [value.as_integer_ratio() for value in x.tolist()]
@@ -62,13 +66,21 @@ def block_statistics(
         def running(values):
             return np.concatenate([np.zeros(1, dtype=values.dtype), np.cumsum(values)])
 
-        def prefix_sums(t, x):
+        def real(values):
+            """As doubles; infinite where too large for one."""
+            try:
+                return values.astype("float64")
+            except OverflowError:
+                return np.array([float(v) if abs(v) < 2**1023 else math.inf if v > 0 else -math.inf for v in values])
+
+        def prefix_sums(t, x, present):
             """Running sums that every frame of the block is a difference of."""
-            valid = ~np.isnan(x)
-            v, d = whole_numbers(np.where(valid, x, 0.0))
+            valid = present & np.isfinite(x)
+            v, d = whole_numbers(np.where(valid, x, x.dtype.type(0)))
+            x = x.astype("float64")
             unit = int(np.gcd.reduce(np.diff(t))) if len(t) > 1 else 1
             k = (t - t[0]) // unit
-            size, top, reach = len(t), int(np.abs(v).max(initial=0)), int(k[-1])
+            size, top, reach = len(t), max(int(v.max(initial=0)), -int(v.min(initial=0))), int(k[-1])
             # 64-bit sums may wrap on the way; what comes out is right as long as
             # the shifted sums themselves fit. Otherwise Python's integers do it.
             width = int(v[valid].max(initial=0) - v[valid].min(initial=0)) + 1
@@ -81,6 +93,9 @@ def block_statistics(
             bits = 61 - math.ceil(math.log2(size * (np.abs(logs).max(initial=0) + 1)))
             sums = {
                 "n": valid.astype("int64"),
+                "nan": (present & np.isnan(x)).astype("int64"),
+                "up": (present & (x == np.inf)).astype("int64"),
+                "down": (present & (x == -np.inf)).astype("int64"),
                 "outside": (valid & ~inside).astype("int64"),
                 "log": np.rint(np.ldexp(logs, bits)).astype("int64"),
                 "s1": v, "s2": v * v, "s3": v * v * v, "s4": v * v * v * v,
@@ -88,7 +103,7 @@ def block_statistics(
             }
             return {name: running(values) for name, values in sums.items()}, d, unit, bits
 
-        def from_sums(sums, lo, hi, d, unit, bits):
+        def from_sums(sums, lo, hi, d, unit, bits, whole):
             f = {name: total[hi] - total[lo] for name, total in sums.items()}
             count, n = f["n"], f["n"].astype("float64")
             # Shift to a whole number next to the mean: still exact, and small.
@@ -97,26 +112,46 @@ def block_statistics(
             d2 = f["s2"] - c * (2 * f["s1"] - count * c)
             d3 = f["s3"] - c * (3 * f["s2"] - c * (3 * f["s1"] - count * c))
             d4 = f["s4"] - c * (4 * f["s3"] - c * (6 * f["s2"] - c * (4 * f["s1"] - count * c)))
-            e, a2, a3, a4 = (part.astype("float64") / n for part in (d1, d2, d3, d4))
+            e, a2, a3, a4 = (real(part) / n for part in (d1, d2, d3, d4))
             m2 = a2 - e * e
             m3 = a3 - 3 * e * a2 + 2 * e**3
             m4 = a4 - 4 * e * a3 + 6 * e * e * a2 - 3 * e**4
             spread = np.where(m2 > 0, m2, np.nan)
             g1, g2 = m3 / spread**1.5, m4 / (spread * spread) - 3
-            t_top = (count * f["tx"] - f["t1"] * f["s1"]).astype("float64")
-            t_low = (count * f["t2"] - f["t1"] * f["t1"]).astype("float64")
-            total = f["s1"].astype("float64")
-            return {
-                "n": count,
+            t_top = real(count * f["tx"] - f["t1"] * f["s1"])
+            t_low = real(count * f["t2"] - f["t1"] * f["t1"])
+            total = real(f["s1"])
+            found = {
                 "avg": total / n / d,
                 "std": np.where(n > 1, np.sqrt(np.maximum(m2, 0) * n / (n - 1)) / d, np.nan),
                 "skew": np.where(n > 2, g1 * np.sqrt(n * (n - 1)) / (n - 2), np.nan),
                 "kurt": np.where(n > 3, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6), np.nan),
                 "geomean": np.where(f["outside"] == 0, np.exp(np.ldexp(f["log"] / n, -bits)) - 1, np.nan),
                 "sum": np.where(n > 0, total / d, np.nan),
-                "abs_energy": np.where(n > 0, f["s2"].astype("float64") / d / d, np.nan),
+                "abs_energy": np.where(n > 0, real(f["s2"]) / d / d, np.nan),
                 "slope": np.where(t_low > 0, t_top / t_low / unit / d, np.nan),
             }
+            missing = {name: np.isnan(values) for name, values in found.items()}
+            hot = f["nan"] + f["up"] + f["down"] > 0
+            if hot.any():
+                n = count + f["nan"] + f["up"] + f["down"]
+                both = (f["nan"] > 0) | ((f["up"] > 0) & (f["down"] > 0))
+                total = np.where(both, np.nan, np.where(f["up"] > 0, np.inf, -np.inf))
+                below = (f["outside"] > 0) | (f["down"] > 0)
+                given = {
+                    "avg": (total, 1), "sum": (total, 1), "abs_energy": (np.where(f["nan"] > 0, np.nan, np.inf), 1),
+                    "geomean": (np.where(f["nan"] > 0, np.nan, np.inf), 1), "std": (np.nan, 2), "skew": (np.nan, 3),
+                    "kurt": (np.nan, 4), "slope": (np.nan, 2),
+                }
+                for name, (values, least) in given.items():
+                    found[name] = np.where(hot, values, found[name])
+                    missing[name] = np.where(hot, n < least, missing[name])
+                missing["geomean"] |= hot & below
+            else:
+                n = count
+            if whole:
+                found["sum"] = f["s1"]
+            return n, {name: (values, missing[name]) for name, values in found.items()}
 
         def place(n, q):
             """Position of the discrete quantile among n sorted values."""
@@ -132,7 +167,19 @@ def block_statistics(
             moved = np.minimum(earlier.astype("M8[D]") + (day - month.astype("M8[D]")), last)
             return (moved.astype("M8[s]") + (moment - day)).astype("int64")
 
-        def order_statistics(x, lo, hi, n):
+        def order_statistics(values, present, lo, hi, n):
+            # Ranks instead of values: exact for long integers, and in order for infinite ones.
+            distinct, rank = np.unique(values[present], return_inverse=True)
+            x = np.full(len(values), np.nan)
+            x[present] = rank
+            ranks = ranks_in_frames(x, lo, hi, n)
+            if not len(distinct):
+                distinct = np.zeros(1, values.dtype)
+            return {
+                name: (distinct[np.where(np.isnan(at), 0, at).astype("int64")], np.isnan(at)) for name, at in ranks.items()
+            }
+
+        def ranks_in_frames(x, lo, hi, n):
             # Month frames step back at month ends. Rolling needs starts that
             # only advance; the few rows that step back are done one by one.
             first = len(x) - len(lo)
@@ -161,39 +208,50 @@ def block_statistics(
                     found[name][i] = values[pick] if len(values) else np.nan
             return found
 
-        def column(values, kind):
-            missing = np.isnan(values)
-            if pa.types.is_integer(kind):
-                return pa.array(np.where(missing, 0, values).astype("int64"), mask=missing).cast(kind)
-            return pa.array(values, mask=missing).cast(kind)
+        def column(values, missing, kind):
+            if values.dtype == object:  # fails where a sum does not fit
+                return pa.array([None if gone else int(v) for v, gone in zip(values, missing)], pa.int64()).cast(kind)
+            return pa.array(values, mask=missing, from_pandas=False).cast(kind)
 
         kind = table.schema.field(target).type
         kinds = {name: kind for name in from_values_of}
         kinds["sum"] = pa.int64() if pa.types.is_integer(kind) else pa.float64()
+        if table.num_rows and table[block][0].as_py() <= no_history:
+            own = table.select(list(keep))
+            for frame in spans:
+                for name in statistics:
+                    own = own.append_column(f"{name}_{target}_{frame}", pa.nulls(len(own), kinds.get(name, pa.float64())))
+            for name in lag_seconds:
+                own = own.append_column(name, pa.nulls(len(own), kind))
+            return own
         t = table[seconds].to_numpy()
         if (np.diff(t) < 0).any():
             order = np.argsort(t, kind="stable")
             table, t = table.take(order), t[order]
         first = int(np.searchsorted(t, table[block][0].as_py() * block_seconds))
-        x = table[target].cast(pa.float64(), safe=False).to_numpy()
+        whole = pa.types.is_integer(kind)
+        present = table[target].is_valid().to_numpy()
+        x = table[target].cast(pa.int64() if whole else pa.float64(), safe=False).combine_chunks()
+        x = x.fill_null(0).to_numpy(zero_copy_only=False)
         own = table.slice(first).select(list(keep))
         end = t[first:] - horizon_seconds
         hi = np.searchsorted(t, end, side="right")
         known = (hi > 0) & (t[hi - 1] == end)
-        sums = prefix_sums(t, x) if len(end) else None
+        sums = prefix_sums(t, x, present) if len(end) else None
         names, arrays = list(keep), list(own.columns)
         for frame, (months, length) in spans.items():
             if sums is None:  # nothing but history, as after the last block of a series
-                found = dict.fromkeys(statistics, np.empty(0))
+                found = dict.fromkeys(statistics, (np.empty(0), np.empty(0, bool)))
             else:
                 start = end - length if months is None else months_before(end, months)
                 lo = np.searchsorted(t, start, side="left")
                 with np.errstate(all="ignore"):
-                    found = from_sums(sums[0], lo, hi, *sums[1:])
-                    found.update(order_statistics(x, lo, hi, found["n"]))
+                    n, found = from_sums(sums[0], lo, hi, *sums[1:], whole)
+                    found.update(order_statistics(x, present, lo, hi, n))
             for name in statistics:
                 names.append(f"{name}_{target}_{frame}")
-                arrays.append(column(np.where(known, found[name], np.nan), kinds.get(name, pa.float64())))
+                values, missing = found[name]
+                arrays.append(column(values, missing | ~known, kinds.get(name, pa.float64())))
         for name, length in lag_seconds.items():
             at = np.searchsorted(t, t[first:] - length)
             names.append(name)

@@ -16,7 +16,7 @@ from ..functions.sliding import FROM_VALUES, STATISTICS, block_statistics
 from ..functions.time import epoch_seconds, plus, quoted
 from ..functions.types import is_integral
 from ..spec import PanelSpec, Span, interval_suffix, require_columns
-from .blocks import BLOCK, own_rows, with_history
+from .blocks import BLOCK, NO_HISTORY, has_place, own_rows, with_history
 
 
 def stat_columns(spec: PanelSpec, intervals: Sequence[str]) -> list[str]:
@@ -37,7 +37,8 @@ def add_stat_features(
     ``[t - horizon - interval, t - horizon]``, both ends included; null where
     the series has no row at ``t - horizon``. The panel may have gaps, but
     (keys, time) must be unique. ``native`` computes them with Spark's own
-    window aggregates, at a cost per row that grows with the frame.
+    window aggregates, at a cost per row that grows with the frame; its quantiles
+    pass through doubles, which round whole numbers beyond 2**53.
     """
     return add_history_features(df, spec, intervals=intervals, horizon=horizon, native=native)
 
@@ -56,7 +57,10 @@ def add_history_features(
     lag_unit: str = "DAY",
     native: bool = False,
 ) -> DataFrame:
-    """Statistics and lags together, over one set of blocks."""
+    """Statistics and lags together, over one set of blocks.
+
+    Every row stays. One with a null time or a null key has null features.
+    """
     require_columns(df, spec.columns)
     spans = {interval_suffix(text): Span.parse(text) for text in intervals}
     ahead = Span(horizon, "DAY")
@@ -75,7 +79,10 @@ def add_history_features(
     else:
         if lag_spans:
             blocks = blocks.withColumns(
-                {name: point_before(spec.target, partition, spec.time, span) for name, span in lag_spans.items()}
+                {
+                    name: F.when(has_place(spec), point_before(spec.target, partition, spec.time, span))
+                    for name, span in lag_spans.items()
+                }
             )
         out = own_rows(_native_statistics(df, blocks, spec, spans, ahead) if spans else blocks, spec)
     return out.select(*df.columns, *stat_columns(spec, intervals), *lag_spans)
@@ -98,7 +105,7 @@ def _sliding_features(
         + [T.StructField(name, target) for name in lag_spans]
     )
     slide = block_statistics(
-        spans, lag_spans, ahead.seconds, spec.target, "_seconds", BLOCK, spec.block_seconds, keep
+        spans, lag_spans, ahead.seconds, spec.target, "_seconds", BLOCK, spec.block_seconds, keep, NO_HISTORY
     )
     # A group is at most (block + look-back) / step rows.
     return (
@@ -119,6 +126,7 @@ def _native_statistics(df: DataFrame, blocks: DataFrame, spec: PanelSpec, spans:
         at_row = at_row.withColumns(
             {f"_s_{name}": point_before(f"_s_{name}", partition, spec.time, ahead) for name in spans}
         )
+    at_row = at_row.withColumns({f"_s_{name}": F.when(has_place(spec), F.col(f"_s_{name}")) for name in spans})
     return at_row.selectExpr(
         *(quoted(name) for name in blocks.columns),
         *(
