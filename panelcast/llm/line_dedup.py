@@ -17,7 +17,9 @@ from panelcast.llm.staging import drop, small_batches, staged
 #: Characters around a line that do not count.
 BLANKS = " \t\r\x0b\x0c"
 #: Characters hashed at once; small enough to stay in the processor's cache.
-STRETCH = 1 << 16
+STRETCH = 1 << 15
+#: Turns in which shingles are dealt over MinHash values, and a value that none has fallen to.
+TURNS, NONE = 8, np.uint32(0xFFFFFFFF)
 
 
 @dataclass(frozen=True)
@@ -81,12 +83,6 @@ def _digest(line: str) -> tuple[int, int]:
     return int.from_bytes(raw[:8], "little", signed=True), int.from_bytes(raw[8:], "little", signed=True)
 
 
-def _factors(settings: Settings) -> tuple[np.ndarray, np.ndarray]:
-    draw = np.random.default_rng(20240607)
-    n = settings.values
-    return draw.integers(0, 1 << 31, n, dtype=np.uint32) * np.uint32(2) + np.uint32(1), draw.integers(0, 1 << 32, n, dtype=np.uint32)
-
-
 def _hashes(codes: np.ndarray, width: int) -> np.ndarray:
     m = len(codes) - width + 1
     h = np.zeros(m, np.uint32)
@@ -98,39 +94,79 @@ def _hashes(codes: np.ndarray, width: int) -> np.ndarray:
     return h
 
 
-def signatures(lines: list[str], settings: Settings) -> np.ndarray:
-    """MinHash values of whole lines, one row each; shorter lines than a shingle are one shingle."""
-    factors, offsets = _factors(settings)
-    out = np.full((len(lines), len(factors)), 0xFFFFFFFF, np.uint32)
-    group, size = [], 0
-
-    def fill(members, parts):
-        codes = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.uint32)
-        lengths = np.array([len(p) for p in parts])
-        ends = np.cumsum(lengths)
-        good = np.ones(len(codes), bool)
-        for back in range(1, settings.width):
-            good[ends - back] = False
-        h = _hashes(codes, settings.width)
-        h = h[good[: len(h)]]
-        counts = lengths - settings.width + 1
-        starts = np.cumsum(counts) - counts
-        for p, (a, b) in enumerate(zip(factors, offsets)):
-            out[members, p] = np.minimum(out[members, p], np.minimum.reduceat(h * a + b, starts))
-
+def _blocks(lines: list[str], width: int):
+    """Lines, padded to a shingle, in stretches that stay in the cache: (place of the first, lengths, codes)."""
+    group, size, begin = [], 0, 0
     for i, line in enumerate(lines):
-        line = line.ljust(settings.width, "\0")
-        if len(line) > STRETCH:  # a stretch at a time, overlapping by a shingle less one character
-            for start in range(0, len(line) - settings.width + 1, STRETCH):
-                fill([i], [line[start: start + STRETCH + settings.width - 1]])
-            continue
-        group.append((i, line))
-        size += len(line)
-        if size >= STRETCH:
-            fill(*map(list, zip(*group)))
-            group, size = [], 0
+        if group and size + len(line) > STRETCH:
+            yield begin, np.array([len(x) for x in group]), np.frombuffer("".join(group).encode("utf-32-le", "surrogatepass"), np.uint32)
+            group, size, begin = [], 0, i
+        group.append(line.ljust(width, "\0"))
+        size += len(group[-1])
     if group:
-        fill(*map(list, zip(*group)))
+        yield begin, np.array([len(x) for x in group]), np.frombuffer("".join(group).encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _shingle_hashes(lengths: np.ndarray, codes: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of the shingles of lines laid end to end, without those that reach over a line's end."""
+    if len(lengths) == 1:
+        return _hashes(codes, width)
+    good = np.ones(len(codes), bool)
+    ends = np.cumsum(lengths)
+    for back in range(1, width):
+        good[ends - back] = False
+    h = _hashes(codes, width)
+    return h[good[: len(h)]]
+
+
+def _mixed(h: np.ndarray, turn: int) -> np.ndarray:
+    g = h + np.uint32(turn * 0x9E3779B9 & 0xFFFFFFFF)
+    for shift, factor in ((16, 0x7FEB352D), (15, 0x846CA68B)):
+        g ^= g >> np.uint32(shift)
+        g *= np.uint32(factor)
+    g ^= g >> np.uint32(16)
+    return g
+
+
+def _dealt(out: np.ndarray, at: np.ndarray, h: np.ndarray, turns: range) -> tuple[np.ndarray, np.ndarray]:
+    """Fill values of ``out`` from shingles' hashes ``h`` and lines ``at``; returns those of lines with values left over."""
+    lines, n = out.shape
+    for turn in turns:
+        now = np.full(lines * n, NONE, np.uint32)
+        for start in range(0, len(h), STRETCH):
+            own, g = at[start: start + STRETCH], _mixed(h[start: start + STRETCH], turn)
+            np.minimum.at(now, own * n + (g.astype(np.uint64) * np.uint64(n) >> np.uint64(32)).astype(np.int64), g)
+        empty = out == NONE
+        out[empty] = now.reshape(lines, n)[empty]
+        take = (out == NONE).any(axis=1)[at]
+        at, h = at[take], h[take]
+        if not len(h):
+            break
+    return at, h
+
+
+def signatures(lines: list[str], settings: Settings) -> np.ndarray:
+    """MinHash values of whole lines, one row each; shorter lines than a shingle are one shingle.
+
+    In each turn every shingle falls to one value by its hash, and a value is the least hash of the first turn that has any for it. Two lines agree in
+    a value if the first shingle of both together is in both, as with a hash function for each value, and a line of
+    hundreds of shingles takes about two turns instead of 64 functions.
+    """
+    out, left = np.full((len(lines), settings.values), NONE, np.uint32), []
+    for begin, lengths, codes in _blocks(lines, settings.width):
+        at = np.repeat(np.arange(len(lengths)), lengths - settings.width + 1)
+        at, h = _dealt(out[begin: begin + len(lengths)], at, _shingle_hashes(lengths, codes, settings.width), range(2))
+        left.append((at + begin, h))
+    if left:
+        at, h = _dealt(out, *map(np.concatenate, zip(*left)), range(2, TURNS))
+        few = np.unique(at)  # lines of few shingles: all of them for each value that is left
+        own, some = np.searchsorted(few, at), out[few]
+        empty = some == NONE
+        for value in np.flatnonzero(empty.any(axis=0)).tolist():
+            now = np.full(len(few), NONE, np.uint32)
+            np.minimum.at(now, own, _mixed(h, TURNS + value))
+            some[empty[:, value], value] = now[empty[:, value]]
+        out[few] = some
     return out
 
 
@@ -195,25 +231,22 @@ def sketches(lines: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
     Two lines differ in at least as many shingles as classes. At a Jaccard similarity s they differ in
     (1 - s) / (1 + s) of both numbers together, so more classes than that rule out a link (see :func:`_near`).
     """
-    codes = np.frombuffer("".join(x.ljust(width, "\0") for x in lines).encode("utf-32-le", "surrogatepass"), np.uint32)
-    lengths = np.array([max(len(x), width) for x in lines])
-    good = np.ones(len(codes), bool)
-    for back in range(1, width):
-        good[np.cumsum(lengths) - back] = False
-    h = _hashes(codes, width)
-    at = np.repeat(np.arange(len(lines)), lengths - width + 1)
-    ends = np.cumsum(lengths - width + 1)
-    h = h[good[: len(h)]]
-    starts = ends - (lengths - width + 1)
-    for start, end in zip(starts.tolist(), ends.tolist()):  # a line at a time stays in the processor's cache
-        h[start:end].sort()
-    fresh = np.ones(len(h), bool)
-    fresh[1:] = h[1:] != h[:-1]
-    fresh[starts] = True
-    at, h = at[fresh], h[fresh].astype(np.uint64)
-    kind = (h * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(56)).astype(np.int64)
-    odd = np.bincount(at * 256 + kind, minlength=len(lines) * 256).reshape(-1, 256) & 1
-    return np.bincount(at, minlength=len(lines)), np.packbits(odd.astype(np.uint8), axis=1).view("<i8")
+    count, bits = np.empty(len(lines), np.int64), np.empty((len(lines), 4), "<i8")
+    for begin, lengths, codes in _blocks(lines, width):
+        h = _shingle_hashes(lengths, codes, width)
+        ends = np.cumsum(lengths - width + 1)
+        starts = ends - (lengths - width + 1)
+        for start, end in zip(starts.tolist(), ends.tolist()):
+            h[start:end].sort()
+        fresh = np.ones(len(h), bool)
+        np.not_equal(h[1:], h[:-1], out=fresh[1:])
+        fresh[starts] = True
+        at = np.repeat(np.arange(0, len(lengths) * 256, 256), lengths - width + 1)[fresh]
+        at += (h[fresh] * np.uint32(0x9E3779B1) >> np.uint32(24)).astype(np.int64)
+        odd = (np.bincount(at, minlength=len(lengths) * 256).reshape(-1, 256) & 1).astype(np.uint8)
+        count[begin: begin + len(lengths)] = np.add.reduceat(fresh, starts, dtype=np.int64)
+        bits[begin: begin + len(lengths)] = np.packbits(odd, axis=1).view("<i8")
+    return count, bits
 
 
 def _near(a: str, b: str, similarity: float) -> Column:
@@ -350,9 +383,11 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     small_batches(docs.sparkSession)
     named = line_links(docs, text_col, settings)
-    found = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("version"), F.col(text_col).alias("text")
-    ).mapInArrow(_occurrences, "doc_id long, version long, line_no long, id long, check long")
+    found, _ = staged(
+        docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("version"), F.col(text_col).alias("text"))
+        .mapInArrow(_occurrences, "doc_id long, version long, line_no long, id long, check long"),
+        "occurrences",
+    )  # read twice below
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version", "line_no")
     own = found.groupBy("id").agg(F.min(F.struct(place.alias("place"), "check")).alias("first"))
     grouped = own.join(named, F.col("id") == F.col("node"), "left").select(
