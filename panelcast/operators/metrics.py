@@ -56,13 +56,25 @@ def forecast_metrics(
 
 
 def fold_metrics(results: DataFrame, target: str, prediction: str = "prediction", split: str = "split") -> DataFrame:
-    """Per fold: rmse, medae, mape and the median error weighted by 1/actual, which is null without a positive actual."""
+    """Per fold: rmse, medae, mape and the median error weighted by 1/actual, which is null without a positive actual.
+
+    As in :func:`error_table`, all are null in a fold with an actual whose prediction is null or NaN.
+    """
     y, p = F.col(target), F.col(prediction)
     plain = error_table(results, [split], target, prediction).select(split, "rmse", "medae", "mape")
     weighted = grouped_median(results, [split], absolute_error(y, p), reciprocal_weight(y), name="medae_weighted")
-    return _join_groups(plain, weighted, [split], "left")
+    both = _join_groups(plain, weighted, [split], "left")
+    # A fold has a row only if it has an actual, and then its rmse is null only if a prediction failed.
+    scored = F.col("rmse").isNotNull()
+    return both.select(split, "rmse", "medae", "mape", F.when(scored, F.col("medae_weighted")).alias("medae_weighted"))
 
 
 def mean_over_folds(per_fold: DataFrame, split: str = "split") -> DataFrame:
-    """One row: the plain mean of every fold metric."""
-    return per_fold.agg(*(F.avg(name).alias(name) for name in per_fold.columns if name != split))
+    """One row: the plain mean of every fold metric.
+
+    All are null if a fold's predictions failed, which shows in a null rmse; a weighted median that is null for want of a
+    positive actual is passed over.
+    """
+    names = [name for name in per_fold.columns if name != split]
+    scored = F.count_if(F.col("rmse").isNull()) == 0 if "rmse" in names else F.lit(True)
+    return per_fold.agg(*(F.when(scored, F.avg(name)).alias(name) for name in names))

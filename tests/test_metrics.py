@@ -120,3 +120,13 @@ def test_fold_without_positive_actuals_stays(spark):
     rows = [(0, 2.0, 3.0), (1, 0.0, 1.0)]
     got = {r.split: r.medae_weighted for r in fold_metrics(spark.createDataFrame(rows, "split int, y double, prediction double"), "y").collect()}
     assert got == {0: 1.0, 1: None}
+
+
+@pytest.mark.parametrize("failure", [None, float("nan")])
+def test_a_failed_fold_has_no_weighted_median_and_no_mean(spark, failure):
+    rows = [(0, 2.0, 3.0), (1, 4.0, 5.0), (1, 4.0, failure), (2, 0.0, 1.0)]
+    per_fold = fold_metrics(spark.createDataFrame(rows, "split int, y double, prediction double"), "y")
+    assert {r.split: r.medae_weighted for r in per_fold.collect()} == {0: 1.0, 1: None, 2: None}
+    assert set(mean_over_folds(per_fold).first()) == {None}
+    sound = mean_over_folds(per_fold.where("split <> 1")).first()
+    assert sound.medae == 1.0 and sound.medae_weighted == 1.0
