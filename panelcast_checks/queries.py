@@ -346,14 +346,14 @@ DAILY_TRIPS = PanelSpec("passage", "timestamp", ("line_name", "station"), step="
 DENSE_TRIPS = oracle.dense(trip_totals_sql("0"), DAILY_TRIPS, "1 DAY")
 
 
-def _feature_table_sql() -> str:
+def _feature_table_sql(grid: str = DENSE_TRIPS, spec: PanelSpec = DAILY_TRIPS) -> str:
     # Every operator's SQL adds its columns to the same panel rows.
-    stats = oracle.stat_features("SELECT * FROM grid", DAILY_TRIPS, presets.INTERVALS, presets.HORIZON_DAYS)
-    lags = oracle.lag_features("SELECT * FROM grid", DAILY_TRIPS, presets.LAGS)
+    stats = oracle.stat_features("SELECT * FROM grid", spec, presets.INTERVALS, presets.HORIZON_DAYS)
+    lags = oracle.lag_features("SELECT * FROM grid", spec, presets.LAGS)
     dates = oracle.date_features("SELECT * FROM grid", "timestamp", HOLIDAYS)
     on = 'USING ("timestamp", line_name, station)'
     return f"""
-    WITH grid AS MATERIALIZED ({DENSE_TRIPS})
+    WITH grid AS MATERIALIZED ({grid})
     SELECT s.*, l.* EXCLUDE ("timestamp", line_name, station, passage, was_null),
            d.* EXCLUDE ("timestamp", line_name, station, passage, was_null)
     FROM ({stats}) AS s JOIN ({lags}) AS l {on} JOIN ({dates}) AS d {on}"""
@@ -378,6 +378,20 @@ def _scratch(spark) -> str:
     return f"{checkpoint_dir(spark)}/panelcast-{uuid4().hex}"
 
 
+HOURLY_SINCE = datetime(2001, 9, 1)
+
+
+@query(f"""
+SELECT * EXCLUDE (line_name) FROM ({_feature_table_sql(oracle.dense(trip_totals_sql(), presets.PANEL, "1 HOUR"), presets.PANEL)}) AS f
+WHERE line_name = 'MARMARAY' AND "timestamp" >= TIMESTAMP '{HOURLY_SINCE}'""")
+def feature_table_hourly(spark, folder):
+    """The whole hourly feature table with the presets' frames, horizon and lags, written by line; of one line the last weeks are read back."""
+    totals = cut_lineage(clean_trips(raw_trips(spark, folder), RULES))
+    path = _scratch(spark)
+    write_features(panel_features(totals, presets.PANEL, turkish_holidays(spark, HOLIDAY_YEARS, without_feasts=True)), path)
+    return comparable(read_features(spark, path, since=HOURLY_SINCE, line="MARMARAY"))
+
+
 @query(oracle.lag_features(DENSE_TRIPS, DAILY_TRIPS, (30,)).replace("SELECT p.*", "SELECT p.* EXCLUDE (line_name)") + """
 WHERE p.line_name = 'M1' AND p."timestamp" >= TIMESTAMP '1997-06-01'""")
 def feature_sink_and_line_scope(spark, folder):
@@ -493,10 +507,10 @@ SQL["metric_tables_sink"] = SQL["errors_by_split_and_series"]
 
 @query()
 def boosted_backtest(spark, folder):
-    """Four folds of the boosted model on the daily trip features, scored per series."""
+    """Four folds of the boosted model with the presets' settings on the daily trip features, scored per series."""
     features = cut_lineage(daily_trip_features(spark, folder))
     panel = joined_key(features, ("line_name", "station"), "line_station")
     spec = PanelSpec("passage", "timestamp", ("line_station",), step="1d")
     folds = make_folds(datetime(2001, 10, 31), presets.FOLD_COUNT, presets.FOLD_DAYS)
-    scored = backtest(panel, spec, folds, BoostingSettings(n_estimators=5))
+    scored = backtest(panel, spec, folds, BoostingSettings())
     return error_table(scored, ["split", "line_station"], "passage")
