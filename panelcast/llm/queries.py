@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm import bpe, chat, embeddings, exact_dedup, language_id, line_dedup, packing, simhash, token_counts, warc
+from panelcast.llm import bpe, chat, embeddings, exact_dedup, language_id, line_dedup, packing, simhash, suffixes, token_counts, warc
 from panelcast.llm.staging import scratch
 
 BYTES, RANKS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -125,11 +125,19 @@ def op10_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_vectors(table(spark, folder, "embeddings"))
 
 
+def op11_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = suffixes.remove_repeats(table(spark, folder, "documents"))
+    return kept.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_packing, op2_exact_dedup, op3_warc, op4_line_dedup, op5_language_id, op6_simhash, op7_chat, op8_token_counts, op9_bpe,
-        op10_embeddings,
+        op10_embeddings, op11_suffix_dedup,
     )
 }
 SQL = {"op2_exact_dedup": OP2_SQL, "op3_warc": OP3_SQL, "op7_chat": OP7_SQL}

@@ -34,6 +34,11 @@ def staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def release(spark: SparkSession) -> None:
+    """Let the driver notice which shuffles nothing refers to any more: Spark deletes their files only then."""
+    spark._jvm.System.gc()
+
+
 def drop(spark: SparkSession, *paths: str) -> None:
     """Delete tables written by :func:`staged`, through the file system they lie in."""
     for path in paths:
