@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm import bpe, chat, embeddings, exact_dedup, language_id, line_dedup, packing, simhash, suffixes, token_counts, warc
+from panelcast.llm import bpe, chat, conversations, embeddings, exact_dedup, hard_negatives, language_id, line_dedup, packing, simhash, suffixes, token_counts, warc
 from panelcast.llm.staging import scratch
 
 BYTES, RANKS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -133,11 +133,71 @@ def op11_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+OP11_SQL = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+n AS (SELECT doc_id, h, CAST(length(h) // 2 AS BIGINT) AS n_bytes FROM d),
+w AS (SELECT doc_id, s, md5_number(substr(h, 2 * s + 1, 200)) AS code FROM (SELECT doc_id, h, unnest(range(0, n_bytes - 99)) AS s FROM n)),
+r AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY code ORDER BY doc_id, s) AS k FROM w) WHERE k > 1),
+g AS (SELECT doc_id, s, sum(new) OVER (PARTITION BY doc_id ORDER BY s) AS run
+      FROM (SELECT doc_id, s, CASE WHEN s - lag(s) OVER (PARTITION BY doc_id ORDER BY s) <= 100 THEN 0 ELSE 1 END AS new FROM r)),
+p AS (SELECT doc_id, min(s) AS start, max(s) + 100 AS stop FROM g GROUP BY doc_id, run),
+c AS (SELECT doc_id, list(start ORDER BY start) AS starts, list(stop ORDER BY start) AS stops, sum(stop - start) AS n_removed, count(*) AS n_spans
+      FROM p GROUP BY doc_id)
+SELECT doc_id, n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN n_spans IS NULL THEN h ELSE array_to_string([
+           substr(h, 2 * (CASE WHEN i = 0 THEN 0 ELSE stops[i] END) + 1,
+                  2 * ((CASE WHEN i = n_spans THEN n_bytes ELSE starts[i + 1] END) - (CASE WHEN i = 0 THEN 0 ELSE stops[i] END)))
+           FOR i IN range(0, n_spans + 1)], '') END)) AS kept_sha256
+FROM n LEFT JOIN c USING (doc_id)"""
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    id_, label = F.col("vec_id"), F.col("label")
+    rows = table(spark, folder, "embeddings").withColumn("label", F.when(id_ % 7 == 0, (label + 1) % 10).otherwise(label))
+    return hard_negatives.hard_negatives(rows, id_ % 100 == 0)
+
+
+OP12_SQL = """
+WITH e AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+    SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS id, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+    FROM e AS a JOIN e AS b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS k
+    FROM s WHERE same),
+n AS (
+    SELECT anchor_id, positive_id, positive_score, id AS negative_id, score AS negative_score,
+           CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank
+    FROM p JOIN s USING (anchor_id)
+    WHERE k <= 5 AND NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT * FROM n WHERE rank <= 10"""
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """The turns with faults put in by the checksum of ``conv_id:turn``; a dropped one stays as a row that is not ``present``."""
+    turns = turns.select("conv_id", "turn", F.coalesce("role", F.lit(" ")).alias("role"), F.coalesce("text", F.lit(" ")).alias("text"))
+    name = F.concat_ws(":", F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")), F.coalesce(F.col("turn").cast("string"), F.lit(" ")))
+    turns = turns.withColumn("kind", F.crc32(name) % 20)
+    text = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    return turns.select(
+        "conv_id", "turn", F.when(F.col("kind") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"),
+        (F.col("kind") != 0).alias("present"), F.explode(F.when(F.col("kind") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+    )
+
+
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repair(damaged(table(spark, folder, "conversations")), present=F.col("present"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_packing, op2_exact_dedup, op3_warc, op4_line_dedup, op5_language_id, op6_simhash, op7_chat, op8_token_counts, op9_bpe,
-        op10_embeddings, op11_suffix_dedup,
+        op10_embeddings, op11_suffix_dedup, op12_hard_negatives, op13_conversation_repair,
     )
 }
-SQL = {"op2_exact_dedup": OP2_SQL, "op3_warc": OP3_SQL, "op7_chat": OP7_SQL}
+SQL = {"op2_exact_dedup": OP2_SQL, "op3_warc": OP3_SQL, "op7_chat": OP7_SQL, "op11_suffix_dedup": OP11_SQL, "op12_hard_negatives": OP12_SQL}
