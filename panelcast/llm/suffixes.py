@@ -219,7 +219,10 @@ SPANS = "doc long, version long, start long, stop long, left long, right long"
 
 
 def _windows(length: int, gram: int):
-    """Spans of the windows that also stand earlier in this bucket; windows of a bucket's first and last token with two codes, undecided."""
+    """Spans of the windows that also stand earlier in this bucket.
+
+    Of the others, those of the bucket's first and last token may stand in a neighbour: they are given on with two codes, undecided.
+    """
 
     def run(batches):
         columns = _gathered(batches)
@@ -235,17 +238,17 @@ def _windows(length: int, gram: int):
         step = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
         parts = window_codes(code, (bounds[:-1] - bounds[0])[of] + step, length, gram)
         doc, version, start, token = doc[of], version[of], (place >> RUN_BITS)[of] + step, token[of]
-        edge = (token == token.min()) | (token == token.max())
-        inner = np.flatnonzero(~edge)
-        rows, runs = multikey([p[inner] for p in parts])
-        rows, _, first = _first(inner[rows], runs, doc, start)
-        found = rows[~first]
+        rows, runs = multikey(parts)
+        rows, _, first = _first(rows, runs, doc, start)
+        later = np.zeros(len(of), bool)
+        later[rows[~first]] = True
+        found = np.flatnonzero(later)
         found = found[np.lexsort((start[found], version[found], doc[found]))]
         new = np.flatnonzero(np.concatenate([
             [True], (doc[found][1:] != doc[found][:-1]) | (version[found][1:] != version[found][:-1]) | (np.diff(start[found]) > length)
         ])) if len(found) else found
         stop = start[found[np.append(new[1:], len(found)) - 1]] + length if len(found) else found
-        lead, undecided = found[new], np.flatnonzero(edge)
+        lead, undecided = found[new], np.flatnonzero(~later & ((token == token.min()) | (token == token.max())))
         left, right = (_one([p[undecided] for p in parts], seed).view(np.int64) for seed in (1, 2))
         both, known = np.concatenate([lead, undecided]), np.arange(len(lead) + len(undecided)) < len(lead)
         blank = np.zeros(len(lead), np.int64)
@@ -292,8 +295,8 @@ def remove_repeats(
     * A bucket is sorted by multikey quicksort. An anchor that has all its text in common with an earlier one is decided there: its windows
       all stand earlier. Of the others, those that share a token with a different text are looked into: their text is fetched,
       dealt out in the same way by token, and their windows sorted by their codes.
-    * Tokens at the ends of a bucket may go on in the next: what they hold is given to the following step undecided, and in the end
-      compared by a grouped minimum over all buckets.
+    * Tokens at the ends of a bucket may go on in the next: what is first there is given to the following step undecided, and in the end
+      the first windows of such tokens, at most one per window and bucket, are compared across buckets.
 
     Windows are compared by codes of 128 bits or more, not byte by byte. Null texts are empty. A null id comes after all others, as
     the largest id would. Rows that repeat an id are texts of their own at the same places: of equal strings at the same id
@@ -321,11 +324,10 @@ def remove_repeats(
     drop(spark, pieces_at)
     release(spark)
 
-    # One string may stand in very many undecided windows; these are dealt by place too, and the first of each string sent to all parts.
-    undecided = spans.filter("left IS NOT NULL").withColumn("part", F.pmod(F.xxhash64("doc", "start"), F.lit(16)).cast("int"))
+    # A string is undecided at most once per bucket, unless rows repeat an id.
+    undecided = spans.filter("left IS NOT NULL")
     firsts = undecided.groupBy("left", "right").agg(F.min(F.struct("doc", "start")).alias("first"))
-    firsts = firsts.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(15))))
-    later = undecided.join(firsts, ["left", "right", "part"]).filter((F.col("doc") != F.col("first.doc")) | (F.col("start") != F.col("first.start")))
+    later = undecided.join(firsts, ["left", "right"]).filter((F.col("doc") != F.col("first.doc")) | (F.col("start") != F.col("first.start")))
     start = F.shiftright("place", RUN_BITS)
     whole = marks.filter("token IS NULL").select(
         "doc", "version", start.alias("start"), (start + F.col("place").bitwiseAND((1 << RUN_BITS) - 1) + length).alias("stop")
