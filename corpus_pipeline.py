@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm import language_id, line_dedup, near_documents, packing
+from panelcast.llm import language_id, line_dedup, packing, simhash
 from panelcast.llm.queries import BYTES, RANKS
 from panelcast.llm.staging import scratch
 
@@ -22,8 +22,8 @@ def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that links at five-word similarities of 0.8 or more connect."""
-    return near_documents.keep_one(docs)
+    """One document of each group whose SimHash fingerprints links connect: four-word shingles, at most four of 64 bits."""
+    return simhash.keep_one(docs, width=4, distance=4)
 
 
 def training_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,9 +32,9 @@ def training_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 STAGES = [
-    ("language_id", known_languages), ("line_dedup", distinct_lines), ("near_documents", distinct_documents), ("packing", training_sequences),
+    ("language_id", known_languages), ("line_dedup", distinct_lines), ("simhash", distinct_documents), ("packing", training_sequences),
 ]
-#: SQL can express neither the fitted model nor MinHash; the stages are tested against plain versions.
+#: SQL can express neither the fitted model nor MinHash nor SimHash; run() is tested against a plain version.
 ORACLE_SQL = None
 
 
