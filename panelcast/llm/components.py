@@ -82,3 +82,8 @@ def connected_components(links: DataFrame) -> DataFrame:
         now, before = after, mark_now
         paths.append(path)
     return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
+
+
+def with_least(components: DataFrame) -> DataFrame:
+    """``node, component`` with a row for each component's smallest node as well."""
+    return components.unionByName(components.select(F.col("component").alias("node"), "component").distinct())

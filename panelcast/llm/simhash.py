@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.llm.components import LINKS, connected_components, stars
+from panelcast.llm.skew import split_join
 from panelcast.llm.staging import small_batches, staged
 
 BITS = 64
@@ -57,22 +58,6 @@ def _ones(hashes: list[int]) -> np.ndarray:
     return np.unpackbits(octets, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4) -> DataFrame:
-    """``doc_id, fingerprint`` (64 bits as a long) of every document, over its whole text; null counts as empty, which is 0."""
-    small_batches(docs.sparkSession)
-
-    def run(batches):
-        for batch in batches:
-            found = [fingerprint(t or b"", width) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.array(found, np.uint64).view(np.int64))], names=["doc_id", "fingerprint"]
-            )
-
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("binary")).mapInArrow(
-        run, "doc_id long, fingerprint long"
-    )
-
-
 def probe_plan(rows: int, distance: int, segments: int | None = None) -> list[tuple[int, int, int]]:
     """(first bit, bits, radius) of each segment.
 
@@ -181,6 +166,38 @@ def hamming_links(prints: DataFrame, distance: int = 4, segments: int | None = N
     )
 
 
+def _places(docs: DataFrame, id_col: str, text_col: str) -> list:
+    """Columns that name a document: its id and a hash of its text, none of them null."""
+    id_ = F.col(id_col).cast("long")
+    return [id_.isNull().alias("none"), F.coalesce(id_, F.lit(0)).alias("own_id"), F.coalesce(F.xxhash64(F.col(text_col).cast("binary")), F.lit(0)).alias("version")]
+
+
+PRINTS = "none boolean, own_id long, version long, fingerprint long"
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, width: int, distance: int, segments: int | None, block: int):
+    """The written ``PRINTS`` of all documents, and per fingerprint the first document ``best`` of its component."""
+    small_batches(docs.sparkSession)
+
+    def run(batches):
+        for batch in batches:
+            found = [fingerprint(t or b"", width) for t in batch.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array(np.array(found, np.uint64).view(np.int64))], names=[c.split()[0] for c in PRINTS.split(", ")]
+            )
+
+    texts = docs.select(*_places(docs, id_col, text_col), F.col(text_col).cast("binary").alias("text"))
+    prints, _ = staged(texts.mapInArrow(run, PRINTS), "prints")
+    classes, _ = staged(prints.groupBy("fingerprint").agg(F.min(F.struct("none", "own_id", "version")).alias("place")), "classes")
+    links = hamming_links(classes.select("fingerprint", F.col("fingerprint").alias("rep")), distance, segments, block)
+    named = classes.join(connected_components(links), F.col("fingerprint") == F.col("node"), "left").select(
+        "fingerprint", "place", F.coalesce("component", "fingerprint").alias("group")
+    )
+    first = named.groupBy("group").agg(F.min("place").alias("best"))
+    table, _ = staged(named.join(first, "group").select("fingerprint", "best"), "groups")
+    return prints, table
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, distance: int = 4,
     segments: int | None = None, block: int = 4096,
@@ -189,24 +206,25 @@ def near_duplicates(
 
     Equal fingerprints form one class before anything is compared, so exact copies never make pairs; empty and null texts
     are the class of fingerprint 0. A null id takes part under the ids of its class and is never a component's
-    name, unless its class has no other. Rows with the same id are answered each for itself. An empty
+    name, unless its component has no other. Rows with the same id are answered each for itself. An empty
     table gives an empty result; other columns are not read.
     """
-    prints, _ = staged(fingerprints(docs, id_col, text_col, width), "prints")
-    classes = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("rep"))
-    links = hamming_links(classes.filter("rep IS NOT NULL"), distance, segments, block)
-    named = classes.join(connected_components(links), F.col("rep") == F.col("node"), "left").select(
-        "fingerprint", F.coalesce("component", "rep").alias("component_id")
+    prints, table = _grouped(docs, id_col, text_col, width, distance, segments, block)
+    found = split_join(prints, table, "fingerprint")
+    return found.select(
+        F.when(~F.col("none"), F.col("own_id")).alias("doc_id"), "fingerprint",
+        F.when(~F.col("best.none"), F.col("best.own_id")).alias("component_id"),
     )
-    return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, distance: int = 4) -> DataFrame:
-    """The rows of ``docs`` whose document names its component; columns stay as they are.
+    """One row of ``docs`` for each component of near duplicates; columns stay as they are.
 
-    Rows that repeat an id are one document, of which one row stays. Rows with a null id stay.
+    The row with the smallest (id, hash of the text) stays; null ids come last. Rows that repeat an id with different texts are documents of
+    their own, rows that repeat both are one.
     """
-    kept = near_duplicates(docs, id_col, text_col, width, distance).filter("doc_id = component_id").select(F.col("doc_id").alias("kept_id"))
-    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("own_id"))
-    one = rows.join(kept, F.col("own_id") == F.col("kept_id"), "left_semi").dropDuplicates(["own_id"])
-    return one.unionByName(rows.filter("own_id IS NULL")).select("row.*")
+    _, table = _grouped(docs, id_col, text_col, width, distance, None, 4096)
+    names = ["none", "own_id", "version"]
+    winners = table.select("best.*").distinct()
+    rows = docs.select(F.struct("*").alias("row"), *_places(docs, id_col, text_col))
+    return rows.join(winners, names, "left_semi").dropDuplicates(names).select("row.*")

@@ -1,83 +1,82 @@
-"""Near-duplicate documents against all pairs, and the pipeline's stages together."""
+"""The pipeline against a plain version of all its stages."""
 
 import random
+from collections import defaultdict
 
-import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from panelcast.llm import language_id, line_dedup, near_documents, packing
-from panelcast.llm.queries import BYTES, RANKS
+from panelcast.llm.line_dedup import BLANKS
 from tests.llm import plain
 
 
-def word_set(text, width=5):
-    found = plain.words(text or "")
-    return {tuple(found[i: i + width]) for i in range(len(found) - width + 1)} or ({tuple(found)} if found else set())
+def without_lines(rows):
+    """(id, text) after the first of each group of lines alone stays; documents left without a line go, unless they had none."""
+    groups, out = plain.line_groups(rows), []
+    for doc, text in rows:
+        lines = text.split("\n")
+        own = [(doc, n) for n, line in enumerate(lines) if line.strip(BLANKS)]
+        kept = "\n".join(line for n, line in enumerate(lines) if not line.strip(BLANKS) or groups[doc, n] == (doc, n))
+        if not own or kept.strip(BLANKS + "\n"):
+            out.append((doc, kept))
+    return out
 
 
-def survivors(rows):
-    """Places in ``rows`` (id, text with the smallest hash first) that stay, comparing all pairs."""
-    sets, groups = [word_set(t) for _, t in rows], plain.Groups()
-    for i, a in enumerate(sets):
-        groups.join(i, i)
-        for j in range(i):
-            if a == sets[j] or len(a & sets[j]) >= 0.8 * len(a | sets[j]):
-                groups.join(i, j)
-    return sorted({groups.find(i) for i in range(len(rows))})
+def expected(rows):
+    """Tokens of every document that stays; a text stays in the first stage if it has a letter (all languages here are learned)."""
+    left = without_lines(sorted((d, t) for d, t in rows if t and any(c.isalpha() for c in t)))
+    groups = plain.simhash_groups(left)
+    tokens = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    return {d: [*tokens.encode(t, add_special_tokens=False).ids, 1] for d, t in left if groups[d] == d}
 
 
-def variants(seed=7, groups=40, copies=6):
-    """Texts in groups whose members differ from the first in up to 2.5 % of the words: similarities from about 0.75 to 1."""
-    draw, rows = random.Random(seed), []
-    for _ in range(groups):
-        base = [f"w{draw.randrange(4000)}" for _ in range(draw.randrange(40, 300))]
-        for _ in range(copies):
-            words = list(base)
-            for at in draw.sample(range(len(words)), draw.randrange(0, max(2, len(words) // 40))):
-                words[at] = f"x{draw.randrange(10**6)}"
-            rows.append((len(rows), " ".join(words)))
-    return rows
-
-
-def test_near_documents_against_all_pairs(spark):
-    rows = variants()
-    kept = near_documents.keep_one(plain.documents(spark, rows).repartition(7))
-    assert kept.columns == plain.documents(spark, rows).columns
-    got, want = {r["doc_id"] for r in kept.collect()}, set(survivors(rows))
-    assert len(want) < 0.75 * len(rows) and want <= got and len(got - want) <= 0.02 * len(rows)
-
-
-def test_repeated_and_null_ids(spark):
-    a, b, c = ("alpha beta gamma delta epsilon zeta", "one two three four five six", "red green blue black white pink")
-    rows = [(1, a), (1, b), (2, b.upper()), (None, a), (None, c), (None, c), (3, None), (4, " \n"), (5, "x y"), (6, "X  y"), (1, a)]
-    got = sorted(((r["doc_id"] or 0, r["text"]) for r in near_documents.keep_one(plain.documents(spark, rows)).collect()), key=str)
-    assert got == sorted([(1, a), (1, b), (0, c), (3, None), (5, "x y")], key=str)
-    assert near_documents.keep_one(plain.documents(spark, [])).count() == 0
-
-
-def test_shingles_over_stretches(monkeypatch):
-    text = " ".join(random.Random(1).choices(["ab", "cde", "f", "Ghi"], k=400)).encode()
-    whole = near_documents.shingle_set(text)
-    assert len(whole) == len(word_set(text.decode()))
-    monkeypatch.setattr("panelcast.llm.simhash.STRETCH", 50)
-    assert np.array_equal(near_documents.shingle_set(text), whole)
-
-
-def test_run_against_brute_force(spark, tmp_path):
-    """run() equals its stages with the documents chosen by all pairs. The copies break their lines elsewhere, so that only whole documents are alike."""
+@pytest.fixture(scope="module")
+def corpus(spark, tmp_path_factory):
+    """The test table, reflowed near copies of some of its texts, and texts that the first stage rejects."""
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
-    draw, rows = random.Random(3), []
+    draw, rows = random.Random(3), [(2 * 10**6, None, "en", "s", None), (2 * 10**6 + 1, "", "en", "s", 0), (2 * 10**6 + 2, "12 34\n!", "en", "s", 7)]
     for row in [r for r in docs.orderBy("doc_id").collect() if r["text"] and 150 < len(r["text"].split()) < 400][:12]:
         for width in (13, 17, 23):
             words = row["text"].split()
             words[draw.randrange(len(words))] = "zzz"
             text = "\n".join(" ".join(words[i: i + width]) for i in range(0, len(words), width))
             rows.append((10**6 + len(rows), text, row["lang"], row["source"], len(text)))
-    docs.unionByName(spark.createDataFrame(rows, docs.schema)).write.parquet(f"{tmp_path}/documents.parquet")
-    all_docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
-    left = [(r["doc_id"], r["text"]) for r in line_dedup.dedup_lines(language_id.keep_identified(all_docs)).orderBy("doc_id").collect()]
-    want = {left[i][0] for i in survivors(left)}
-    assert len(want) < len(left) - 12
-    got = {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").distinct().collect()}
-    tokens = packing.pack(plain.documents(spark, [r for r in left if r[0] in want]), BYTES, ranks_path=RANKS)
-    assert got == {r["doc_id"] for r in tokens.select("doc_id").distinct().collect()}
+    folder = tmp_path_factory.mktemp("corpus")
+    docs.unionByName(spark.createDataFrame(rows, docs.schema)).write.parquet(f"{folder}/documents.parquet")
+    return str(folder)
+
+
+def test_run_against_plain_version(spark, corpus):
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{corpus}/documents.parquet").collect()]
+    want = expected(rows)
+    pieces, sequences = defaultdict(list), defaultdict(list)
+    for r in corpus_pipeline.run(spark, corpus).collect():
+        ids = [int.from_bytes(r["ids"][i: i + 4], "little") for i in range(0, len(r["ids"]), 4)]
+        assert len(ids) == r["length"]
+        pieces[r["doc_id"]].append((r["start"], ids))
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+    got = {d: [i for _, ids in sorted(found) for i in ids] for d, found in pieces.items()}
+    assert len(want) < len(rows) - 12 and got == want
+    for found in sequences.values():
+        found.sort()
+        assert [o for o, _ in found] == [sum(n for _, n in found[:i]) for i in range(len(found))] and sum(n for _, n in found) <= 2048
+
+
+def test_stages_keep_columns(spark, corpus):
+    docs = spark.read.parquet(f"{corpus}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, corpus).columns == docs.columns, name
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "simhash", "packing"] and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_empty_and_odd_tables(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+    base = [(i, f"the first line of text number {'abcdefghij'[i % 10] * (i + 3)} is here\nand another {'klmnopqrst'[i % 10] * (i + 5)} one", "en", "s", 1) for i in range(40)]
+    odd = [(1, "a text of its own under an id that comes twice", "en", None, 1), base[3], (None, None, None, None, None), (None, "an english sentence without any id at all", "en", "s", 1), (90, "", "en", "s", 0)]
+    spark.createDataFrame(base + odd, schema).write.parquet(f"{tmp_path}/odd/documents.parquet")
+    got = {(r["doc_id"]) for r in corpus_pipeline.run(spark, f"{tmp_path}/odd").collect()}
+    assert {None, 1, 3} <= got and 90 not in got
