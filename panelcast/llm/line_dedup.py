@@ -8,10 +8,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.components import connected_components
+from panelcast.llm.components import LINKS, connected_components, with_least
+from panelcast.llm.skew import split_join
 from panelcast.llm.staging import drop, small_batches, staged
 
 #: Characters around a line that do not count.
@@ -20,6 +21,8 @@ BLANKS = " \t\r\x0b\x0c"
 STRETCH = 1 << 15
 #: Turns in which shingles are dealt over MinHash values, and a value that none has fallen to.
 TURNS, NONE = 8, np.uint32(0xFFFFFFFF)
+#: Classes of shingles in a sketch, a power of two.
+CLASSES = 1024
 
 
 @dataclass(frozen=True)
@@ -35,6 +38,8 @@ class Settings:
     values: int = 64
     bands: int = 16
     rows: int = 6
+    #: Members of a key that one task holds at once.
+    block: int = 16384
 
 
 def shingles(line: str, width: int) -> set[str]:
@@ -198,40 +203,42 @@ def _band_rows(settings: Settings):
 
 
 def _buckets(batches):
-    """Members of keys that several lines share, from rows sorted by (key, id): ``key, leader, id``, the leader first."""
-    carry = None  # key, leader, last id, whether the leader was given away
+    """Members of keys that several lines share, from rows sorted by key: ``key, leader, id``, where the leader is any member.
+
+    A member may come more than once, as rows of one line do; the leader comes once.
+    """
+    key_before = leader_before = None
+    given = False  # whether that leader was given away
     for batch in batches:
         key, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        fresh = np.ones(len(key), bool)
-        fresh[1:] = (key[1:] != key[:-1]) | (ids[1:] != ids[:-1])
-        if carry is not None:
-            fresh &= (key != carry[0]) | (ids != carry[2])
-        key, ids = key[fresh], ids[fresh]
         if not len(key):
             continue
-        given = 0
-        if carry is not None and key[0] == carry[0]:
-            key, ids = np.append(carry[0], key), np.append(carry[1], ids)
-            given = int(carry[3])
-        first = np.ones(len(key), bool)
-        first[1:] = key[1:] != key[:-1]
-        starts = np.flatnonzero(first)
+        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        leaders = ids[starts]
+        goes_on = key_before is not None and key[0] == key_before
+        if goes_on:
+            leaders[0] = leader_before
         counts = np.diff(np.append(starts, len(key)))
-        leader, shared = np.repeat(ids[starts], counts), np.repeat(counts > 1, counts)
-        if given:
-            shared[0] = False
-        carry = (key[-1], leader[-1], ids[-1], bool(counts[-1] > 1 or (given and len(starts) == 1)))
-        if shared.any():
-            yield pa.RecordBatch.from_arrays([pa.array(x[shared]) for x in (key, leader, ids)], names=["key", "leader", "id"])
+        leader = np.repeat(leaders, counts)
+        other = ids != leader
+        named = np.logical_or.reduceat(other, starts)  # the leader goes along with the first other member
+        new = named.copy()
+        if goes_on:
+            new[0] &= not given
+        given = bool(named[-1] or (goes_on and len(starts) == 1 and given))
+        key_before, leader_before = key[-1], leaders[-1]
+        if other.any() or new.any():
+            columns = [np.concatenate(c) for c in ((key[starts[new]], key[other]), (leaders[new], leader[other]), (leaders[new], ids[other]))]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "leader", "id"])
 
 
 def sketches(lines: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of each line the number of its shingles, and for 256 classes of shingles whether it has an odd number of each, as 4 longs.
+    """Of each line the number of its shingles, and for ``CLASSES`` classes of shingles whether it has an odd number of each, as bits.
 
     Two lines differ in at least as many shingles as classes. At a Jaccard similarity s they differ in
-    (1 - s) / (1 + s) of both numbers together, so more classes than that rule out a link (see :func:`_near`).
+    (1 - s) / (1 + s) of both numbers together, so more classes than that rule out a link (see :func:`near`).
     """
-    count, bits = np.empty(len(lines), np.int64), np.empty((len(lines), 4), "<i8")
+    count, bits = np.empty(len(lines), np.int64), np.empty((len(lines), CLASSES // 64), np.uint64)
     for begin, lengths, codes in _blocks(lines, width):
         h = _shingle_hashes(lengths, codes, width)
         ends = np.cumsum(lengths - width + 1)
@@ -241,21 +248,25 @@ def sketches(lines: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
         fresh = np.ones(len(h), bool)
         np.not_equal(h[1:], h[:-1], out=fresh[1:])
         fresh[starts] = True
-        at = np.repeat(np.arange(0, len(lengths) * 256, 256), lengths - width + 1)[fresh]
-        at += (h[fresh] * np.uint32(0x9E3779B1) >> np.uint32(24)).astype(np.int64)
-        odd = (np.bincount(at, minlength=len(lengths) * 256).reshape(-1, 256) & 1).astype(np.uint8)
+        at = np.repeat(np.arange(0, len(lengths) * CLASSES, CLASSES), lengths - width + 1)[fresh]
+        at += (h[fresh] * np.uint32(0x9E3779B1) >> np.uint32(32 - CLASSES.bit_length() + 1)).astype(np.int64)
+        odd = (np.bincount(at, minlength=len(lengths) * CLASSES).reshape(-1, CLASSES) & 1).astype(np.uint8)
         count[begin: begin + len(lengths)] = np.add.reduceat(fresh, starts, dtype=np.int64)
-        bits[begin: begin + len(lengths)] = np.packbits(odd, axis=1).view("<i8")
+        bits[begin: begin + len(lengths)] = np.packbits(odd, axis=1).view(np.uint64)
     return count, bits
 
 
-def _near(a: str, b: str, similarity: float) -> Column:
-    """Whether two rows' sketches allow the similarity; two shingles' room for hashes that coincide."""
-    classes = sum((F.bit_count(F.col(f"{a}{i}").bitwiseXOR(F.col(f"{b}{i}"))) for i in range(4)), F.lit(0))
-    return classes <= (F.col(f"{a}n") + F.col(f"{b}n")) * ((1 - similarity) / (1 + similarity)) + 2
+def near(n_a: np.ndarray, a: np.ndarray, n_b: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether sketches of rows allow the similarity; two shingles' room for hashes that coincide."""
+    return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64) <= (n_a + n_b) * ((1 - similarity) / (1 + similarity)) + 2
+
 
+def _bits(column: pa.Array) -> np.ndarray:
+    """Sketches of a batch as rows of whole numbers."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), CLASSES // 64)
 
-LINES = "id long, line string, n int, s0 long, s1 long, s2 long, s3 long"
+
+LINES = "id long, line string, n int, sketch binary"
 
 
 def _line_rows(batches):
@@ -275,8 +286,7 @@ def _sketched(settings: Settings):
             if batch.num_rows:
                 n, bits = sketches(batch.column(1).to_pylist(), settings.width)
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(n, pa.int32()), *(pa.array(np.ascontiguousarray(bits[:, i])) for i in range(4))],
-                    names=["id", "line", "n", "s0", "s1", "s2", "s3"],
+                    [*batch.columns, pa.array(n, pa.int32()), pa.array([row.tobytes() for row in bits], pa.binary())], names=["id", "line", "n", "sketch"]
                 )
 
     return run
@@ -292,50 +302,109 @@ def _occurrences(batches):
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "version", "line_no", "id", "check"])
 
 
+class _Line:
+    """A line whose shingles are packed when they are first asked for."""
+
+    def __init__(self, line: str, width: int) -> None:
+        self.line, self.width, self.packed, self.plain = line, width, packed_shingles(line, width), None
+
+    def like(self, other: _Line) -> float:
+        if self.packed is not None and other.packed is not None:
+            return packed_jaccard(self.packed, other.packed)
+        for side in (self, other):  # short lines, and characters of scripts beyond the packed ones
+            side.plain = side.plain or shingles(side.line, side.width)
+        return jaccard(self.plain, other.plain)
+
+
 def _similar(settings: Settings):
+    """Of pairs ``a, b`` with their lines, counts and sketches those that are similar."""
+
     def run(batches):
         for batch in batches:
-            a, b, keep, last, held, plain = batch.column(2).to_pylist(), batch.column(3).to_pylist(), [], None, None, None
-            for x, y in zip(a, b):
+            if not batch.num_rows:
+                continue
+            n_a, n_b = batch.column(3).to_numpy(), batch.column(6).to_numpy()
+            keep = near(n_a, _bits(batch.column(4)), n_b, _bits(batch.column(7)), settings.similarity)
+            last, held = None, None
+            for i in np.flatnonzero(keep).tolist():
+                x = batch.column(2)[i].as_py()
                 if x != last:
-                    last, held, plain = x, packed_shingles(x, settings.width), None
-                other = packed_shingles(y, settings.width) if held is not None else None
-                if other is not None:
-                    alike = packed_jaccard(held, other)
-                else:  # short lines, and characters of scripts beyond the packed ones
-                    plain = plain or shingles(x, settings.width)
-                    alike = jaccard(plain, shingles(y, settings.width))
-                keep.append(alike >= settings.similarity)
+                    last, held = x, _Line(x, settings.width)
+                keep[i] = held.like(_Line(batch.column(5)[i].as_py(), settings.width)) >= settings.similarity
             yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
-def _marked(lines: DataFrame, name: str, *columns: str) -> DataFrame:
-    """The id, the sketch and ``columns`` of ``lines`` with names that begin with ``name``."""
-    sketch = [F.col(c).alias(f"{name}_{c.removeprefix('s')}") for c in ("n", "s0", "s1", "s2", "s3")]
-    return lines.select(F.col("id").alias(name), *sketch, *[F.col(c).alias(f"{name}_{c}") for c in columns])
+def _verified(pairs: DataFrame, lines: DataFrame, settings: Settings) -> DataFrame:
+    def side(name: str) -> DataFrame:
+        return lines.select(F.col("id").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("line", "n", "sketch")])
 
+    both = pairs.join(side("b"), "b").join(side("a"), "a")
+    return both.select("a", "b", "a_line", "a_n", "a_sketch", "b_line", "b_n", "b_sketch").mapInArrow(_similar(settings), LINKS)
 
-def _verified(pairs: DataFrame, lines: DataFrame, settings: Settings) -> DataFrame:
-    left = pairs.join(_marked(lines, "a", "line"), "a")
-    right = _marked(lines, "b", "line").withColumnRenamed("b", "other")
-    near = left.join(right, (F.col("b") == F.col("other")) & _near("a_", "b_", settings.similarity))
-    return near.select("a", "b", "a_line", "b_line").mapInArrow(_similar(settings), "a long, b long")
+
+MEMBERS = "key long, block int, asks boolean, component long, id long, line string, n int, sketch binary"
+
+
+def _scan(settings: Settings):
+    """Links that join components within each key, from rows ``MEMBERS`` sorted by key, block and table rows first.
+
+    Of a key the table rows of one block are held, at most ``settings.block``. Every row is compared with the held ones of other components:
+    all sketches at once, then, nearest first, shingle by shingle until a link joins the two components. So a run
+    gives away a spanning forest, and no pair is left out that could join anything.
+    """
+    width, similarity = settings.width, settings.similarity
+
+    def run(batches):
+        now, size = None, 0
+        for batch in batches:
+            found = []
+            columns = [batch.column(i).to_pylist() for i in (0, 1, 2, 3, 4, 5)]
+            counts, bits = batch.column(6).to_numpy(), _bits(batch.column(7)) if batch.num_rows else None
+            for i, (key, block, asks, component, id_, line) in enumerate(zip(*columns)):
+                if now != (key, block):
+                    now, size, root = (key, block), 0, {}
+                    held = np.empty((64, CLASSES // 64), np.uint64)
+                    n, labels, ids, lines = np.empty(64, np.int64), np.empty(64, np.int64), [], []
+                own = component
+                while own in root:
+                    own = root[own]
+                mine = _Line(line, width)
+                close = np.flatnonzero((labels[:size] != own) & near(n[:size], held[:size], counts[i], bits[i], similarity))
+                if len(close):
+                    close = close[np.argsort(np.bitwise_count(held[close] ^ bits[i]).sum(axis=1), kind="stable")]
+                for j in close.tolist():
+                    if labels[j] != own and mine.like(lines[j]) >= similarity:
+                        found.append((id_, ids[j]))
+                        root[own] = int(labels[j])
+                        labels[:size][labels[:size] == own] = labels[j]
+                        own = int(labels[j])
+                if not asks:
+                    if size == len(n):
+                        held, n, labels = (np.concatenate([x, np.empty_like(x)]) for x in (held, n, labels))
+                    held[size], n[size], labels[size] = bits[i], counts[i], own
+                    ids.append(id_)
+                    lines.append(mine)
+                    size += 1
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
+
+    return run
 
 
 def line_links(docs: DataFrame, text_col: str, settings: Settings) -> DataFrame:
     """``node, component`` over ids of lines, complete for all pairs of lines that share a band.
 
-    A band key's members are verified with its smallest member first, which makes no more pairs than members. Those links are
-    joined to components. Only then are the other pairs of a key looked at, and of them only pairs from different components: where
-    thousands of variants of a line have met already, none are left. Pairs whose sketches rule a link out end in the join; all
-    others are compared shingle by shingle. No pair is left out that could join anything.
+    A band key's members are verified with one of them, its leader, which makes no more pairs than members. Those links are joined to
+    components. Only keys of three members or more that are not all in one component are looked at again, by :func:`_scan`: once
+    over their members in order, with no pair made into a row. Where such a key has more than ``settings.block`` open members, they are
+    dealt to several blocks and all of them sent to each. Pairs whose sketches rule a link out are not compared further.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(text_col).alias("text")).filter("text IS NOT NULL")
     buckets, at_buckets = staged(
-        texts.mapInArrow(_band_rows(settings), "key long, id long").repartition("key").sortWithinPartitions("key", "id")
+        texts.mapInArrow(_band_rows(settings), "key long, id long").repartition("key").sortWithinPartitions("key")
         .mapInArrow(_buckets, "key long, leader long, id long"),
         "buckets",
     )
@@ -346,30 +415,23 @@ def line_links(docs: DataFrame, text_col: str, settings: Settings) -> DataFrame:
     )
     first = buckets.filter("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
     links, at_links = staged(_verified(first, lines, settings), "first-links")
-    def open_members(links: DataFrame) -> DataFrame:
-        """Members of keys whose members are not all in one component yet, with their component."""
-        members = buckets.join(connected_components(links), F.col("id") == F.col("node"), "left").select(
-            "key", "leader", F.col("id").alias("a"), F.coalesce("component", "id").alias("a_component")
-        )
-        keys = members.groupBy("key").agg(
-            F.min("a_component").alias("low"), F.max("a_component").alias("high"),
-            F.max(F.struct("a_component", "a")).alias("hub"),
-        ).filter("low < high")
-        return members.join(keys.select("key", "hub"), "key")
-
-    # Members of other components than the leader's meet one of their own first: again no more pairs than members.
-    again = open_members(links).filter("a_component <> hub.a_component").select(F.least("a", "hub.a").alias("a"), F.greatest("a", "hub.a").alias("b")).distinct()
-    links, at_hubs = staged(links.unionByName(_verified(again, lines, settings)), "hub-links")
-    rest = open_members(links).filter("a <> leader").select("key", "a", "a_component")
-    rest, at_rest = staged(rest.join(_marked(lines, "a"), "a"), "open")
-    other = rest.select("key", *[F.col(c).alias("b" + c[1:]) for c in rest.columns if c != "key"])
-    second = (
-        rest.join(other.withColumnRenamed("key", "other_key"), (F.col("key") == F.col("other_key")) & (F.col("a_component") < F.col("b_component")) & _near("a_", "b_", settings.similarity))
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    joined, at_joined = staged(connected_components(links), "first-components")
+    members = buckets.select("key", "id").distinct().join(joined, F.col("id") == F.col("node"), "left").select(
+        "key", "id", F.coalesce("component", "id").alias("component")
     )
-    found, at_found = staged(links.unionByName(_verified(second, lines, settings)), "all-links")
+    members, at_members = staged(members, "members")
+    open_keys = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).filter(
+        "low < high AND n > 2"
+    ).select("key", F.ceil(F.col("n") / settings.block).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    dealt = members.join(open_keys, "key").select(
+        "key", "component", "id", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+    ).withColumn("asks", F.col("own") != F.col("block"))
+    rows = dealt.join(lines, "id").select(*[c.split()[0] for c in MEMBERS.split(", ")])
+    more = rows.repartition("key", "block").sortWithinPartitions("key", "block", "asks").mapInArrow(_scan(settings), LINKS)
+    found, at_found = staged(links.unionByName(more), "all-links")
     out = connected_components(found)
-    drop(spark, at_buckets, at_lines, at_links, at_hubs, at_rest, at_found)
+    drop(spark, at_buckets, at_lines, at_links, at_joined, at_members, at_found)
     return out
 
 
@@ -382,23 +444,22 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     empty result; other columns are not read.
     """
     small_batches(docs.sparkSession)
-    named = line_links(docs, text_col, settings)
+    named, _ = staged(with_least(line_links(docs, text_col, settings)), "line-components")
     found, _ = staged(
         docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("version"), F.col(text_col).alias("text"))
         .mapInArrow(_occurrences, "doc_id long, version long, line_no long, id long, check long"),
         "occurrences",
     )  # read twice below
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version", "line_no")
-    own = found.groupBy("id").agg(F.min(F.struct(place.alias("place"), "check")).alias("first"))
-    grouped = own.join(named, F.col("id") == F.col("node"), "left").select(
+    own = found.groupBy("id").agg(F.min(F.struct(place.alias("place"), "check")).alias("first"), F.count("*").alias("rows"))
+    grouped = own.join(named, F.col("id") == F.col("node"), "left").filter("rows > 1 OR component IS NOT NULL").select(
         "id", F.col("first.place").alias("place"), F.col("first.check").alias("own_check"), F.coalesce("component", "id").alias("group")
     )
     best = grouped.groupBy("group").agg(F.min("place").alias("best"))
-    winners = grouped.join(best, "group").select("id", "own_check", "best")
-    rows = found.join(winners, "id")
+    winners, _ = staged(grouped.join(best, "group").select("id", "own_check", "best"), "line-winners")
     # A line whose digest is that of another line in the first half only is no duplicate of it.
     target = F.when(F.col("check") == F.col("own_check"), F.col("best")).otherwise(place)
-    rows = rows.select("doc_id", "version", "line_no", target.alias("best"))
+    rows = split_join(found, winners, "id").select("doc_id", "version", "line_no", target.alias("best"))
     return rows.select(
         "doc_id", "line_no", F.col("best.doc_id").alias("keep_doc_id"), F.col("best.line_no").alias("keep_line_no"),
         (F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("version") == F.col("best.version")) & (F.col("line_no") == F.col("best.line_no"))).alias("kept"),
