@@ -194,6 +194,10 @@ def _compare(batches):
     )
 
 
+#: ``part`` is -1 where all marks of a token come to one bucket.
+PIECES = "token long, part int, doc long, version long, place long, piece binary"
+
+
 def _cut(length: int):
     """The text that each marked anchor's windows cover."""
 
@@ -201,15 +205,14 @@ def _cut(length: int):
         for batch in batches:
             doc, version, texts, marks = batch.columns
             at, flat = marks.offsets.to_numpy(), marks.values
-            token, place = flat.field(0).to_numpy(), flat.field(1).to_numpy()
+            token, place, part = (flat.field(i).to_numpy(zero_copy_only=False)[at[0]: at[-1]] for i in range(3))
             rows = np.repeat(np.arange(len(doc)), np.diff(at))
-            token, place = token[at[0]: at[-1]], place[at[0]: at[-1]]
             start, more = place >> RUN_BITS, place & ((1 << RUN_BITS) - 1)
             held = texts.to_pylist()
             pieces = [held[r][s:e] for r, s, e in zip(rows.tolist(), start.tolist(), (start + more + length).tolist())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(token), pa.array(doc.to_numpy()[rows]), pa.array(version.to_numpy()[rows]), pa.array(place), pa.array(pieces, pa.binary())],
-                names=["token", "doc", "version", "place", "piece"],
+                [pa.array(token), pa.array(part), pa.array(doc.to_numpy()[rows]), pa.array(version.to_numpy()[rows]), pa.array(place), pa.array(pieces, pa.binary())],
+                names=[c.split()[0] for c in PIECES.split(", ")],
             )
 
     return run
@@ -221,15 +224,15 @@ SPANS = "doc long, version long, start long, stop long, left long, right long"
 def _windows(length: int, gram: int):
     """Spans of the windows that also stand earlier in this bucket.
 
-    Of the others, those of the bucket's first and last token may stand in a neighbour: they are given on with two codes, undecided.
+    Of the others, those of tokens that are dealt to several buckets may stand in another: they are given on with two codes, undecided.
     """
 
     def run(batches):
         columns = _gathered(batches)
         if not columns:
             return
-        token, doc, version, place = (c.to_numpy() for c in columns[:4])
-        pieces = columns[4].combine_chunks()
+        part, doc, version, place = (c.to_numpy() for c in columns[1:5])
+        pieces = columns[5].combine_chunks()
         bounds = np.frombuffer(pieces.buffers()[1], np.int32, len(pieces) + 1, pieces.offset * 4).astype(np.int64)
         data = np.frombuffer(pieces.buffers()[2], np.uint8)[bounds[0]: bounds[-1]]
         code = codes(data, gram)
@@ -237,7 +240,7 @@ def _windows(length: int, gram: int):
         of = np.repeat(np.arange(len(place)), count)
         step = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
         parts = window_codes(code, (bounds[:-1] - bounds[0])[of] + step, length, gram)
-        doc, version, start, token = doc[of], version[of], (place >> RUN_BITS)[of] + step, token[of]
+        doc, version, start, split = doc[of], version[of], (place >> RUN_BITS)[of] + step, part[of] >= 0
         rows, runs = multikey(parts)
         rows, _, first = _first(rows, runs, doc, start)
         later = np.zeros(len(of), bool)
@@ -248,7 +251,7 @@ def _windows(length: int, gram: int):
             [True], (doc[found][1:] != doc[found][:-1]) | (version[found][1:] != version[found][:-1]) | (np.diff(start[found]) > length)
         ])) if len(found) else found
         stop = start[found[np.append(new[1:], len(found)) - 1]] + length if len(found) else found
-        lead, undecided = found[new], np.flatnonzero(~later & ((token == token.min()) | (token == token.max())))
+        lead, undecided = found[new], np.flatnonzero(~later & split)
         left, right = (_one([p[undecided] for p in parts], seed).view(np.int64) for seed in (1, 2))
         both, known = np.concatenate([lead, undecided]), np.arange(len(lead) + len(undecided)) < len(lead)
         blank = np.zeros(len(lead), np.int64)
@@ -283,7 +286,7 @@ def _remove(batches):
 
 
 def remove_repeats(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, gram: int = 32, bucket: int = 1 << 20
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, gram: int = 32, bucket: int = 1 << 19
 ) -> DataFrame:
     """Without every byte that a string of ``length`` bytes covers which also starts earlier.
 
@@ -295,8 +298,8 @@ def remove_repeats(
     * A bucket is sorted by multikey quicksort. An anchor that has all its text in common with an earlier one is decided there: its windows
       all stand earlier. Of the others, those that share a token with a different text are looked into: their text is fetched,
       dealt out in the same way by token, and their windows sorted by their codes.
-    * Tokens at the ends of a bucket may go on in the next: what is first there is given to the following step undecided, and in the end
-      the first windows of such tokens, at most one per window and bucket, are compared across buckets.
+    * A token at either end of a sorted bucket may go on in the next: what is first there is looked into as well. A token with more texts
+      than a bucket holds is dealt to several, and first windows of those, at most one per window and bucket, are compared across buckets.
 
     Windows are compared by codes of 128 bits or more, not byte by byte. Null texts are empty. A null id comes after all others, as
     the largest id would. Rows that repeat an id are texts of their own at the same places: of equal strings at the same id
@@ -316,10 +319,14 @@ def remove_repeats(
     marks, marks_at = staged(dealt(found, bucket, "token", "content", "doc", "place").mapInArrow(_compare, MARKS), "marks")
     del found
     drop(spark, anchors_at)
-    edges = marks.filter("token IS NOT NULL").groupBy("doc", "version").agg(F.collect_list(F.struct("token", "place")).alias("marks"))
+    most = max(1, bucket // 32)
+    edges = marks.filter("token IS NOT NULL")
+    wide = edges.groupBy("token").count().filter(F.col("count") > most).select("token", F.ceil(F.col("count") / most).cast("int").alias("parts"))
+    part = F.coalesce(F.pmod(F.xxhash64("doc", "place"), F.col("parts")).cast("int"), F.lit(-1)).alias("part")
+    edges = edges.join(wide, "token", "left").groupBy("doc", "version").agg(F.collect_list(F.struct("token", "place", part)).alias("marks"))
     cut = texts.join(edges, ["doc", "version"]).select("doc", "version", "text", "marks")
-    pieces, pieces_at = staged(cut.mapInArrow(_cut(length), "token long, doc long, version long, place long, piece binary"), "pieces")
-    spans, _ = staged(dealt(pieces, max(1, bucket // 32), "token", "doc", "place").mapInArrow(_windows(length, gram), SPANS), "spans")
+    pieces, pieces_at = staged(cut.mapInArrow(_cut(length), PIECES), "pieces")
+    spans, _ = staged(dealt(pieces, most, "token", "part").mapInArrow(_windows(length, gram), SPANS), "spans")
     del edges, cut, pieces
     drop(spark, pieces_at)
     release(spark)
