@@ -25,7 +25,7 @@ FROM_VALUES = ("min", "max", *QUANTILES)
 
 def block_statistics(
     frames: dict[str, Span], lags: dict[str, Span], horizon_seconds: int, target: str, seconds: str, block: str,
-    block_seconds: int, keep: Sequence[str], no_history: int,
+    block_seconds: int, keep: Sequence[str], no_history: int, quantiles_only: bool = False,
 ) -> Callable[[pa.Table], pa.Table]:
     """Function for a grouped map over Arrow tables, one block of one series each.
 
@@ -33,12 +33,13 @@ def block_statistics(
     with epoch seconds in ``seconds`` and the block id in ``block``. The result
     holds the block's own rows: the columns ``keep``, ``<stat>_<target>_<frame>``
     and the lags. Blocks up to ``no_history`` hold rows without a past. Whole numbers stay exact; a sum
-    beyond 64 bits is an error. NaN is a value, larger than all others, as in Spark's
+    beyond 64 bits is an error. ``quantiles_only`` leaves out all other statistics. NaN is a value, larger than all others, as in Spark's
     aggregates, and a frame with a NaN or an infinite value has such sums and moments.
     """
     spans = {name: (span.months, span.seconds) for name, span in frames.items()}
     lag_seconds = {name: span.seconds for name, span in lags.items()}
-    quantile_points, statistics, from_values_of = dict(QUANTILES), STATISTICS, FROM_VALUES
+    quantile_points, from_values_of = dict(QUANTILES), FROM_VALUES
+    statistics = tuple(QUANTILES) if quantiles_only else STATISTICS
 
     # Everything used inside is local, so executors need no copy of this package.
     def slide(table):
@@ -237,16 +238,17 @@ def block_statistics(
         end = t[first:] - horizon_seconds
         hi = np.searchsorted(t, end, side="right")
         known = (hi > 0) & (t[hi - 1] == end)
-        sums = prefix_sums(t, x, present) if len(end) else None
+        sums = None if quantiles_only or not len(end) else prefix_sums(t, x, present)
+        held = running(present.astype("int64"))
         names, arrays = list(keep), list(own.columns)
         for frame, (months, length) in spans.items():
-            if sums is None:  # nothing but history, as after the last block of a series
+            if not len(end):  # nothing but history, as after the last block of a series
                 found = dict.fromkeys(statistics, (np.empty(0), np.empty(0, bool)))
             else:
                 start = end - length if months is None else months_before(end, months)
                 lo = np.searchsorted(t, start, side="left")
                 with np.errstate(all="ignore"):
-                    n, found = from_sums(sums[0], lo, hi, *sums[1:], whole)
+                    n, found = (held[hi] - held[lo], {}) if sums is None else from_sums(sums[0], lo, hi, *sums[1:], whole)
                     found.update(order_statistics(x, present, lo, hi, n))
             for name in statistics:
                 names.append(f"{name}_{target}_{frame}")

@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.frames import frame_statistics, point_before
-from ..functions.sliding import FROM_VALUES, STATISTICS, block_statistics
+from ..functions.growing import frame_columns, with_running_state
+from ..functions.sliding import FROM_VALUES, QUANTILES, STATISTICS, block_statistics
 from ..functions.time import epoch_seconds, plus, quoted
 from ..functions.types import is_integral
 from ..spec import PanelSpec, Span, interval_suffix, require_columns
@@ -36,8 +37,10 @@ def add_stat_features(
     The row at time t gets the statistics of the frame
     ``[t - horizon - interval, t - horizon]``, both ends included; null where
     the series has no row at ``t - horizon``. The panel may have gaps, but
-    (keys, time) must be unique. ``native`` computes them with Spark's own
-    window aggregates, at a cost per row that grows with the frame; its quantiles
+    (keys, time) must be unique. Whole numbers are summed by growing window
+    frames, fractional ones in Arrow blocks, since decimals do not hold them exactly.
+    ``native`` computes all with Spark's sliding window
+    aggregates, at a cost per row that grows with the frame; its quantiles
     pass through doubles, which round whole numbers beyond 2**53.
     """
     return add_history_features(df, spec, intervals=intervals, horizon=horizon, native=native)
@@ -74,6 +77,8 @@ def add_history_features(
     reach += [ahead.seconds + span.seconds for span in spans.values()]
     blocks = with_history(df, spec, max(reach))
     partition = [*spec.keys, BLOCK]
+    if spans and not native and is_integral(df, spec.target):
+        return _growing_features(df, blocks, spec, spans, lag_spans, ahead)
     if spans and not native:
         out = _sliding_features(blocks, spec, spans, lag_spans, ahead)
     else:
@@ -88,6 +93,40 @@ def add_history_features(
     return out.select(*df.columns, *stat_columns(spec, intervals), *lag_spans)
 
 
+def _growing_features(
+    df: DataFrame, blocks: DataFrame, spec: PanelSpec, spans: dict[str, Span], lag_spans: dict[str, Span], ahead: Span
+) -> DataFrame:
+    """All but the quantiles by window frames, the quantiles then in the blocks that the windows sorted: one shuffle."""
+    partition, known = [*spec.keys, BLOCK], has_place(spec)
+    target = df.schema[spec.target].dataType
+    rows = blocks.select(*spec.columns, BLOCK, F.struct(*[F.col(quoted(c)) for c in df.columns]).alias("_row"))
+    rows = rows.withColumn(
+        "_lags",
+        F.struct(F.lit(0).alias("_"), *[F.when(known, point_before(spec.target, partition, spec.time, span)).alias(name) for name, span in lag_spans.items()]),
+    )
+    longest = max(span.seconds for span in spans.values())
+    framed = frame_columns(with_running_state(rows, spec, partition, longest), spec, partition, spans, ahead, known)
+    kept = framed.select(*spec.columns, BLOCK, "_row", "_lags", *[f"_f_{name}" for name in spans], epoch_seconds(F.col(spec.time)).alias("_seconds"))
+    keep = [c for c in kept.columns if c not in (BLOCK, "_seconds")]
+    schema = T.StructType(
+        [kept.schema[name] for name in keep] + [T.StructField(f"{q}_{spec.target}_{frame}", target) for frame in spans for q in QUANTILES]
+    )
+    slide = block_statistics(
+        spans, {}, ahead.seconds, spec.target, "_seconds", BLOCK, spec.block_seconds, keep, NO_HISTORY, quantiles_only=True
+    )
+    out = kept.groupBy(*spec.keys, BLOCK).applyInArrow(slide, schema)
+    kinds = {"min": target, "max": target}
+    return out.select(
+        "_row.*",
+        *(
+            F.col(quoted(f"{s}_{spec.target}_{frame}")) if s in QUANTILES
+            else F.col(f"{quoted('_f_' + frame)}.{s}").cast(kinds.get(s, framed.schema[f"_f_{frame}"].dataType[s].dataType)).alias(f"{s}_{spec.target}_{frame}")
+            for frame in spans for s in STATISTICS
+        ),
+        *[F.col(f"_lags.{quoted(name)}") for name in lag_spans],
+    )
+
+
 def _sliding_features(
     blocks: DataFrame, spec: PanelSpec, spans: dict[str, Span], lag_spans: dict[str, Span], ahead: Span
 ) -> DataFrame:
