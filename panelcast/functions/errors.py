@@ -12,17 +12,8 @@ def absolute_error(actual: Column, predicted: Column) -> Column:
     return F.abs(actual.cast("double") - predicted.cast("double"))
 
 
-def root_mean_squared_error(actual: Column, predicted: Column) -> Column:
-    gap = actual.cast("double") - predicted.cast("double")
-    return F.sqrt(F.avg(gap * gap))
-
-
-def mean_absolute_error(actual: Column, predicted: Column) -> Column:
-    return F.avg(absolute_error(actual, predicted))
-
-
-def mean_absolute_percentage_error(actual: Column, predicted: Column) -> Column:
-    return F.avg(absolute_error(actual, predicted) / F.greatest(F.abs(actual.cast("double")), F.lit(EPSILON)))
+def absolute_percentage_error(actual: Column, predicted: Column) -> Column:
+    return absolute_error(actual, predicted) / F.greatest(F.abs(actual.cast("double")), F.lit(EPSILON))
 
 
 def reciprocal_weight(actual: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,9 +42,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the checkpoint folder so later passes read it back."""
+def run_folder(spark: SparkSession) -> str:
+    """The one folder below the checkpoint folder that holds all tables this application writes for itself."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/panelcast-{spark.sparkContext.applicationId}"
+
+
+def drop_run_folder(spark: SparkSession) -> None:
+    """Delete what this application wrote for itself, through the file system it lies in; results that read it are gone with it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as Parquet to the run's folder and read it back: later passes prune columns and rows, and lineage ends there."""
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(checkpoint_dir(spark))
-    return df.checkpoint(eager=True)
+    path = f"{run_folder(spark)}/{name}-{uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

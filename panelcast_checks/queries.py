@@ -23,7 +23,7 @@ from panelcast.operators.metrics import error_table, fold_metrics, mean_over_fol
 from panelcast.plans import presets
 from panelcast.plans.backtest import BoostingSettings, backtest, joined_key
 from panelcast.plans.features import panel_features
-from panelcast.session import checkpoint_dir, cut_lineage
+from panelcast.session import cut_lineage, run_folder
 from panelcast.spec import PanelSpec
 from panelcast.sources.holidays import FIXED_DATES, RAMADAN_FEAST, SACRIFICE_FEAST, turkish_holidays
 from panelcast.sources.tables import one_line, read_features, read_trips, write_features, write_metrics
@@ -374,8 +374,8 @@ def feature_table(spark, folder):
 
 
 def _scratch(spark) -> str:
-    """A folder of its own for each run, below the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark)}/panelcast-{uuid4().hex}"
+    """A folder of its own for each call, below the application's own folder."""
+    return f"{run_folder(spark)}/query-{uuid4().hex}"
 
 
 HOURLY_SINCE = datetime(2001, 9, 1)

@@ -3,10 +3,9 @@ import pytest
 
 import __spark_entry__ as entry
 from check import TABLES, rows
+from panelcast_checks.queries import QUERIES, SQL
 
 FOLDER = "/root/testdata/sf0.001"
-# Several model fits; covered by test_backtest.
-SLOW = {"boosted_backtest"}
 
 
 @pytest.fixture(scope="module")
@@ -17,16 +16,17 @@ def database():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, database, name):
-    got = entry.queries()[name](spark, FOLDER)
-    want = database.sql(entry.oracle_sql()[name])
+    got = QUERIES[name](spark, FOLDER)
+    want = database.sql(SQL[name])
     assert sorted(got.columns) == sorted(want.columns)
     assert rows(got.columns, [tuple(r) for r in got.collect()]) == rows(want.columns, want.fetchall())
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", ["statistics_at_horizon", "lags_daily_orders", "dense_hourly_shipments", "errors_by_split_and_series"])
