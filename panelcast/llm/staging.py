@@ -6,7 +6,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelcast.session import checkpoint_dir
+from panelcast.session import run_folder
 
 #: Rows and bytes that a Python worker is handed at once.
 BATCH_ROWS, BATCH_BYTES = 1024, 16 << 20
@@ -20,7 +20,7 @@ def small_batches(spark: SparkSession) -> None:
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A path of its own below the folder that driver and executors share."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid4().hex}"
+    return f"{run_folder(spark)}/llm-{name}-{uuid4().hex}"
 
 
 def staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
