@@ -50,3 +50,9 @@ def write_metrics(by_split: DataFrame, by_series: DataFrame, folder: str) -> Non
     """Both error tables under ``folder``; they hold one row per series (and split)."""
     by_split.write.mode("overwrite").parquet(f"{folder}/by_split")
     by_series.write.mode("overwrite").parquet(f"{folder}/by_series")
+
+
+def write_fold_metrics(folds: DataFrame, mean: DataFrame, folder: str) -> None:
+    """The folds' errors and their mean under ``folder``."""
+    folds.write.mode("overwrite").parquet(f"{folder}/folds")
+    mean.write.mode("overwrite").parquet(f"{folder}/mean")

@@ -19,14 +19,14 @@ from panelcast.operators.date_features import add_date_features, day_calendar
 from panelcast.operators.densify import densify, distinct_series, time_axis, time_bounds
 from panelcast.operators.folds import assign_fold, make_folds, since
 from panelcast.operators.history import add_lag_features, add_stat_features
-from panelcast.operators.metrics import error_table, fold_metrics, mean_over_folds
+from panelcast.operators.metrics import backtest_errors, error_table, fold_metrics, forecast_metrics, mean_over_folds
 from panelcast.plans import presets
 from panelcast.plans.backtest import BoostingSettings, backtest, joined_key
 from panelcast.plans.features import panel_features
 from panelcast.session import cut_lineage, run_folder
 from panelcast.spec import PanelSpec
 from panelcast.sources.holidays import FIXED_DATES, RAMADAN_FEAST, SACRIFICE_FEAST, turkish_holidays
-from panelcast.sources.tables import one_line, read_features, read_trips, write_features, write_metrics
+from panelcast.sources.tables import one_line, read_features, read_trips, write_features, write_fold_metrics, write_metrics
 
 from . import oracle
 from .panels import (
@@ -505,6 +505,64 @@ def metric_tables_sink(spark, folder):
 SQL["metric_tables_sink"] = SQL["errors_by_split_and_series"]
 
 
+def _as_floats(sql: str) -> str:
+    """Errors as 32-bit floats, back in doubles so that both engines print the same digits."""
+    return ", ".join(f"round(CAST(CAST({m} AS REAL) AS DOUBLE), 3) AS {m}" for m in sql.split())
+
+
+FLOAT_ERRORS = _as_floats("rmse medae mae mape")
+
+
+def _floats(df: DataFrame) -> DataFrame:
+    return df.select(*(F.round(F.col(f.name).cast("double"), 3).alias(f.name) if f.dataType.simpleString() in ("float", "double") else f.name for f in df.schema.fields))
+
+
+@query(f"""
+SELECT split, o_orderpriority, {FLOAT_ERRORS} FROM ({oracle.errors(SCORED, ("split", "o_orderpriority"), "n")}) AS a
+UNION ALL SELECT NULL, o_orderpriority, {FLOAT_ERRORS} FROM ({oracle.errors(SCORED, ("o_orderpriority",), "n")}) AS b""")
+def forecast_metric_tables(spark, folder):
+    """Both error tables as 32-bit floats, written and read back; the table over all splits has none."""
+    path = _scratch(spark)
+    write_metrics(*forecast_metrics(scored_orders(spark, folder), "o_orderpriority", "n"), path)
+    by_series = spark.read.parquet(f"{path}/by_series").withColumn("split", F.lit(None).cast("int"))
+    return _floats(spark.read.parquet(f"{path}/by_split").unionByName(by_series))
+
+
+@query(f"""
+SELECT split, {_as_floats("rmse medae mape medae_weighted")} FROM ({FOLD_ERRORS}) AS f
+UNION ALL SELECT NULL, {", ".join(f"round(CAST(CAST(avg({m}) AS REAL) AS DOUBLE), 3) AS {m}" for m in ("rmse", "medae", "mape", "medae_weighted"))}
+FROM ({FOLD_ERRORS}) AS g""")
+def fold_metric_tables(spark, folder):
+    """The folds' errors and their mean (without a split) from the one pass that serves all tables, written and read back."""
+    path = _scratch(spark)
+    errors = backtest_errors(scored_orders(spark, folder), "o_orderpriority", "n")
+    write_fold_metrics(errors.folds, errors.mean, path)
+    mean = spark.read.parquet(f"{path}/mean").withColumn("split", F.lit(None).cast("int"))
+    both = spark.read.parquet(f"{path}/folds").unionByName(mean)
+    return _floats(both.select("split", *(F.col(m).cast("float") for m in both.columns if m != "split")))
+
+
+HUGE = 9_007_199_254_740_993 * 400
+HUGE_ERRORS = f"""
+SELECT l_shipmonth, l_partkey * {HUGE} AS actual, l_partkey * CAST({HUGE} AS DOUBLE) + 1000 * l_extendedprice * l_quantity AS prediction
+FROM (SELECT *, month(l_shipdate) AS l_shipmonth FROM lineitem WHERE l_partkey < 2) AS m"""
+
+
+@query(f"""
+WITH scored AS ({HUGE_ERRORS}),
+weighted AS (SELECT l_shipmonth, abs(CAST(actual AS DOUBLE) - prediction) AS e, 1 / CAST(actual AS DOUBLE) AS w FROM scored WHERE actual > 0)
+SELECT l_shipmonth, count(*) AS n, round(quantile_cont(e, 0.5), 0) AS medae_weighted FROM weighted GROUP BY l_shipmonth""")
+def weighted_median_of_huge_actuals(spark, folder):
+    """Weights of 1e-19, all alike: the weighted median is the plain one."""
+    lines = table(spark, folder, "lineitem").where("l_partkey < 2").select(
+        F.month("l_shipdate").alias("l_shipmonth"), (F.col("l_partkey") * HUGE).alias("actual"),
+        (F.col("l_partkey") * float(HUGE) + 1000 * F.col("l_extendedprice") * F.col("l_quantity")).alias("prediction"),
+    )
+    counts = lines.where("actual > 0").groupBy("l_shipmonth").agg(F.count("*").alias("n"))
+    folds = fold_metrics(lines, "actual", split="l_shipmonth").select("l_shipmonth", F.round("medae_weighted", 0).alias("medae_weighted"))
+    return counts.join(folds, "l_shipmonth")
+
+
 @query()
 def boosted_backtest(spark, folder):
     """Four folds of the boosted model with the presets' settings on the daily trip features, scored per series."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from panelcast.operators.folds import make_folds
 from panelcast.operators.history import add_history_features
 from panelcast.plans.backtest import (
-    MISSING, BoostingSettings, backtest, joined_key, run_backtest_job, with_model_inputs,
+    BINS, BoostingSettings, FeatureBins, backtest, joined_key, key_means, run_backtest_job, training_table, with_key, with_label,
 )
 from panelcast.session import checkpoint_dir
 from panelcast.sources.tables import write_features
@@ -67,9 +67,66 @@ def test_backtest_job(spark):
     assert {r.station for r in by_series.collect()} == {"a", "b"}
 
 
+    folds_table = spark.read.parquet(f"{root}/m1/folds").orderBy("split").collect()
+    (mean,) = spark.read.parquet(f"{root}/m1/mean").collect()
+    assert [r.split for r in folds_table] == [0, 1]
+    for name in ("rmse", "medae", "mape", "medae_weighted"):
+        assert math.isclose(mean[name], sum(r[name] for r in folds_table) / 2)
+
+
 def test_weights_and_labels(spark):
     df = spark.createDataFrame([("a", 0, None), ("a", 1, 2.0), ("a", 9, 3.0)], "key string, v bigint, f double")
-    got = with_model_inputs(df, PanelSpec("v", "t", ("key",)), BoostingSettings()).collect()
+    got = with_label(df, PanelSpec("v", "t", ("key",)), BoostingSettings()).collect()
     assert [round(r._label, 9) for r in got] == [0, round(math.log(2), 9), round(math.log(10), 9)]
     assert [round(r._weight, 9) for r in got] == [round(1 / math.log(k), 9) for k in (2, 2, 10)]
-    assert [r._in_f for r in got] == [MISSING, 2.0, 3.0]
+
+
+def test_bins(spark):
+    rows = [(float(i), None if i % 3 else 7.0, i % 2 == 0, None) for i in range(200)] + [(None, None, None, None), (float("inf"), 8.0, True, None)]
+    df = spark.createDataFrame(rows, "a double, `b c` double, d boolean, e double")
+    bins = FeatureBins.of(df, df.columns)
+    got = bins.apply(df, "v").collect()
+    assert all(len(r.v) == 4 for r in got) and len(bins.edges["a"]) <= BINS + 1
+    a = [r.v[0] for r in got if r.a is not None and r.a < 200]
+    assert a == sorted(a) and a[0] == 0 and len(set(a)) == BINS  # in order, and all bins used
+    missing = got[-2].v
+    assert missing[0] > max(a) and {r.v[1] for r in got if r["b c"] == 7.0}.isdisjoint({missing[1]})
+    assert len({(r.d, r.v[2]) for r in got}) == 3 and len({r.v[3] for r in got}) == 1
+
+
+def test_series_means(spark):
+    train = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 10.0), (None, 6.0)], "key string, _label double")
+    spec = PanelSpec("v", "t", ("key",))
+    means = key_means(train, spec, 5.0, BoostingSettings(key_prior=2.0))
+    assert {r.key: (r._key_mean, r._key_rows) for r in means.collect()} == {"a": (14 / 4, 2.0), "b": (20 / 3, 1.0), None: (16 / 3, 1.0)}
+    rows = spark.createDataFrame([("a", 1), ("zz", 2), (None, 3)], "key string, i int")
+    from pyspark.ml.feature import VectorAssembler
+
+    rows = VectorAssembler(inputCols=["i"], outputCol="_features").transform(rows)
+    got = {r.key: r._inputs.toArray().tolist() for r in with_key(rows, means, 5.0, spec).collect()}
+    assert got == {"a": [1.0, 3.5, 2.0], "zz": [2.0, 5.0, 0.0], None: [3.0, 16 / 3, 1.0]}
+
+
+def test_many_series_fit(spark):
+    """More series than any list of categories would take, and one that only the fold has."""
+    first = datetime(2024, 1, 1)
+    df = spark.range(3000).selectExpr(
+        "CAST(id AS STRING) AS key", "explode(sequence(0, 5)) AS day", "id % 50 + 1 AS v"
+    ).selectExpr("key", f"TIMESTAMP_NTZ'{first}' + make_dt_interval(day) AS t", "v", "CAST(day AS DOUBLE) AS f")
+    df = df.unionByName(spark.createDataFrame([("new", first + timedelta(days=5), 9, 5.0)], df.schema))
+    folds = make_folds(first + timedelta(days=5), 1, 1)
+    got = backtest(df, PanelSpec("v", "t", ("key",), step="1d"), folds, BoostingSettings(n_estimators=3, learning_rate=0.5, weighted=False)).collect()
+    assert len(got) == 3001 and len({r.key for r in got}) == 3001
+    # The series' own level is what tells them apart.
+    low = [r.prediction for r in got if r.v <= 10 and r.key != "new"]
+    high = [r.prediction for r in got if r.v > 40]
+    assert sum(high) / len(high) > 2 * sum(low) / len(low)
+
+
+def test_training_table_is_in_order_of_time(spark):
+    first = datetime(2024, 1, 1)
+    df = spark.createDataFrame([("a", first + timedelta(hours=7 * i % 100), i, float(i)) for i in range(100)], "key string, t timestamp_ntz, v bigint, f double")
+    table = training_table(df.repartition(4), PanelSpec("v", "t", ("key",)), first + timedelta(hours=50), BoostingSettings())
+    assert table.count() == 100 and table.columns == ["key", "t", "v", "f", "_label", "_weight", "_features"]
+    plan = table.where("t <= timestamp_ntz'2024-01-02'")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(t), LessThanOrEqual(t" in plan
