@@ -29,13 +29,13 @@ def _levels(spec: PanelSpec, longest_seconds: int) -> int:
     return ceil(log2(ROWS_PER_STEP * (longest_seconds // spec.step_seconds + 2))) + 1
 
 
-def with_running_state(df: DataFrame, spec: PanelSpec, partition: list[str], longest_seconds: int) -> DataFrame:
+def with_running_state(df: DataFrame, spec: PanelSpec, partition: list[str], longest_seconds: int, counted: Column) -> DataFrame:
     """Add ``_state``: running sums up to each row, and minima and maxima of the 1, 2, 4, ... rows that end at it and that follow it.
 
     ``y`` and ``z`` are the values less a whole number near the middle of the block (none where values are small), as they are up to some
     50 and 25 bits, and else without their last bits: second moments are taken from y and higher ones from z, so that all sums fit 38
     digits. They are exact for blocks whose values spread over less than 2**25; quantities that a wider block cannot resolve
-    are differences between values below 2**-25 of its spread.
+    are differences between values below 2**-25 of its spread. ``counted`` is 1, or fails on rows that must not be.
     """
     order = Window.partitionBy(*partition).orderBy(spec.time)
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -57,6 +57,7 @@ def with_running_state(df: DataFrame, spec: PanelSpec, partition: list[str], lon
     since = F.expr(f"CAST(CAST({quoted(spec.time)} - _first AS INTERVAL SECOND) * 1000 AS INTERVAL SECOND)").cast("long")
     df = df.withColumn("_first", first).withColumns(
         {
+            "_one": F.when(x.isNotNull(), counted).otherwise(counted * 0),
             "_y": F.expr("shiftright(_x - _c, _cut.y)").cast(EXACT), "_z": F.expr("shiftright(_x - _c, _cut.z)").cast(EXACT),
             "_t": F.when(less.isNotNull(), since).cast(EXACT), "_l": F.when(x > -1, F.ln(x + F.lit(1.0))).cast(LOGS),
         }
@@ -73,7 +74,7 @@ def with_running_state(df: DataFrame, spec: PanelSpec, partition: list[str], lon
         {
             **{f"_s_{name}": total for name, total in sums.items()},
             "_s_xx": F.try_sum(F.coalesce(square, F.when(x.isNull(), F.lit(0)).cast(EXACT))).over(grown).cast(EXACT),
-            "_s_n": F.count(x).over(grown), "_s_outside": F.count_if(x <= -1).over(grown), "_s_rows": F.row_number().over(order).cast("long"),
+            "_s_n": F.sum("_one").over(grown).cast("long"), "_s_outside": F.count_if(x <= -1).over(grown), "_s_rows": F.row_number().over(order).cast("long"),
         }
     )
     tables = {"low": (F.least, x, F.lead(x, 1).over(order)), "high": (F.greatest, x, F.lead(x, 1).over(order))}

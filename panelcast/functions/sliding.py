@@ -24,7 +24,7 @@ FROM_VALUES = ("min", "max", *QUANTILES)
 
 
 def block_statistics(
-    frames: dict[str, Span], lags: dict[str, Span], horizon_seconds: int, target: str, seconds: str, block: str,
+    frames: dict[str, Span], lags: dict[str, Span], horizon_seconds: int, target: str, time: str, seconds: str, block: str,
     block_seconds: int, keep: Sequence[str], no_history: int, quantiles_only: bool = False,
 ) -> Callable[[pa.Table], pa.Table]:
     """Function for a grouped map over Arrow tables, one block of one series each.
@@ -229,6 +229,9 @@ def block_statistics(
         if (np.diff(t) < 0).any():
             order = np.argsort(t, kind="stable")
             table, t = table.take(order), t[order]
+        moments = table[time].to_numpy()
+        if (moments[1:] == moments[:-1]).any():
+            raise ValueError("a series has two rows of one time; duplicate_keys lists them")
         first = int(np.searchsorted(t, table[block][0].as_py() * block_seconds))
         whole = pa.types.is_integer(kind)
         present = table[target].is_valid().to_numpy()

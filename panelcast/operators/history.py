@@ -62,7 +62,8 @@ def add_history_features(
 ) -> DataFrame:
     """Statistics and lags together, over one set of blocks.
 
-    Every row stays. One with a null time or a null key has null features.
+    Every row stays. One with a null time or a null key has null features. Two rows of one series and time are an error, which shows in the
+    pass that computes the features; calendar-month lags take them as a join would.
     """
     require_columns(df, spec.columns)
     spans = {interval_suffix(text): Span.parse(text) for text in intervals}
@@ -71,12 +72,12 @@ def add_history_features(
     if any(span.months is not None for span in lag_spans.values()):
         if spans:
             df = add_history_features(df, spec, intervals, horizon=horizon, native=native)
-        return _lags_by_join(df, spec, lag_spans)
+        return _lags_by_group(df, spec, lag_spans)
 
     reach = [span.seconds for span in lag_spans.values()]
     reach += [ahead.seconds + span.seconds for span in spans.values()]
-    blocks = with_history(df, spec, max(reach))
     partition = [*spec.keys, BLOCK]
+    blocks = with_history(df, spec, max(reach))
     if spans and not native and is_integral(df, spec.target):
         return _growing_features(df, blocks, spec, spans, lag_spans, ahead)
     if spans and not native:
@@ -85,7 +86,7 @@ def add_history_features(
         if lag_spans:
             blocks = blocks.withColumns(
                 {
-                    name: F.when(has_place(spec), point_before(spec.target, partition, spec.time, span))
+                    name: _once(spec, partition, F.when(has_place(spec), point_before(spec.target, partition, spec.time, span)))
                     for name, span in lag_spans.items()
                 }
             )
@@ -93,6 +94,14 @@ def add_history_features(
     return out.select(*df.columns, *stat_columns(spec, intervals), *lag_spans)
 
 
+def _once(spec: PanelSpec, partition: list[str], value: Column) -> Column:
+    """``value``, whose evaluation fails where a series has two rows of one time; seen in the order that the features need anyway."""
+    keys = ", ".join(map(quoted, partition))
+    before = F.expr(f"lag({quoted(spec.time)}) OVER (PARTITION BY {keys} ORDER BY {quoted(spec.time)})")
+    twice = has_place(spec) & (before == F.col(quoted(spec.time)))
+    return F.when(twice, F.raise_error(F.lit("a series has two rows of one time; duplicate_keys lists them"))).otherwise(value)
+
+
 def _growing_features(
     df: DataFrame, blocks: DataFrame, spec: PanelSpec, spans: dict[str, Span], lag_spans: dict[str, Span], ahead: Span
 ) -> DataFrame:
@@ -105,14 +114,15 @@ def _growing_features(
         F.struct(F.lit(0).alias("_"), *[F.when(known, point_before(spec.target, partition, spec.time, span)).alias(name) for name, span in lag_spans.items()]),
     )
     longest = max(span.seconds for span in spans.values())
-    framed = frame_columns(with_running_state(rows, spec, partition, longest), spec, partition, spans, ahead, known)
+    counted = _once(spec, partition, F.lit(1))
+    framed = frame_columns(with_running_state(rows, spec, partition, longest, counted), spec, partition, spans, ahead, known)
     kept = framed.select(*spec.columns, BLOCK, "_row", "_lags", *[f"_f_{name}" for name in spans], epoch_seconds(F.col(spec.time)).alias("_seconds"))
     keep = [c for c in kept.columns if c not in (BLOCK, "_seconds")]
     schema = T.StructType(
         [kept.schema[name] for name in keep] + [T.StructField(f"{q}_{spec.target}_{frame}", target) for frame in spans for q in QUANTILES]
     )
     slide = block_statistics(
-        spans, {}, ahead.seconds, spec.target, "_seconds", BLOCK, spec.block_seconds, keep, NO_HISTORY, quantiles_only=True
+        spans, {}, ahead.seconds, spec.target, spec.time, "_seconds", BLOCK, spec.block_seconds, keep, NO_HISTORY, quantiles_only=True
     )
     out = kept.groupBy(*spec.keys, BLOCK).applyInArrow(slide, schema)
     kinds = {"min": target, "max": target}
@@ -144,7 +154,7 @@ def _sliding_features(
         + [T.StructField(name, target) for name in lag_spans]
     )
     slide = block_statistics(
-        spans, lag_spans, ahead.seconds, spec.target, "_seconds", BLOCK, spec.block_seconds, keep, NO_HISTORY
+        spans, lag_spans, ahead.seconds, spec.target, spec.time, "_seconds", BLOCK, spec.block_seconds, keep, NO_HISTORY
     )
     # A group is at most (block + look-back) / step rows.
     return (
@@ -159,7 +169,7 @@ def _native_statistics(df: DataFrame, blocks: DataFrame, spec: PanelSpec, spans:
     partition = [*spec.keys, BLOCK]
     kind = df.schema[spec.target].dataType
     at_row = blocks.withColumns(
-        {f"_s_{name}": frame_statistics(spec, partition, span, kind) for name, span in spans.items()}
+        {f"_s_{name}": _once(spec, partition, frame_statistics(spec, partition, span, kind)) for name, span in spans.items()}
     )
     if ahead.count:
         at_row = at_row.withColumns(
@@ -175,12 +185,30 @@ def _native_statistics(df: DataFrame, blocks: DataFrame, spec: PanelSpec, spans:
     )
 
 
-def _lags_by_join(df: DataFrame, spec: PanelSpec, lag_spans: dict[str, Span]) -> DataFrame:
-    """Calendar-month lags: several days can land on one month end, so rows may multiply."""
-    source = df.select(*spec.columns)
-    for name, span in lag_spans.items():
-        moved = source.select(
-            plus(F.col(spec.time), span).alias(spec.time), *spec.keys, F.col(spec.target).alias(name)
-        )
-        df = df.join(moved, [spec.time, *spec.keys], "left")
-    return df
+def _lags_by_group(df: DataFrame, spec: PanelSpec, lag_spans: dict[str, Span]) -> DataFrame:
+    """Calendar-month lags: several days can land on one month end, so rows may multiply.
+
+    Every row is sent to its own time and, for each lag, to the time that many months later; what meets at a time of a series is
+    grouped once, whatever the number of lags. A group holds the rows of one time and the few days that land on it.
+    """
+    own, place = F.struct(*[F.col(quoted(c)) for c in df.columns]), has_place(spec)
+    time, value = F.col(quoted(spec.time)), F.col(quoted(spec.target))
+    kind, target = df.select(own.alias("row")).schema["row"].dataType, df.schema[spec.target].dataType
+    none = F.lit(None)
+    itself = F.struct(F.lit(-1).alias("lag"), time.alias("at"), own.alias("row"), none.cast(target).alias("value"))
+    moved = [
+        F.struct(F.lit(i).alias("lag"), plus(time, span).alias("at"), none.cast(kind).alias("row"), value.alias("value"))
+        for i, span in enumerate(lag_spans.values())
+    ]
+    keys = [F.col(quoted(k)).alias(f"_key_{i}") for i, k in enumerate(spec.keys)]
+    # Rows without a place equal no other: each is a group of its own.
+    alone = F.when(~place, F.monotonically_increasing_id())
+    sent = df.select(*keys, alone.alias("_alone"), F.explode(F.when(place, F.array(itself, *moved)).otherwise(F.array(itself))).alias("_sent"))
+    met = sent.groupBy(*[f"_key_{i}" for i in range(len(keys))], "_alone", F.col("_sent.at").alias("_at")).agg(
+        F.collect_list(F.when(F.col("_sent.lag") == -1, F.col("_sent.row"))).alias("_rows"),
+        *[F.collect_list(F.when(F.col("_sent.lag") == i, F.struct("_sent.value"))).alias(f"_lag_{i}") for i in range(len(moved))],
+    )
+    out = met.select(F.explode("_rows").alias("_row"), *[f"_lag_{i}" for i in range(len(moved))])
+    for i in range(len(moved)):
+        out = out.withColumn(f"_lag_{i}", F.explode_outer(f"_lag_{i}"))
+    return out.select("_row.*", *[F.col(f"_lag_{i}.value").alias(name) for i, name in enumerate(lag_spans)])

@@ -73,15 +73,32 @@ def stat_features(panel: str, spec: PanelSpec, intervals: Sequence[str], horizon
 
 
 def lag_features(panel: str, spec: PanelSpec, lags: Sequence[int], unit: str = "DAY") -> str:
-    """Every panel row with one self-join per lag."""
-    joins, columns = [], []
-    for lag in lags:
-        on = " AND ".join(f"b{lag}.{key} = p.{key}" for key in spec.keys)
-        joins.append(
-            f'LEFT JOIN panel AS b{lag} ON b{lag}."{spec.time}" + INTERVAL {lag} {unit} = p."{spec.time}" AND {on}'
-        )
-        columns.append(f"b{lag}.{spec.target} AS {spec.target}_lag_{lag}")
-    return f"WITH panel AS MATERIALIZED ({panel}) SELECT p.*, {', '.join(columns)} FROM panel AS p {' '.join(joins)}"
+    """Every panel row with the values that fall on its time when they are moved by each lag.
+
+    In months several values can fall on one time, which multiplies rows: one self-join per lag. Else there is one value at most: one
+    join with all moved values.
+    """
+    keys = ", ".join(spec.keys)
+    if unit == "MONTH":
+        joins, columns = [], []
+        for lag in lags:
+            on = " AND ".join(f"b{lag}.{key} = p.{key}" for key in spec.keys)
+            joins.append(
+                f'LEFT JOIN panel AS b{lag} ON b{lag}."{spec.time}" + INTERVAL {lag} {unit} = p."{spec.time}" AND {on}'
+            )
+            columns.append(f"b{lag}.{spec.target} AS {spec.target}_lag_{lag}")
+        return f"WITH panel AS MATERIALIZED ({panel}) SELECT p.*, {', '.join(columns)} FROM panel AS p {' '.join(joins)}"
+    names = [f"{spec.target}_lag_{lag}" for lag in lags]
+    values = ", ".join(f"any_value(CASE WHEN lag = {lag} THEN value END) AS {name}" for lag, name in zip(lags, names))
+    on = " AND ".join(f"m.{key} = p.{key}" for key in spec.keys)
+    return f"""
+    WITH panel AS MATERIALIZED ({panel}),
+    moved AS (
+        SELECT {keys}, "{spec.time}" + lag * INTERVAL 1 {unit} AS at, lag, {spec.target} AS value
+        FROM panel, (VALUES {', '.join(f'({lag})' for lag in lags)}) AS l(lag)),
+    pivoted AS (SELECT {keys}, at, {values} FROM moved GROUP BY {keys}, at)
+    SELECT p.*, {', '.join(f'm.{name}' for name in names)}
+    FROM panel AS p LEFT JOIN pivoted AS m ON m.at = p."{spec.time}" AND {on}"""
 
 
 def cyclic(name: str, value: str, period: str) -> str:

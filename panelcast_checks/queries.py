@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime, timedelta
+from datetime import datetime
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -25,7 +25,7 @@ from panelcast.plans.backtest import BoostingSettings, backtest, joined_key
 from panelcast.plans.features import panel_features
 from panelcast.session import cut_lineage, run_folder
 from panelcast.spec import PanelSpec
-from panelcast.sources.holidays import FIXED_DATES, RAMADAN_FEAST, SACRIFICE_FEAST, turkish_holidays
+from panelcast.sources.holidays import holiday_days, turkish_holidays
 from panelcast.sources.tables import one_line, read_features, read_trips, write_features, write_fold_metrics, write_metrics
 
 from . import oracle
@@ -300,10 +300,7 @@ HOLIDAY_YEARS = range(1995, 2022)
 
 
 def _holiday_list() -> str:
-    days = {date(y, m, d) for y in HOLIDAY_YEARS for m, d, begins in FIXED_DATES if y >= begins}
-    for feasts, length in ((RAMADAN_FEAST, 3), (SACRIFICE_FEAST, 4)):
-        days.update(first + timedelta(days=i) for first in feasts if first.year in HOLIDAY_YEARS for i in range(length))
-    return ", ".join(f"DATE '{day}'" for day in sorted(days))
+    return ", ".join(f"DATE '{day}'" for day in holiday_days(HOLIDAY_YEARS))
 
 
 HOLIDAYS = _holiday_list()
@@ -327,7 +324,7 @@ def clock_encodings(spark, folder):
 @query(oracle.date_features(DENSE_ORDERS, "o_orderdate", HOLIDAYS))
 def date_features_daily(spark, folder):
     grid = densify(order_totals(spark, folder), ORDERS)
-    return rounded(add_date_features(grid, "o_orderdate", turkish_holidays(spark, HOLIDAY_YEARS, without_feasts=True)))
+    return rounded(add_date_features(grid, "o_orderdate", turkish_holidays(spark, HOLIDAY_YEARS)))
 
 
 @query(oracle.date_features(EVENT_TOTALS, "ts", "SELECT DISTINCT CAST(o_orderdate + INTERVAL 10592 DAY AS DATE) FROM orders WHERE day(o_orderdate) = 1"))
@@ -365,7 +362,7 @@ def _daily_trip_totals(spark, folder) -> DataFrame:
 
 def daily_trip_features(spark, folder) -> DataFrame:
     totals = cut_lineage(_daily_trip_totals(spark, folder))
-    return panel_features(totals, DAILY_TRIPS, turkish_holidays(spark, HOLIDAY_YEARS, without_feasts=True))
+    return panel_features(totals, DAILY_TRIPS, turkish_holidays(spark, HOLIDAY_YEARS))
 
 
 @query(_feature_table_sql())
@@ -388,7 +385,7 @@ def feature_table_hourly(spark, folder):
     """The whole hourly feature table with the presets' frames, horizon and lags, written by line; of one line the last weeks are read back."""
     totals = cut_lineage(clean_trips(raw_trips(spark, folder), RULES))
     path = _scratch(spark)
-    write_features(panel_features(totals, presets.PANEL, turkish_holidays(spark, HOLIDAY_YEARS, without_feasts=True)), path)
+    write_features(panel_features(totals, presets.PANEL, turkish_holidays(spark, HOLIDAY_YEARS)), path)
     return comparable(read_features(spark, path, since=HOURLY_SINCE, line="MARMARAY"))
 
 

@@ -1,4 +1,4 @@
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 
@@ -9,7 +9,9 @@ from panelcast.operators.clean import clean_trips
 from panelcast.plans import presets
 from panelcast.plans.features import build_features, run_feature_job
 from panelcast.session import checkpoint_dir
-from panelcast.sources.holidays import turkish_holidays
+from panelcast.sources.holidays import (
+    DHU_AL_HIJJA_10, RAMADAN_FEAST, SACRIFICE_FEAST, SHAWWAL_1, feast_starts, holiday_days, lunar_day, turkish_holidays,
+)
 from panelcast.sources.tables import read_features
 
 SCHEMA = (
@@ -100,6 +102,20 @@ def test_only_one_digit_hours_are_padded(spark):
     assert got == ["09", "10", "123", None]
 
 
-def test_unknown_feasts_are_refused(spark):
-    with pytest.raises(ValueError):
-        turkish_holidays(spark, [2019])
+def test_feasts_of_any_year(spark):
+    # As announced where that is known; a feast may come twice in a year, and go on in the next one.
+    assert feast_starts(2024, SHAWWAL_1) == [date(2024, 4, 10)] and feast_starts(2016, DHU_AL_HIJJA_10) == [date(2016, 9, 12)]
+    assert len(feast_starts(2000, SHAWWAL_1)) == 2 and len(feast_starts(2006, DHU_AL_HIJJA_10)) == 2
+    for announced, feast in ((RAMADAN_FEAST, SHAWWAL_1), (SACRIFICE_FEAST, DHU_AL_HIJJA_10)):
+        computed = [lunar_day(lunar, *feast[:2]) for lunar in range(1429, 1450)]
+        assert all(min(abs((first - day).days) for day in computed) <= 1 for first in announced)
+        gaps = {(b - a).days for a, b in zip(computed, computed[1:])}
+        assert gaps == {354, 355}
+    # Thirty lunar years are 10631 days, and every year of a century has one or two feasts of each kind.
+    assert (lunar_day(1451, 1, 1) - lunar_day(1421, 1, 1)).days == 10631
+    assert all(len(feast_starts(y, f)) in (1, 2) for y in range(1950, 2050) for f in (SHAWWAL_1, DHU_AL_HIJJA_10))
+    days = [r.day for r in turkish_holidays(spark, [1998, 2040]).orderBy("day").collect()]
+    assert len(days) == len(set(days)) and {d.year for d in days} == {1998, 2040}
+    assert len(turkish_holidays(spark, [1998], without_feasts=True).collect()) == 5
+    last = feast_starts(2006, DHU_AL_HIJJA_10)[-1]
+    assert last > date(2006, 12, 28) and last + timedelta(days=3) in holiday_days([2007])

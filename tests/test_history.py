@@ -1,6 +1,7 @@
 import random
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 
 from panelcast.functions.sliding import STATISTICS
@@ -203,3 +204,64 @@ def test_odd_numbers_as_in_window_aggregates(spark, odd):
             x, y = a[name], b[name]
             same = x == y or (x is not None and y is not None and (x != x and y != y or abs(x - y) <= 1e-9 * abs(y)))
             assert same, (name, a.t, x, y)
+
+
+@pytest.mark.parametrize("kind, native", [("bigint", False), ("bigint", True), ("double", False)])
+def test_two_rows_of_one_time_are_an_error(spark, kind, native):
+    day = datetime(2024, 1, 1)
+    spec = PanelSpec("v", "t", ("k",), step="1d", block_days=2)
+    one = float(1) if kind == "double" else 1
+    data = [("a", day + timedelta(days=i), i * one) for i in range(5)] + [("b", day, one), (None, day, one), (None, day, one), ("b", None, one), ("b", None, one)]
+    fine = spark.createDataFrame(data, f"k string, t timestamp_ntz, v {kind}")
+    assert add_history_features(fine, spec, ("1 day",), (1,), 1, native=native).count() == len(data)
+    twice = spark.createDataFrame([*data, ("a", day + timedelta(days=3), one)], f"k string, t timestamp_ntz, v {kind}")
+    for features in (add_stat_features(twice, spec, ("1 day",), 0, native).select("avg_v_1_day"), add_lag_features(twice, spec, (1,)).select("v_lag_1")):
+        with pytest.raises(Exception, match="two rows of one time"):
+            features.collect()
+
+
+def test_lags_below_a_second(spark):
+    start = datetime(2024, 1, 1)
+    data = [("a", start + timedelta(milliseconds=500 * i), i) for i in range(7300)]
+    df = spark.createDataFrame(data, "k string, t timestamp_ntz, v bigint")
+    got = add_lag_features(df, PanelSpec("v", "t", ("k",), step="1s"), (1,), unit="HOUR").where("v_lag_1 IS NOT NULL").collect()
+    assert len(got) == 100 and all(r.v - r["v_lag_1"] == 7200 for r in got)
+
+
+def test_values_of_very_different_size(spark):
+    """A block of wide spread: sums and extremes stay exact, moments within the spread's resolution."""
+    rng = random.Random(12)
+    data = [("a", datetime(2024, 1, 1) + timedelta(hours=i), rng.choice([3, 2**55 + rng.randrange(10**15), -(2**50)])) for i in range(100)]
+    df = spark.createDataFrame(data, "k string, t timestamp_ntz, v bigint")
+    got = add_stat_features(df, PanelSpec("v", "t", ("k",), block_days=2), ("1 day",), 0).orderBy("t").collect()
+    for i, row in enumerate(got):
+        values = [v for _, _, v in data[max(0, i - 24): i + 1]]
+        assert (row.sum_v_1_day, row.min_v_1_day, row.max_v_1_day) == (sum(values), min(values), max(values))
+        assert close(row.abs_energy_v_1_day, float(sum(v * v for v in values)), 1e-12)
+    want = brute_force(data, "1 day", 0)
+    for row in got[5:]:
+        for name in ("avg", "std", "slope"):
+            assert close(row[f"{name}_v_1_day"], want[row.k, row.t][name], 1e-9), name
+        for name in ("skew", "kurt"):
+            assert close(row[f"{name}_v_1_day"], want[row.k, row.t][name], 1e-5), name
+
+
+def test_month_lags_of_many_rows(spark):
+    """As one left join per lag: rows multiply at month ends, rows without a place stay, repeated rows are rows."""
+    start = datetime(2023, 12, 20)
+    data = [(k, start + timedelta(days=i), i if i % 7 else None) for k in ("a", "b") for i in range(110) if (i + len(k)) % 9]
+    data += [("a", None, 5), (None, start, 6), (None, None, 7), (None, None, 7), ("b", start + timedelta(days=42), 400)]
+    spec = PanelSpec("v", "t", ("k",), step="1d")
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(data)], "k string, t timestamp_ntz, v bigint, `v w` int")
+    got = add_lag_features(df, spec, (1, 2), unit="MONTH")
+    assert got.columns == ["k", "t", "v", "v w", "v_lag_1", "v_lag_2"]
+    want = []
+    for i, (k, t, v) in enumerate(data):
+        found = [[x for kk, tt, x in data if k is not None and t is not None and kk == k and tt is not None and back_to(tt, n) == t] or [None] for n in (1, 2)]
+        want += [(k, t, v, i, a, b) for a in found[0] for b in found[1]]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+
+
+def back_to(moment, months):
+    """The time that many months later, at the last day of a shorter month."""
+    return (pd.Timestamp(moment) + pd.DateOffset(months=months)).to_pydatetime()
