@@ -108,15 +108,16 @@ def _growing_features(
     """All but the quantiles by window frames, the quantiles then in the blocks that the windows sorted: one shuffle."""
     partition, known = [*spec.keys, BLOCK], has_place(spec)
     target = df.schema[spec.target].dataType
-    rows = blocks.select(*spec.columns, BLOCK, F.struct(*[F.col(quoted(c)) for c in df.columns]).alias("_row"))
-    rows = rows.withColumn(
-        "_lags",
-        F.struct(F.lit(0).alias("_"), *[F.when(known, point_before(spec.target, partition, spec.time, span)).alias(name) for name, span in lag_spans.items()]),
-    )
+    others = [c for c in df.columns if c not in spec.columns]
+    rows = blocks.select(*map(quoted, spec.columns), BLOCK, F.struct(F.lit(0).alias("_"), *[F.col(quoted(c)) for c in others]).alias("_others"))
     longest = max(span.seconds for span in spans.values())
     counted = _once(spec, partition, F.lit(1))
     framed = frame_columns(with_running_state(rows, spec, partition, longest, counted), spec, partition, spans, ahead, known)
-    kept = framed.select(*spec.columns, BLOCK, "_row", "_lags", *[f"_f_{name}" for name in spans], epoch_seconds(F.col(spec.time)).alias("_seconds"))
+    lagged = [F.when(known, point_before(spec.target, partition, spec.time, span)).alias(name) for name, span in lag_spans.items()]
+    kept = framed.select(
+        *map(quoted, spec.columns), BLOCK, "_others", F.struct(F.lit(0).alias("_"), *lagged).alias("_lags"),
+        *[quoted(f"_f_{name}") for name in spans], epoch_seconds(F.col(quoted(spec.time))).alias("_seconds"),
+    )
     keep = [c for c in kept.columns if c not in (BLOCK, "_seconds")]
     schema = T.StructType(
         [kept.schema[name] for name in keep] + [T.StructField(f"{q}_{spec.target}_{frame}", target) for frame in spans for q in QUANTILES]
@@ -127,7 +128,7 @@ def _growing_features(
     out = kept.groupBy(*spec.keys, BLOCK).applyInArrow(slide, schema)
     kinds = {"min": target, "max": target}
     return out.select(
-        "_row.*",
+        *[F.col(quoted(c)) if c in spec.columns else F.col(f"_others.{quoted(c)}") for c in df.columns],
         *(
             F.col(quoted(f"{s}_{spec.target}_{frame}")) if s in QUANTILES
             else F.col(f"{quoted('_f_' + frame)}.{s}").cast(kinds.get(s, framed.schema[f"_f_{frame}"].dataType[s].dataType)).alias(f"{s}_{spec.target}_{frame}")
