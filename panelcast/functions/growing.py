@@ -145,22 +145,22 @@ def frame_columns(df: DataFrame, spec: PanelSpec, partition: list[str], spans: d
             for length in span.day_lengths:
                 choice = choice.when(days == length, _as_of(spec, partition, ahead.seconds + length * DAY, True))
             before[name] = choice
-    df = df.withColumns({"_end": F.when(known, _as_of(spec, partition, ahead.seconds)), **{f"_start_{name}": start for name, start in before.items()}})
+    df = df.withColumns({"_end": F.when(known, _as_of(spec, partition, ahead.seconds)), "_starts": F.array(*before.values())})
     df = df.drop(_STATE).withColumn("_end", F.when(F.col("_end.at") == end, F.col("_end")))
-    sums = (*_SUMS, "rows")
 
-    def difference(name: str, part: str) -> Column:
+    def difference(start: Column, part: str) -> Column:
         # A sum that did not fit is null, and so is the difference; no row before the frame is a sum of zero.
-        earlier = F.when(F.col(f"_start_{name}").isNull(), F.lit(0)).otherwise(F.col(f"_start_{name}.{part}"))
+        earlier = F.when(start.isNull(), F.lit(0)).otherwise(start[part])
         return (F.col(f"_end.{part}") - earlier).cast("long" if part in (*_WHOLE, "rows") else EXACT).alias(part)
 
-    df = df.withColumns({f"_d_{name}": F.struct(*[difference(name, part) for part in sums]) for name in spans})
-    df = df.withColumns({f"_m_{name}": _moments(f"_d_{name}") for name in spans})
-    df = df.withColumns({f"_f_{name}": _finished(f"_d_{name}", f"_m_{name}", f"_start_{name}") for name in spans})
-    return df.drop("_end", *[f"{part}_{name}" for name in spans for part in ("_start", "_d", "_m")])
+    # One expression for all frames: generated code for each of them would outgrow what the virtual machine compiles.
+    df = df.withColumn("_frames", F.transform("_starts", lambda start: F.struct(*[difference(start, part) for part in (*_SUMS, "rows")], start.alias("start"))))
+    df = df.withColumn("_frames", F.expr(f"transform(_frames, d -> named_struct('d', d, 'm', {_moments('d')}))"))
+    df = df.withColumn("_frames", F.transform("_frames", lambda frame: _finished(frame["d"], frame["m"])))
+    return df.withColumns({f"_f_{name}": F.col("_frames")[i] for i, name in enumerate(spans)}).drop("_end", "_starts", "_frames")
 
 
-def _moments(d: str) -> Column:
+def _moments(d: str) -> str:
     """Second to fourth central moments, the second one of y, and both parts of the slope.
 
     From doubles where these lose nothing that matters; else from sums about a whole number next to the mean, which are exact.
@@ -207,40 +207,40 @@ def _moments(d: str) -> Column:
         "level": f"CAST(floor(log2({d}.rows)) AS INT)",
     }
     fields = ", ".join(f"'{part}', {sql.replace('WHEN fine', f'WHEN {fine}')}" for part, sql in parts.items())
-    return F.expr(f"CASE WHEN {d}.n > 0 THEN named_struct({fields}) END")
+    return f"CASE WHEN {d}.n > 0 THEN named_struct({fields}) END"
 
 
-def _finished(d: str, m: str, start: str) -> Column:
-    n, some, wide = F.col(f"{d}.n").cast("double"), F.col(f"{d}.n") > 0, F.col("_cut.z") > 0
-    c, count = F.col("_c").cast("decimal(20,0)"), F.col(f"{d}.n").cast("decimal(20,0)")
+def _finished(d: Column, m: Column) -> Column:
+    n, some, wide = d["n"].cast("double"), d["n"] > 0, F.col("_cut.z") > 0
+    c, count = F.col("_c").cast("decimal(20,0)"), d["n"].cast("decimal(20,0)")
     scale = F.pow(F.lit(2.0), F.col("_cut.y"))
-    varies = F.when(F.col(f"{m}.m2") > 0, F.col(f"{m}.m2"))
-    total = F.when(wide, F.col(f"{d}.s")).otherwise((F.col(f"{d}.y") + count * c).cast(EXACT))
-    level = F.col(f"{m}.level")
+    varies = F.when(m["m2"] > 0, m["m2"])
+    total = F.when(wide, d["s"]).otherwise((d["y"] + count * c).cast(EXACT))
+    level = m["level"]
 
     def extreme(kind: str, pick) -> Column:
         # From the block's first row on, the next level reaches no further back than that row.
-        return F.when(F.col(start).isNull(), F.get(F.col(f"_end.{kind}_to"), level + 1)).otherwise(
-            pick(F.get(F.col(f"_end.{kind}_to"), level), F.get(F.col(f"{start}.{kind}_from"), level))
+        return F.when(d["start"].isNull(), F.get(F.col(f"_end.{kind}_to"), level + 1)).otherwise(
+            pick(F.get(F.col(f"_end.{kind}_to"), level), F.get(d["start"][f"{kind}_from"], level))
         )
 
     far = F.raise_error(F.lit(f"more than {ROWS_PER_STEP} rows within a step")).cast("long")
     inside = level + 1 < F.size("_end.low_to")
-    real, ys = c.cast("double"), F.col(f"{d}.y").cast("double") * scale
+    real, ys = c.cast("double"), d["y"].cast("double") * scale
     energy = F.when(
         wide,
         # Beyond 38 digits: from sums about the middle, in doubles.
-        F.coalesce(F.col(f"{d}.xx").cast("double"), n * real * real + 2 * real * ys + F.col(f"{d}.yy").cast("double") * scale * scale),
-    ).otherwise((F.col(f"{d}.yy") + (F.col(f"{d}.y") * 2 + count * c).cast(EXACT) * c).cast("double"))
+        F.coalesce(d["xx"].cast("double"), n * real * real + 2 * real * ys + d["yy"].cast("double") * scale * scale),
+    ).otherwise((d["yy"] + (d["y"] * 2 + count * c).cast(EXACT) * c).cast("double"))
     return F.struct(
         F.when(some, total.cast("double") / n).alias("avg"),
         F.when(some, F.when(inside, extreme("low", F.least)).otherwise(far)).alias("min"),
         F.when(some, F.when(inside, extreme("high", F.greatest)).otherwise(far)).alias("max"),
-        F.when(n > 1, F.sqrt(F.greatest(F.col(f"{m}.v"), F.lit(0.0)) * n / (n - 1)) * scale).alias("std"),
-        sample_skew(n, F.col(f"{m}.m3") / F.pow(varies, F.lit(1.5))).alias("skew"),
-        sample_kurtosis(n, F.col(f"{m}.m4") / (varies * varies) - 3).alias("kurt"),
-        F.when(some & (F.col(f"{d}.outside") == 0), F.exp(F.col(f"{d}.log") / F.pow(F.lit(2.0), F.col("_cut.log")) / n) - 1).alias("geomean"),
+        F.when(n > 1, F.sqrt(F.greatest(m["v"], F.lit(0.0)) * n / (n - 1)) * scale).alias("std"),
+        sample_skew(n, m["m3"] / F.pow(varies, F.lit(1.5))).alias("skew"),
+        sample_kurtosis(n, m["m4"] / (varies * varies) - 3).alias("kurt"),
+        F.when(some & (d["outside"] == 0), F.exp(d["log"] / F.pow(F.lit(2.0), F.col("_cut.log")) / n) - 1).alias("geomean"),
         F.when(some, total.cast("long")).alias("sum"),
         F.when(some, energy).alias("abs_energy"),
-        F.when(F.col(f"{m}.low") > 0, F.col(f"{m}.top") / F.col(f"{m}.low") * 1000 * scale).alias("slope"),
+        F.when(m["low"] > 0, m["top"] / m["low"] * 1000 * scale).alias("slope"),
     )

@@ -94,11 +94,11 @@ def lag_features(panel: str, spec: PanelSpec, lags: Sequence[int], unit: str = "
     return f"""
     WITH panel AS MATERIALIZED ({panel}),
     moved AS (
-        SELECT {keys}, "{spec.time}" + lag * INTERVAL 1 {unit} AS at, lag, {spec.target} AS value
+        SELECT {keys}, "{spec.time}" + lag * INTERVAL 1 {unit} AS moment, lag, {spec.target} AS value
         FROM panel, (VALUES {', '.join(f'({lag})' for lag in lags)}) AS l(lag)),
-    pivoted AS (SELECT {keys}, at, {values} FROM moved GROUP BY {keys}, at)
+    pivoted AS (SELECT {keys}, moment, {values} FROM moved GROUP BY {keys}, moment)
     SELECT p.*, {', '.join(f'm.{name}' for name in names)}
-    FROM panel AS p LEFT JOIN pivoted AS m ON m.at = p."{spec.time}" AND {on}"""
+    FROM panel AS p LEFT JOIN pivoted AS m ON m.moment = p."{spec.time}" AND {on}"""
 
 
 def cyclic(name: str, value: str, period: str) -> str:
