@@ -110,6 +110,9 @@ def _growing_features(
     target = df.schema[spec.target].dataType
     others = [c for c in df.columns if c not in spec.columns]
     rows = blocks.select(*map(quoted, spec.columns), BLOCK, F.struct(F.lit(0).alias("_"), *[F.col(quoted(c)) for c in others]).alias("_others"))
+    # The rows are small and the work on them is not: adaptive execution, which goes by bytes, would leave it to a few tasks.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(tasks, *map(quoted, partition))
     longest = max(span.seconds for span in spans.values())
     counted = _once(spec, partition, F.lit(1))
     framed = frame_columns(with_running_state(rows, spec, partition, longest, counted), spec, partition, spans, ahead, known)
