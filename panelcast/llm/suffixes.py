@@ -286,7 +286,7 @@ def _remove(batches):
 
 
 def remove_repeats(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, gram: int = 32, bucket: int = 1 << 19
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, gram: int = 32, bucket: int = 1 << 18
 ) -> DataFrame:
     """Without every byte that a string of ``length`` bytes covers which also starts earlier.
 
