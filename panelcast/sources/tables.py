@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.columns import drop_columns
+from ..functions.time import quoted
 from ..operators.folds import since as rows_since
 
 
@@ -14,13 +15,21 @@ def read_trips(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_features(df: DataFrame, path: str, partition_by: str | None = "line_name", max_records_per_file: int = 5_000_000) -> None:
-    """Write the feature table, by default in one folder per line.
+def write_features(
+    df: DataFrame, path: str, partition_by: str | None = "line_name", max_records_per_file: int = 5_000_000, time: str = "timestamp",
+    span_days: int = 92, rows_per_group: int = 100_000,
+) -> None:
+    """Write the feature table, by default in one folder per line, in order of time.
 
-    Reading one line is then a matter of listing its folder. A hot line is
-    written by all tasks that hold rows of it, in files of bounded size.
+    Reading one line is then a matter of listing its folder, and reading a range of time a matter of the row groups' bounds: rows
+    are brought together by line and span of time, adaptive execution splits what is large and merges what is small, and every
+    file is sorted by time in row groups of bounded size. A table without a column ``time`` is written as it is.
     """
-    writer = df.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
+    if time in df.columns:
+        together = [] if partition_by is None else [partition_by]
+        span = F.floor(F.unix_date(F.to_date(quoted(time))) / span_days).alias("_span")
+        df = df.select("*", span).hint("rebalance", *together, "_span").sortWithinPartitions(*map(quoted, together), quoted(time)).drop("_span")
+    writer = df.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file).option("parquet.block.row.count.limit", rows_per_group)
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)

@@ -13,8 +13,10 @@ def nudge(digits: int) -> str:
     return f"3e-{digits + 4}"
 
 
-def rounded(expression: str, digits: int = 6) -> str:
-    """Rounded, with NaN as NULL and no negative zero."""
+def rounded(expression: str, digits: int | None = 6) -> str:
+    """Rounded, with NaN as NULL and no negative zero; without ``digits`` as it is, with NaN as NULL."""
+    if digits is None:
+        return f"CASE WHEN NOT isnan({expression}) THEN {expression} END"
     value = f"round({expression} + {nudge(digits)}, {digits})"
     return f"CASE WHEN isnan({expression}) THEN NULL WHEN {value} = 0 THEN 0 ELSE {value} END"
 
@@ -32,10 +34,14 @@ def dense(totals: str, spec: PanelSpec, step: str) -> str:
     LEFT JOIN ({totals}) AS o ON o."{spec.time}" = a."{spec.time}" AND {on}"""
 
 
-def statistics(spec: PanelSpec, window: str) -> dict[str, str]:
+def statistics(spec: PanelSpec, window: str, digits: int | None = 6) -> dict[str, str]:
     """Window expressions of the statistics, rounded."""
     x = spec.target
     over = f"OVER {window}"
+
+    def rounded(expression: str) -> str:
+        return globals()["rounded"](expression, digits)
+
     return {
         "avg": rounded(f"avg({x}) {over}"),
         "min": f"min({x}) {over}",
@@ -53,7 +59,7 @@ def statistics(spec: PanelSpec, window: str) -> dict[str, str]:
     }
 
 
-def stat_features(panel: str, spec: PanelSpec, intervals: Sequence[str], horizon: int) -> str:
+def stat_features(panel: str, spec: PanelSpec, intervals: Sequence[str], horizon: int, digits: int | None = 6) -> str:
     """Every panel row with the statistics known ``horizon`` days before."""
     keys = ", ".join(spec.keys)
     columns, windows = [], []
@@ -63,7 +69,7 @@ def stat_features(panel: str, spec: PanelSpec, intervals: Sequence[str], horizon
             f'w_{name} AS (PARTITION BY {keys} ORDER BY "{spec.time}" '
             f"RANGE BETWEEN INTERVAL {text} PRECEDING AND CURRENT ROW)"
         )
-        columns += [f"{e} AS {s}_{spec.target}_{name}" for s, e in statistics(spec, f"w_{name}").items()]
+        columns += [f"{e} AS {s}_{spec.target}_{name}" for s, e in statistics(spec, f"w_{name}", digits).items()]
     on = " AND ".join(f"s.{key} = p.{key}" for key in spec.keys)
     return f"""
     WITH panel AS ({panel}),

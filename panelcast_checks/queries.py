@@ -18,11 +18,11 @@ from panelcast.operators.clean import clean_trips
 from panelcast.operators.date_features import add_date_features, day_calendar
 from panelcast.operators.densify import densify, distinct_series, time_axis, time_bounds
 from panelcast.operators.folds import assign_fold, make_folds, since
-from panelcast.operators.history import add_lag_features, add_stat_features
+from panelcast.operators.history import add_history_features, add_lag_features, add_stat_features, lag_columns, stat_columns
 from panelcast.operators.metrics import backtest_errors, error_table, fold_metrics, forecast_metrics, mean_over_folds
 from panelcast.plans import presets
 from panelcast.plans.backtest import BoostingSettings, backtest, joined_key
-from panelcast.plans.features import panel_features
+from panelcast.plans.features import panel_features, run_feature_job
 from panelcast.session import cut_lineage, run_folder
 from panelcast.spec import PanelSpec
 from panelcast.sources.holidays import holiday_days, turkish_holidays
@@ -294,6 +294,50 @@ def statistics_native_windows(spark, folder):
     )
 
 
+BEYOND = 2**53 + 1
+BEYOND_TOTALS = f"SELECT o_orderpriority, o_orderdate, n + {BEYOND} AS n FROM ({ORDER_TOTALS}) AS t"
+_SMALL = oracle.stat_features(ORDER_TOTALS, ORDERS, ("1 day", "1 week"), 7)
+_EXACT, _SHIFTED = ("min", "max", "q25", "q50", "q75"), ("std", "skew", "kurt", "slope")
+
+
+@query(f"""
+WITH small AS ({_SMALL}),
+counts AS (
+    SELECT o_orderdate + INTERVAL 7 DAY AS o_orderdate, o_orderpriority, count(n) OVER d AS n_1_day, count(n) OVER w AS n_1_week
+    FROM ({ORDER_TOTALS}) AS t
+    WINDOW d AS (PARTITION BY o_orderpriority ORDER BY o_orderdate RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW),
+           w AS (PARTITION BY o_orderpriority ORDER BY o_orderdate RANGE BETWEEN INTERVAL 1 WEEK PRECEDING AND CURRENT ROW))
+SELECT s.o_orderdate, s.o_orderpriority, n + {BEYOND} AS n,
+       {", ".join(f"{k}_n_{i} + {BEYOND} AS {k}_n_{i}" for i in ("1_day", "1_week") for k in _EXACT)},
+       {", ".join(f"CAST(sum_n_{i} + n_{i} * {BEYOND} AS BIGINT) AS sum_n_{i}" for i in ("1_day", "1_week"))},
+       {", ".join(f"{k}_n_{i}" for i in ("1_day", "1_week") for k in _SHIFTED)}
+FROM small AS s LEFT JOIN counts AS c USING (o_orderdate, o_orderpriority)""")
+def statistics_beyond_doubles(spark, folder):
+    """Counts moved beyond 2**53: what a shift moves is moved exactly, what it leaves alone is the same."""
+    totals = order_totals(spark, folder).withColumn("n", F.col("n") + BEYOND)
+    features = comparable(add_stat_features(totals, ORDERS, ("1 day", "1 week"), horizon=7))
+    kept = [f"{k}_n_{i}" for i in ("1_day", "1_week") for k in (*_EXACT, "sum", *_SHIFTED)]
+    return features.select("o_orderdate", "o_orderpriority", "n", *kept)
+
+
+PLACELESS = f"""
+SELECT nullif(o_orderpriority, '5-LOW') AS o_orderpriority, nullif(o_orderdate, TIMESTAMP '1998-03-02') AS o_orderdate, n
+FROM ({ORDER_TOTALS}) AS t"""
+
+
+@query(f"""
+SELECT s.*, l.n_lag_7 FROM ({oracle.stat_features(PLACELESS, ORDERS, ("1 week", "1 month"), 7)}) AS s
+LEFT JOIN (SELECT o_orderpriority, o_orderdate + INTERVAL 7 DAY AS o_orderdate, n AS n_lag_7 FROM ({PLACELESS}) AS p
+           WHERE o_orderdate IS NOT NULL) AS l USING (o_orderpriority, o_orderdate)""")
+def statistics_of_placeless_rows(spark, folder):
+    """One series has no key and one day no time: such rows stay, without a past."""
+    totals = order_totals(spark, folder).select(
+        F.nullif("o_orderpriority", F.lit("5-LOW")).alias("o_orderpriority"),
+        F.when(F.col("o_orderdate") != F.lit("1998-03-02").cast("timestamp_ntz"), F.col("o_orderdate")).alias("o_orderdate"), "n",
+    )
+    return comparable(add_history_features(totals, ORDERS, ("1 week", "1 month"), (7,), 7))
+
+
 # --- calendar -----------------------------------------------------------------------
 
 HOLIDAY_YEARS = range(1995, 2022)
@@ -343,9 +387,9 @@ DAILY_TRIPS = PanelSpec("passage", "timestamp", ("line_name", "station"), step="
 DENSE_TRIPS = oracle.dense(trip_totals_sql("0"), DAILY_TRIPS, "1 DAY")
 
 
-def _feature_table_sql(grid: str = DENSE_TRIPS, spec: PanelSpec = DAILY_TRIPS) -> str:
+def _feature_table_sql(grid: str = DENSE_TRIPS, spec: PanelSpec = DAILY_TRIPS, digits: int | None = 6) -> str:
     # Every operator's SQL adds its columns to the same panel rows.
-    stats = oracle.stat_features("SELECT * FROM grid", spec, presets.INTERVALS, presets.HORIZON_DAYS)
+    stats = oracle.stat_features("SELECT * FROM grid", spec, presets.INTERVALS, presets.HORIZON_DAYS, digits)
     lags = oracle.lag_features("SELECT * FROM grid", spec, presets.LAGS)
     dates = oracle.date_features("SELECT * FROM grid", "timestamp", HOLIDAYS)
     on = 'USING ("timestamp", line_name, station)'
@@ -389,6 +433,42 @@ def feature_table_hourly(spark, folder):
     return comparable(read_features(spark, path, since=HOURLY_SINCE, line="MARMARAY"))
 
 
+_JOB_COLUMNS = [
+    "passage", "was_null", *stat_columns(presets.PANEL, presets.INTERVALS), *lag_columns(presets.PANEL, presets.LAGS),
+    *(f"{part}_{fn}" for part in ("hour", "minute", "month", "dow", "dom", "woy", "doy") for fn in ("sin", "cos")),
+    *(f"hc_in_{side}_{k}_days" for side in ("last", "next") for k in range(7, 1, -1)), "is_weekend",
+]
+_JOB_SQL = _feature_table_sql(oracle.dense(trip_totals_sql(), presets.PANEL, "1 HOUR"), presets.PANEL, None)
+
+
+def _tenths_sql(name: str) -> str:
+    """The column as the job's 32-bit float, in tenths; its slopes are per second, SQL's here per day."""
+    daily = 86400.0 if name.startswith("slope_") else 1.0
+    return f"CAST(round(CAST(CAST({name} / {daily} AS REAL) AS DOUBLE) * {daily * 10}) AS BIGINT)"
+
+
+
+
+@query(f"""
+SELECT line_name, year("timestamp") AS y, month("timestamp") AS m, count(*) AS n, count_if(is_holiday) AS holidays,
+       {", ".join(f"CAST(sum({_tenths_sql(c)}) AS BIGINT) AS {c}, count({c}) AS n_{c}" for c in _JOB_COLUMNS)}
+FROM ({_JOB_SQL}) AS f GROUP BY ALL""")
+def feature_job_checksums(spark, folder):
+    """The whole job from raw records to 32-bit floats on disk; of every line and month the number of values of each column and their sum in tenths."""
+    path = _scratch(spark)
+    run_feature_job(raw_trips(spark, folder), turkish_holidays(spark, HOLIDAY_YEARS), path)
+    table_ = read_features(spark, path)
+
+    def tenths(name: str) -> Column:
+        daily = 86400.0 if name.startswith("slope_") else 1.0
+        return F.sum(F.round(F.col(name).cast("double") * (daily * 10)).cast("long")).alias(name)
+
+    return table_.groupBy("line_name", F.year("timestamp").alias("y"), F.month("timestamp").alias("m")).agg(
+        F.count("*").alias("n"), F.count_if("is_holiday").alias("holidays"),
+        *(c for name in _JOB_COLUMNS for c in (tenths(name), F.count(name).alias(f"n_{name}"))),
+    )
+
+
 @query(oracle.lag_features(DENSE_TRIPS, DAILY_TRIPS, (30,)).replace("SELECT p.*", "SELECT p.* EXCLUDE (line_name)") + """
 WHERE p.line_name = 'M1' AND p."timestamp" >= TIMESTAMP '1997-06-01'""")
 def feature_sink_and_line_scope(spark, folder):

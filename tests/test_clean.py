@@ -1,7 +1,8 @@
+import glob
 from datetime import date, datetime, timedelta
 
+import pyarrow.parquet as pq
 import pytest
-
 from pyspark.sql import functions as F
 
 from panelcast.functions.text import pad_hour
@@ -12,7 +13,7 @@ from panelcast.session import checkpoint_dir
 from panelcast.sources.holidays import (
     DHU_AL_HIJJA_10, RAMADAN_FEAST, SACRIFICE_FEAST, SHAWWAL_1, feast_starts, holiday_days, lunar_day, turkish_holidays,
 )
-from panelcast.sources.tables import read_features
+from panelcast.sources.tables import read_features, write_features
 
 SCHEMA = (
     "transition_date string, transition_hour int, line_name string, station_poi_desc_cd string, "
@@ -119,3 +120,30 @@ def test_feasts_of_any_year(spark):
     assert len(turkish_holidays(spark, [1998], without_feasts=True).collect()) == 5
     last = feast_starts(2006, DHU_AL_HIJJA_10)[-1]
     assert last > date(2006, 12, 28) and last + timedelta(days=3) in holiday_days([2007])
+
+
+def test_a_range_of_time_is_few_row_groups(spark):
+    """Rows come in no order; files are few, and a month of one line lies in few of its row groups."""
+    df = spark.range(48 * 8784).selectExpr(
+        "TIMESTAMP_NTZ'2024-01-01' + make_dt_interval(0, CAST(id DIV 48 AS INT)) AS timestamp", "concat('L', id % 3) AS line_name",
+        "CAST(id % 48 AS STRING) AS station", "CAST(rand(1) * 1e6 AS FLOAT) AS f",
+    ).repartition(7)
+    path = checkpoint_dir(spark) + "/pruned"
+    write_features(df, path, rows_per_group=4000)
+    assert read_features(spark, path).count() == df.count()
+    files = glob.glob(f"{path}/line_name=L1/*.parquet")
+    assert 1 <= len(files) <= 12
+    inside = groups = 0
+    for file in files:
+        data = pq.ParquetFile(file)
+        column = data.schema_arrow.names.index("timestamp")
+        for i in range(data.num_row_groups):
+            bounds = data.metadata.row_group(i).column(column).statistics
+            groups += 1
+            inside += bounds.max >= datetime(2024, 5, 1) and bounds.min < datetime(2024, 6, 1)
+    assert groups >= 30 and inside <= 0.2 * groups
+    line = read_features(spark, path, since=datetime(2024, 5, 1), line="L1")
+    assert "GreaterThanOrEqual(timestamp" in line._jdf.queryExecution().executedPlan().toString()
+    assert line.count() == df.where("line_name = 'L1' AND timestamp >= TIMESTAMP_NTZ'2024-05-01'").count()
+    write_features(df.drop("timestamp"), path + "-plain")
+    assert spark.read.parquet(path + "-plain").count() == df.count()
