@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -10,13 +11,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.llm.components import connected_components, stars
-from panelcast.llm.staging import small_batches, staged
+from panelcast.llm.staging import drop, small_batches, staged
 
 
 @dataclass(frozen=True)
 class Settings:
     """``sample_rows`` bounds the distinct vectors that the quantisers are fitted on (their expected number; drawn by a hash of the
-    vector). There are about as many inverted lists as the root of the number of vectors, ``most_lists`` at most."""
+    vector). There are about as many inverted lists as the root of the number of vectors, ``most_lists`` at most.
+
+    How far lists are probed is calibrated on ``questions`` vectors (expected; 0 for the bound that loses no link), whose links among all
+    vectors are found exhaustively: as far as finds ``recall`` of their links, a question's links counting one in all. Where fewer than
+    ``least_asked`` of them have a link, the bound is kept. Lengths of ``few`` vectors or less are compared without lists.
+    """
 
     cosine: float = 0.95
     sample_rows: int = 20_000
@@ -25,6 +31,10 @@ class Settings:
     codewords: int = 256
     rounds: int = 8
     block: int = 2048
+    questions: int = 512
+    recall: float = 0.998
+    least_asked: int = 30
+    few: int = 2048
 
 
 @dataclass(frozen=True)
@@ -105,14 +115,68 @@ def _lists(q: Quantiser, dims: int):
 SEARCH = "list int, block int, asks boolean, node long, copies long, vector binary, code binary, error double"
 
 
-def _entries(q: Quantiser, dims: int, blocks: np.ndarray, far: np.ndarray, reach: float, block_rows: int):
+#: Steps between no margin and the whole reach that are told apart.
+STEPS = 256
+
+
+def _planes(q: Quantiser) -> np.ndarray:
+    """Twice the distances between centroids."""
+    return 2 * np.sqrt(_squares(q.centroids, q.centroids))
+
+
+def _margins(q: Quantiser, dims: int, asked: np.ndarray, names: np.ndarray, reach: float, cosine: float):
+    """Links of the vectors ``asked`` with all others, by question and by how far the plane before the other's list lies, in steps of reach."""
+    planes, d2 = _planes(q), _squares(asked, q.centroids)
+    near = d2.argmin(1)
+
+    def run(batches):
+        counts = np.zeros((len(asked), STEPS + 1), np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                y, nodes = _unit(batch.column(1).to_pylist(), dims), batch.column(0).to_numpy()
+                a, b = np.nonzero(asked @ y.T >= cosine)
+                keep = names[a] != nodes[b]
+                a, lists = a[keep], _nearest(y, q.centroids)[b[keep]]
+                gap = planes[near[a], lists]
+                away = np.divide(d2[a, lists] - d2[a, near[a]], gap, out=np.zeros(len(a)), where=gap > 0)
+                np.add.at(counts, (a, np.clip(np.ceil(away / reach * STEPS), 0, STEPS).astype(np.int64)), 1)
+        who, step = np.nonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(who), pa.array(step), pa.array(counts[who, step])], names=["who", "step", "n"])
+
+    return run
+
+
+def probe_margin(packed: DataFrame, q: Quantiser, dims: int, n: int, reach: float, settings: Settings) -> float:
+    """How far from a question the plane before a list may lie for the list to be probed; ``reach`` at most."""
+    rate = min(1.0, settings.questions / n)
+    drawn = packed.filter(F.pmod(F.xxhash64("vector", F.lit(1)), F.lit(1 << 30)) < int(rate * (1 << 30))).select("node", "vector")
+    asked = drawn.limit(4 * settings.questions).collect()  # a draw by hash has no more, but for chance
+    if not asked:
+        return reach
+    names, unit = np.array([r["node"] for r in asked]), _unit([bytes(r["vector"]) for r in asked], dims)
+    found = (
+        packed.select("node", "vector").mapInArrow(_margins(q, dims, unit, names, reach, settings.cosine), "who long, step long, n long")
+        .groupBy("who", "step").agg(F.sum("n").alias("n")).collect()
+    )
+    counts = np.zeros((len(asked), STEPS + 1))
+    for who, step, links in found:
+        counts[who, step] = links
+    counts = counts[counts.sum(axis=1) > 0]
+    if len(counts) < settings.least_asked:
+        return reach
+    share = (counts / counts.sum(axis=1, keepdims=True)).mean(axis=0).cumsum()
+    return reach * min(STEPS, int(np.searchsorted(share, settings.recall)) + 1) / STEPS
+
+
+def _entries(q: Quantiser, dims: int, blocks: np.ndarray, far: np.ndarray, reach: float, margin: float, block_rows: int):
     """Every vector once as an entry of its list, and as a question to each list that may hold a link of it.
 
     ``y`` links with ``x`` only if it lies within ``reach``. If it is in the list of c while x is nearest to c0, the plane between c
     and c0 is within reach of x, and c is no farther from x than its farthest entry plus reach. Lists that fail
-    either test hold no link: the probes are sufficient.
+    either test hold no link. Most links are far nearer to the plane than that, so lists are probed up to ``margin``; where
+    it is the reach, no link is lost.
     """
-    gaps = np.sqrt(_squares(q.centroids, q.centroids))
+    gaps = _planes(q) / 2
 
     def run(batches):
         for batch in batches:
@@ -129,7 +193,7 @@ def _entries(q: Quantiser, dims: int, blocks: np.ndarray, far: np.ndarray, reach
                 shown[:, a:b] = q.codewords[i][codes[:, i]]
             error = np.sqrt(((rest - shown) ** 2).sum(1))
             own = (node.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % blocks[near]
-            probe = (d2 - d2[np.arange(len(x)), near][:, None] <= 2 * reach * gaps[near] + 1e-9) & (np.sqrt(d2) <= far + reach + 1e-9) & (blocks > 0)
+            probe = (d2 - d2[np.arange(len(x)), near][:, None] <= 2 * margin * gaps[near] + 1e-9) & (np.sqrt(d2) <= far + reach + 1e-9) & (blocks > 0)
             who, where = np.nonzero(probe)
             n = blocks[where]
             who, where = np.repeat(who, n), np.repeat(where, n)
@@ -209,33 +273,26 @@ def _search(q: Quantiser, dims: int, reach: float, cosine: float):
     return run
 
 
-def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", settings: Settings = Settings()) -> DataFrame:
-    """One row per vector: ``vec_id, n_links, component_id, kept``.
+def _exhaustive(cosine: float):
+    """Links among all vectors of one length, which are few: as :func:`_search` gives them."""
 
-    Vectors link at a cosine of ``settings.cosine`` or more, computed in doubles. Equal vectors are one class, compared once and
-    counted as many times as there are rows. The quantisers are fitted on a bounded sample, every vector is indexed, and
-    every vector asks; lists and table distances only leave out what provably is no link, so all links are
-    found. Links of a list are counted and reduced to a spanning forest where they are found.
+    def run(table: pa.Table) -> pa.Table:
+        order = np.argsort(table.column("node").to_numpy())
+        node, copies = (table.column(c).to_numpy()[order] for c in ("node", "copies"))
+        x = _unit([table.column("vector")[i].as_py() for i in order.tolist()], int(table.column("dims")[0].as_py()))
+        near = x @ x.T >= cosine
+        np.fill_diagonal(near, False)
+        n = (near * copies).sum(axis=1)
+        hit = n > 0
+        a, b = stars(*(node[side] for side in np.nonzero(near)))
+        columns = [np.concatenate(c).astype(np.int64) for c in ((node[hit], a), (np.full(int(hit.sum()), -1), b), (n[hit], np.zeros(len(a))))]
+        return pa.table([pa.array(c) for c in columns], names=["a", "b", "n"])
 
-    Vectors that are null, empty, all zero, have a null or non-finite component, or a null id, link with nothing, and neither do
-    those of another length than most rows have (of equally frequent lengths, the smaller). Rows that repeat an id are
-    answered each for itself. An empty table gives an empty result; other columns are not read.
-    """
-    spark = vectors.sparkSession
-    small_batches(spark)
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"))
-    rows = rows.withColumn("sound", usable(F.col("vector"), F.col("vec_id")))
-    length = rows.filter("sound").groupBy(F.size("vector").alias("dims")).count().agg(F.max(F.struct("count", -F.col("dims"))).alias("most")).first()["most"]
-    if length is None:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    dims = -length[1]
-    rows = rows.withColumn("sound", F.col("sound") & (F.size("vector") == dims))
-    classes, _ = staged(
-        rows.filter("sound").groupBy("vector").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
-        .withColumn("node", F.monotonically_increasing_id()),
-        "vectors",
-    )
-    n = classes.count()
+    return run
+
+
+def _of_length(packed: DataFrame, dims: int, n: int, settings: Settings) -> DataFrame:
+    """Links among vectors of one length, by inverted lists: ``a, b`` or, with b = -1, the number ``n`` of a's links."""
     lists = max(1, min(settings.most_lists, round(n**0.5)))
     rate = min(1.0, settings.sample_rows / n)
 
@@ -245,12 +302,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
         parts = [q.centroids, *q.codewords]
         return pa.table({"part": pa.array(range(len(parts)), pa.int32()), "numbers": pa.array([p.tobytes() for p in parts], pa.binary())})
 
-    packed, _ = staged(
-        classes.select("node", "vector").mapInArrow(_doubles, "node long, vector binary").join(classes.select("node", "copies"), "node")
-        .select("node", "copies", "vector"),
-        "doubles",
-    )
-    sample = packed.filter(F.pmod(F.xxhash64("vector"), F.lit(1 << 30)) < int(rate * (1 << 30)) + 1)
+    sample = packed.filter(F.pmod(F.xxhash64("vector"), F.lit(1 << 30)) < int(rate * (1 << 30)) + 1).select("node", "vector")
     parts = {
         r["part"]: np.frombuffer(r["numbers"], np.float64)
         for r in sample.groupBy(F.lit(0).alias("all")).applyInArrow(fitted, "part int, numbers binary").collect()  # bounded by the settings
@@ -265,18 +317,61 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     for at, count, distance in packed.select("vector").mapInArrow(_lists(q, dims), "list long, n long, far double").groupBy("list").agg(F.sum("n"), F.max("far")).collect():
         blocks[at], far[at] = -(-count // settings.block), distance
     reach = (2 - 2 * settings.cosine) ** 0.5
-    found, _ = staged(
-        packed.mapInArrow(_entries(q, dims, blocks, far, reach, settings.block), SEARCH)
+    margin = probe_margin(packed, q, dims, n, reach, settings) if settings.questions else reach
+    return (
+        packed.select("node", "copies", "vector").mapInArrow(_entries(q, dims, blocks, far, reach, margin, settings.block), SEARCH)
         .repartition("list", "block").sortWithinPartitions("list", "block", "asks")
-        .mapInArrow(_search(q, dims, reach, settings.cosine), "a long, b long, n long"),
-        "vector-links",
+        .mapInArrow(_search(q, dims, reach, settings.cosine), FOUND)
+    )
+
+
+FOUND = "a long, b long, n long"
+
+
+def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", settings: Settings = Settings()) -> DataFrame:
+    """One row per vector: ``vec_id, n_links, component_id, kept``.
+
+    Vectors link at a cosine of ``settings.cosine`` or more, computed in doubles. Equal vectors are one class, compared once and
+    counted as many times as there are rows. The quantisers are fitted on a bounded sample, every vector is indexed, and
+    every vector asks. Lists are probed as far as a calibrated margin (see :class:`Settings`); table distances only leave out what
+    provably is no link, and what they leave is compared exactly. Links of a list are counted and reduced to a spanning forest
+    where they are found.
+
+    Only vectors of one length are compared; every length that more than ``settings.few`` distinct vectors have gets lists of its own, the
+    others are compared in whole. Vectors that are null, empty, all zero, have a null or non-finite component, or a null id, link
+    with nothing. Rows that repeat an id are answered each for itself. An empty table gives an empty result; other columns
+    are not read.
+    """
+    spark = vectors.sparkSession
+    small_batches(spark)
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"))
+    rows = rows.withColumn("sound", usable(F.col("vector"), F.col("vec_id")))
+    classes, at_classes = staged(
+        rows.filter("sound").groupBy("vector").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
+        .withColumn("node", F.monotonically_increasing_id()).withColumn("dims", F.size("vector")),
+        "vectors",
+    )
+    packed, at_packed = staged(
+        classes.select("node", "vector").mapInArrow(_doubles, "node long, vector binary").join(classes.select("node", "copies", "dims"), "node")
+        .select("node", "copies", "vector", "dims"),
+        "doubles",
     )
+    counts = {r["dims"]: r["count"] for r in packed.groupBy("dims").count().collect()}  # one row per length
+    many = sorted(d for d, n in counts.items() if n > settings.few)
+    parts = [_of_length(packed.filter(F.col("dims") == d), d, counts[d], settings) for d in many]
+    if len(counts) > len(many):
+        parts.append(packed.filter(~F.col("dims").isin(many)).groupBy("dims").applyInArrow(_exhaustive(settings.cosine), FOUND))
+    found, at_found = staged(reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], FOUND), "vector-links")
     counts = found.filter("b < 0").groupBy("a").agg(F.sum("n").alias("n"))
     named = classes.join(connected_components(found.filter("b >= 0").select("a", "b")), "node", "left").withColumn("group", F.coalesce("component", "node"))
     least = named.groupBy("group").agg(F.min("rep").alias("component_id"))
-    done = named.join(least, "group").join(counts, F.col("node") == F.col("a"), "left").select(
-        "vector", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), "component_id"
+    done, _ = staged(
+        named.join(least, "group").join(counts, F.col("node") == F.col("a"), "left").select(
+            "vector", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), "component_id"
+        ),
+        "vector-classes",
     )
+    drop(spark, at_classes, at_packed, at_found)
     linked = rows.filter("sound").select("vec_id", "vector").join(done, "vector").select("vec_id", "n_links", "component_id")
     alone = rows.filter("NOT sound").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

@@ -169,6 +169,35 @@ def test_vector_query(spark):
     assert got == brute_vectors(rows)
 
 
+def test_vectors_of_every_length(spark):
+    """A minority length has links of its own, by lists and compared in whole."""
+    draw = np.random.default_rng(6)
+    rows = [(i, (v + 0.1 * draw.normal(size=12)).tolist()) for i, v in enumerate(np.repeat(draw.normal(size=(60, 12)), 4, axis=0))]
+    rows += [(1000 + i, (v + 0.1 * draw.normal(size=7)).tolist()) for i, v in enumerate(np.repeat(draw.normal(size=(20, 7)), 3, axis=0))]
+    rows += [(2000, [1.0, 2.0]), (2001, [2.0, 4.1]), (2002, [-1.0, 2.0]), (3000, [5.0]), (3001, [-5.0]), (3002, [0.5]), (4000, [1.0] * 30)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    want = brute_vectors(rows)
+    assert sum(n > 0 for n, _ in want.values()) > 200
+    for settings in (embeddings.Settings(), embeddings.Settings(few=50, questions=0), embeddings.Settings(few=0, questions=0, block=3)):
+        got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embeddings.near_vectors(frame, settings=settings).collect()}
+        assert got == want
+
+
+def test_recall_of_calibrated_probes(spark):
+    """Far fewer lists are probed than the bound asks for, and at least 0.99 of the links are found; none is found that is none."""
+    draw = np.random.default_rng(8)
+    centres = draw.normal(size=(30, 48))
+    base = centres[draw.integers(30, size=1200)] * 0.7 + draw.normal(size=(1200, 48))
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([base, base[:900] + draw.normal(size=(900, 48)) * draw.uniform(0.05, 0.3, (900, 1))]))]
+    want = brute_vectors(rows)
+    settings = embeddings.Settings(few=100, questions=200)
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embeddings.near_vectors(frame, settings=settings).collect()}
+    links = sum(n for n, _ in want.values())
+    assert links > 1000 and all(got[i][0] <= want[i][0] for i in want)
+    assert sum(n for n, _ in got.values()) >= 0.99 * links
+
+
 @pytest.mark.parametrize("block", [2048, 5])
 def test_dense_vectors(spark, block):
     draw = np.random.default_rng(4)
@@ -180,7 +209,7 @@ def test_dense_vectors(spark, block):
             n += 1
     rows += [(n + i, rows[3][1]) for i in range(30)]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("node", F.lit(1)).repartition(5)
-    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embeddings.near_vectors(frame, settings=embeddings.Settings(block=block)).collect()}
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embeddings.near_vectors(frame, settings=embeddings.Settings(block=block, few=0, questions=0)).collect()}
     assert got == brute_vectors(rows)
 
 
