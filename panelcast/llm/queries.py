@@ -41,13 +41,13 @@ def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
     """Write every page into archives, read them back, and take lengths of revisits from the responses they name."""
     path = scratch(spark, "archives")
     warc.write_archives(table(spark, folder, "pages"), path)
-    read = warc.read_pages(spark, path).filter("problem IS NULL").select(
-        "name", "type", "refers_to", "digest", F.octet_length("payload").cast("long").alias("payload_bytes")
-    )
+    broken = F.raise_error(F.concat(F.lit("a page can't be read back: "), "name", F.lit(", "), "problem"))
+    length = F.when(F.col("problem").isNotNull(), broken.cast("long")).otherwise(F.octet_length("payload").cast("long"))
+    read = warc.read_pages(spark, path).select("name", "type", "refers_to", "digest", length.alias("payload_bytes"))
     number = lambda name: F.nullif(F.regexp_extract(name, "^<urn:page:(-?[0-9]*):", 1), F.lit("")).cast("long")
     responses = read.filter("type = 'response'")
-    sizes = responses.select(F.col("name").alias("target"), F.col("payload_bytes").alias("target_bytes"))
-    revisits = read.filter("type = 'revisit'").drop("payload_bytes").join(sizes, F.col("refers_to") == F.col("target"))
+    sizes = responses.groupBy(F.col("name").alias("target")).agg(F.max("payload_bytes").alias("target_bytes"))  # rows may repeat a page
+    revisits = read.filter("type = 'revisit'").drop("payload_bytes").join(sizes, F.col("refers_to") == F.col("target"), "left")
     both = responses.unionByName(revisits.select("name", "type", "refers_to", "digest", F.col("target_bytes").alias("payload_bytes")))
     return both.select(
         number("name").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"),

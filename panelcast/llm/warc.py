@@ -5,13 +5,14 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from collections import Counter
 from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm.staging import small_batches
+from panelcast.llm.staging import drop, small_batches, staged
 
 VERSION = b"WARC/1.1\r\n"
 #: Ends a record when written. When read, it is taken with the start of the next record.
@@ -96,21 +97,24 @@ def write_archives(
     """Write a record per page into ``.gz`` archives below ``path``, by Spark's own committed writes to any file system.
 
     Of pages whose payloads are equal and have ``least`` bytes or more, that with the smallest id becomes the response and the others
-    revisit it. Digests are grouped in a narrow pass; only page ids of revisits are joined to the pages, by page and digest.
-    Null html is an empty payload. Rows that repeat id and html have the same record id and are read back as one record; a
-    null id is kept as such and sorts last.
+    revisit it. Digests are grouped in a narrow table; only page ids of revisits are joined to the pages, hashed and not sorted.
+    Null html is an empty payload. Rows that repeat id and html have the same record id, and each is read back; a null id is kept as such
+    and sorts last.
     """
     small_batches(pages.sparkSession)
     payload = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
-    narrow = rows.select("page_id", F.sha1("payload").alias("digest"), F.octet_length("payload").alias("bytes")).filter(F.col("bytes") >= least)
+    version = F.xxhash64("payload").alias("version")  # tells the rows of one page apart, at less cost than a digest
+    narrow, at_narrow = staged(
+        rows.select("page_id", version, F.sha1("payload").alias("digest"), F.octet_length("payload").alias("bytes")).filter(F.col("bytes") >= least), "digests"
+    )
     first = narrow.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1 AND first IS NOT NULL").drop("n")
     again = (
-        narrow.join(first, "digest").filter("page_id IS NULL OR page_id <> first").select(F.col("page_id").alias("again_id"), F.col("digest").alias("again_digest"), "first")
-        .distinct()
+        narrow.join(first, "digest").filter("page_id IS NULL OR page_id <> first")
+        .select(F.col("page_id").alias("again_id"), F.col("version").alias("again_version"), "first").distinct()
     )
-    marked = rows.withColumn("digest", F.sha1("payload")).join(
-        again, F.col("page_id").eqNullSafe(F.col("again_id")) & (F.col("digest") == F.col("again_digest")), "left"
+    marked = rows.withColumn("version", version).join(
+        again.hint("shuffle_hash"), F.col("page_id").eqNullSafe(F.col("again_id")) & (F.col("version") == F.col("again_version")), "left"
     )
 
     def run(batches):
@@ -123,8 +127,10 @@ def write_archives(
 
     (
         marked.select("page_id", "url", "payload", "first").mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value"))
-        .write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", records_per_file).text(path)
+        .write.option("lineSep", END).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+        .option("maxRecordsPerFile", records_per_file).text(path)
     )
+    drop(pages.sparkSession, at_narrow)
 
 
 RECORD = "name string, type string, origin string, number int, total long, refers_to string, digest string, uri string, block binary, problem string"
@@ -209,7 +215,7 @@ def _payload(block: bytes, digest: str | None, kind: str, problem: str | None) -
     except ValueError as error:
         return None, digest, f"chunked framing: {error}"
     own = base64.b32encode(hashlib.sha1(payload).digest()).decode()
-    return payload, own, None if digest in (None, own) else "the payload has another digest"
+    return (payload, own, None) if digest in (None, own) else (None, own, "the payload has another digest")
 
 
 PAGE = "name string, type string, uri string, refers_to string, digest string, payload binary, problem string"
@@ -235,8 +241,11 @@ def _swap(found: tuple) -> tuple:
 
 
 def _reassembled(table: pa.Table) -> pa.Table:
-    """One page from the segments of one origin: numbers without a gap, total length as announced, then the payload."""
-    parts, problem = {}, None
+    """A page from the segments of one origin: numbers without a gap, total length as announced, then the payload.
+
+    Where rows of pages repeat, each segment comes as many times, and so does the page.
+    """
+    parts, problem, times = {}, None, Counter(table.column("number").to_pylist())
     for row in table.to_pylist():
         problem = problem or row["problem"]
         if parts.setdefault(row["number"], row)["block"] != row["block"]:
@@ -249,15 +258,18 @@ def _reassembled(table: pa.Table) -> pa.Table:
     elif last["total"] != len(block):
         problem = problem or "the segments' total length is not what the last one says"
     done = _payload(block, first["digest"], first["type"], problem)
-    return pa.Table.from_batches([_page_rows([(first["origin"], first["type"], first["uri"], first["refers_to"], *_swap(done))])])
+    if len(set(times.values())) > 1:
+        done = (None, done[1], problem or "segments come a different number of times")
+    page = (first["origin"], first["type"], first["uri"], first["refers_to"], *_swap(done))
+    return pa.Table.from_batches([_page_rows([page] * min(times.values()))])
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """One row per response or revisit of the archives: ``name, type, uri, refers_to, digest, payload, problem``.
 
     Segments are grouped by the record they continue, ordered by number, checked against the announced total, joined, and freed
-    of chunked framing; a group is one page. Records in one piece need no shuffle. A broken record is not dropped: its
-    ``problem`` says what is wrong and its payload is null. Records of one name are one page.
+    of chunked framing; a group is one page, as often as it was written. Records in one piece need no shuffle. A broken record is not
+    dropped: its ``problem`` says what is wrong and its payload is null.
     """
     records = read_records(spark, path)
     single = records.filter("number IS NULL AND type IN ('response', 'revisit')").select("name", "type", "refers_to", "digest", "uri", "block", "problem")
