@@ -26,7 +26,8 @@ class Settings:
 
     ``train_rows`` and ``calibration_rows`` bound the labelled rows that weights and temperature are fitted on (their expected
     number: every row is drawn by a hash of its id, at a rate that gives each language the same share). Document frequencies
-    come from all labelled rows.
+    come from all labelled rows. The sample is fitted in as many shards as have ``shard_rows`` rows each, ``shards`` at most; a shard is passed over
+    until its mean loss falls by less than ``still`` of itself, ``passes`` times at most.
     """
 
     buckets: int = 1 << 16
@@ -34,12 +35,14 @@ class Settings:
     train_rows: int = 4000
     calibration_rows: int = 2000
     shards: int = 4
-    passes: int = 4
+    shard_rows: int = 500
+    passes: int = 40
+    still: float = 0.02
     alpha: float = 1.0
     beta: float = 0.1
     l1: float = 0.002
     l2: float = 0.01
-    max_labels: int = 1000
+    max_labels: int = 200
 
 
 @dataclass(frozen=True)
@@ -152,18 +155,24 @@ def ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], labels: int, settings:
         shrunk = np.sign(z) * np.maximum(np.abs(z) - settings.l1, 0)
         return -shrunk / ((settings.beta + np.sqrt(n)) / settings.alpha + settings.l2)
 
+    before = np.inf
     for _ in range(settings.passes):
+        loss = 0.0
         for bucket, x, label in rows:
             zb, nb = z[bucket], n[bucket]
             w = solve(zb, nb)
             logits = x @ w
             p = np.exp(logits - logits.max())
             p /= p.sum()
+            loss -= np.log(max(p[label], 1e-300))
             p[label] -= 1
             g = x[:, None] * p
             squares = nb + g * g
             z[bucket] = zb + g - (np.sqrt(squares) - np.sqrt(nb)) / settings.alpha * w
             n[bucket] = squares
+        if loss > (1 - settings.still) * before:
+            break
+        before = loss
     return solve(z, n)
 
 
@@ -205,10 +214,10 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
     rows = labelled.select(
         F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(label_col).cast("string").alias("label")
     ).filter("text IS NOT NULL AND label IS NOT NULL")
-    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().limit(settings.max_labels + 1).collect()}
     labels = tuple(sorted(counts))
     if len(labels) > settings.max_labels:
-        raise ValueError(f"{len(labels)} labels; at most {settings.max_labels} are taken")
+        raise ValueError(f"more than {settings.max_labels} labels")
     zero = np.zeros((settings.buckets + 1, len(labels)))
     if not labels:
         return Model(settings, labels, np.zeros(settings.buckets), zero, 1.0)
@@ -238,14 +247,14 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
         at = np.flatnonzero(w)
         return pa.table({"cell": pa.array(at, pa.int64()), "w": w.ravel()[at]})
 
-    shards = settings.shards
+    expected = sum(min(0.7 * c, per_train) for c in counts.values())
+    shards = max(1, min(settings.shards, int(expected // settings.shard_rows)))
     sums = (
         drawn.filter("draw < rate").withColumn("shard", (F.col("draw") * (1 << 30)).cast("long") % shards)
-        .groupBy("shard").applyInArrow(shard, "cell long, w double").groupBy("cell").agg(F.sum("w").alias("w")).collect()
-    )
+        .groupBy("shard").applyInArrow(shard, "cell long, w double").groupBy("cell").agg((F.sum("w") / shards).alias("w")).toArrow()
+    )  # only cells of weight, in two flat columns
     weights = zero.ravel()
-    for cell, w in sums:
-        weights[cell] = w / shards
+    weights[sums.column("cell").to_numpy()] = sums.column("w").to_numpy()
     model = Model(settings, labels, idf, weights.reshape(zero.shape), 1.0)
 
     def losses(batches):
