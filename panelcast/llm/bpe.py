@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import re
+from functools import lru_cache
 from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,9 +15,23 @@ from pyspark.sql import functions as F
 from panelcast.llm.staging import small_batches
 from panelcast.llm.tokens import ID, encode_ids, slices, special_strings, tokenizer
 
-#: Before a space that follows a visible ASCII character a word always ends: no alternative of the word pattern holds a
-#: blank other than as its first character, unless it is all blanks.
-_STABLE = re.compile(r"(?<=[!-~]) ")
+#: Where a word always ends: before a space that follows a visible character (no alternative of the word pattern holds a blank other than
+#: as its first character, unless it is all blanks), and before a letter that follows a sign other than an apostrophe.
+_STABLE = regex.compile(r"(?<=[\p{L}\p{N}\p{M}\p{P}\p{S}]) |(?<=[[\p{P}\p{S}]--'])\p{L}", regex.V1)
+#: A stretch that lies in one word.
+_ONE_WORD = regex.compile(r"\p{L}+|\p{N}+")
+
+
+@lru_cache(maxsize=2)
+def _sizes(path: str) -> np.ndarray:
+    """Bytes of each token: one per character of its name, but for special ones."""
+    loaded = tokenizer(path)
+    out = np.zeros(loaded.get_vocab_size(with_added_tokens=True), np.int64)
+    for name, i in loaded.get_vocab(with_added_tokens=True).items():
+        out[i] = len(name)
+    for i, token in loaded.get_added_tokens_decoder().items():
+        out[i] = len(token.content.encode())
+    return out
 
 
 class Piece:
@@ -30,6 +45,10 @@ class Piece:
         found = tokenizer(path).encode(text, add_special_tokens=False)
         return cls(text, np.array(found.ids, ID), np.array([a for a, _ in found.offsets], np.int64))
 
+    def whole(self, i: int, path: str) -> bool:
+        """Whether token ``i`` begins where a character does, and not within one."""
+        return int(_sizes(path)[self.ids[:i]].sum()) == len(self.text[: int(self.begins[i])].encode("utf-8", "surrogatepass"))
+
     def cut(self, start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
         a, b = np.searchsorted(self.begins, [start, end])
         return self.ids[a:b], self.begins[a:b]
@@ -51,7 +70,7 @@ def _first_two(text: str, reach: int) -> list[int]:
 
 
 def _whole_word(left: Piece, right: Piece, reach: int, path: str) -> tuple[int, int] | None:
-    """Token boundaries around the join such that all between lies in one run of letters or of digits."""
+    """Token boundaries around the join, at characters, such that all between lies in one run of letters or of digits."""
     specials = special_strings(path)
     longest = max(map(len, specials), default=1)
     seam = left.text[-longest + 1:] + right.text[: longest - 1]
@@ -63,7 +82,7 @@ def _whole_word(left: Piece, right: Piece, reach: int, path: str) -> tuple[int,
         return None
     start, end = int(left.begins[a]), int(right.begins[b])
     around = left.text[int(left.begins[a - 1]):] + right.text[: end + 1]
-    if around.isascii() and (around.isalpha() or around.isdigit()):
+    if _ONE_WORD.fullmatch(around) and left.whole(a, path) and right.whole(b, path):
         return start, end
     return None
 

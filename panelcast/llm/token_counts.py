@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-import re
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.llm.staging import small_batches
 from panelcast.llm.tokens import slices, tokenizer
 
-#: Where a word begins after a space or line break. The tokenizer drops blanks before it merges anything, so
-#: tokens on either side of such a place do not depend on each other.
-_STABLE = re.compile(r"(?<=[ \n])[0-9A-Za-z]")
+#: Where a word begins whatever stands around it: after a space or line break, at a digit (each is a word), and at a letter after a sign
+#: that is no apostrophe and no mark that could join a letter. Tokens on either side do not depend on each other.
+_STABLE = regex.compile(r"(?<=[ \n])\p{L}|\p{N}|(?<=[^\s\p{L}\p{N}\p{M}\p{C}\p{Z}'])\p{L}")
+#: A stretch that lies in one word.
+_ONE_WORD = regex.compile(r"\p{L}+|[^\s\p{L}\p{N}\p{M}\p{C}\p{Z}']+")
 #: Words whose number of tokens a worker remembers.
 REMEMBERED = 400_000
 
@@ -45,6 +47,9 @@ class _Chunk:
         self.start, self.end = start, end
         self.ids = np.array(found.ids, np.int64)
         self.begins = np.array([a for a, _ in found.offsets], np.int64) + start
+        ends = np.array([b for _, b in found.offsets], np.int64) + start
+        #: Whether a token begins where a character does; others begin within one.
+        self.whole = np.concatenate([[True], ends[:-1] <= self.begins[1:]])[: len(ends)]
 
     def before(self, place: int) -> int:
         return int(np.searchsorted(self.begins, place))
@@ -60,6 +65,23 @@ def _in_step(text: str, left: _Chunk, right: _Chunk) -> int | None:
             b - a == d - c and (left.ids[a:b] == right.ids[c:d]).all() and (left.begins[a:b] == right.begins[c:d]).all()
         ):
             return here
+    return _in_one_word(text, left, right)
+
+
+def _in_one_word(text: str, left: _Chunk, right: _Chunk) -> int | None:
+    """Where a token that both have begins, within one word longer than the overlap.
+
+    Neighbours in either encoding are neighbours in an encoding of some word; a sequence all of whose neighbours are is the word's
+    encoding. So up to a common token the left side's tokens hold, and from it on the right side's.
+    """
+    common, i, j = np.intersect1d(left.begins, right.begins, return_indices=True)  # the first token that begins at each place
+    fits = (i > 0) & (j > 0) & (i + 2 < len(left.ids)) & (j + 2 < len(right.ids))
+    i, j, common = i[fits], j[fits], common[fits]
+    good = (left.ids[i] == right.ids[j]) & left.whole[i] & right.whole[j] & left.whole[i + 1] & right.whole[j + 1]
+    good &= left.begins[i + 1] == right.begins[j + 1]
+    for a, b, place in zip(i[good].tolist(), j[good].tolist(), common[good].tolist()):
+        if _ONE_WORD.fullmatch(text, int(left.begins[a - 1]), int(right.begins[b + 2])):
+            return place
     return None
 
 
@@ -67,7 +89,7 @@ def count_long(text: str, path: str, chunk: int = 16_384, overlap: int = 256) ->
     """Tokens of a text, of which only about two chunks are encoded at a time.
 
     A chunk reaches ``overlap`` characters into the next one. Where the two are in step, the count changes over from one to the
-    other; if they are nowhere, the overlap is doubled and the first chunk encoded again, at worst to the end of the text.
+    other, between words or within a long one; if they are nowhere, the overlap is doubled and the first chunk encoded again.
     """
     total, start, at = 0, 0, 0  # `at`: what lies before is counted
     while True:

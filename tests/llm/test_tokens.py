@@ -1,17 +1,20 @@
 """Encoders, counts, packing and chat against the libraries on whole texts."""
 
+import hashlib
 import random
+import zlib
 
 import numpy as np
 import pytest
 from hypothesis import example, given, settings as hypothesis_settings
 from hypothesis import strategies as st
 
-from panelcast.llm import bpe, chat, packing, token_counts
+from panelcast.llm import bpe, chat, packing, queries, token_counts
 from panelcast.llm.queries import BYTES, RANKS, WORD_PIECES
 from panelcast.llm.tokens import encode_ids, tokenizer
 from tests.llm import plain
 
+SMALL = "/root/testdata/sf0.001"
 TEXTS = st.text(alphabet=st.sampled_from("abc deé'sl1, .\n\t\x85\xa0\x1c²<|>endoftxÜß漢字"), max_size=200)
 
 
@@ -56,6 +59,87 @@ def test_counts(text):
     assert token_counts.count_long(text, WORD_PIECES, chunk=40, overlap=4) == want
 
 
+SCRIPTS = {
+    "Cyrillic": ("абвгдежзиклмнопрстуфхцчшщыьэюя", " "), "Greek": ("αβγδεζηθικλμνξοπρσςτυφχψω", " "), "Chinese": ("的一是不了人我在有他这为之大来以个中上们", ""),
+    "Chinese with stops": ("的一是不了人我在有他这为之大来以个中上们。，", ""), "Arabic": ("ابتثجحخدذرزسشصضطظعغفقكلمنهوي", " "), "mixed": ("abcеёж漢字한글ñ。!'7é", " "),
+    "Hangul": ("가나다라마바사아자차카타파하", ""), "signs": ("=-#*~", ""), "emoji": ("😀😃🚀é", ""),
+}
+
+
+def script_text(name, n):
+    draw, (letters, blank) = random.Random(name), SCRIPTS[name]
+    if not blank:
+        return "".join(draw.choices(letters, k=n))
+    words = []
+    while sum(map(len, words)) + len(words) < n:
+        words.append("".join(draw.choices(letters, k=draw.randrange(1, 12))))
+    return blank.join(words)
+
+
+@pytest.mark.parametrize("name", sorted(SCRIPTS))
+def test_every_script_in_bounded_chunks(monkeypatch, name):
+    """Counts and ids are the library's, and nothing longer than twice a chunk is ever encoded at once."""
+    text, seen = script_text(name, 30_000), []
+    want_count, want_ids = len(tokenizer(WORD_PIECES).encode(text, add_special_tokens=False).ids), ids_of(text)
+
+    class Watched:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def __getattr__(self, key):
+            return getattr(self.inner, key)
+
+        def encode(self, text, **options):
+            seen.append(len(text))
+            return self.inner.encode(text, **options)
+
+    for module in (token_counts, bpe):
+        monkeypatch.setattr(module, "tokenizer", lambda path: Watched(tokenizer(path)))
+    assert token_counts.count_long(text, WORD_PIECES, chunk=2000, overlap=256) == want_count
+    assert max(seen) <= 4000
+    seen.clear()
+    pieces = [bpe.Piece.encode(p, BYTES) for p in bpe.halves(text, 2000)]
+    assert bpe.join_all(pieces, BYTES).ids.tolist() == want_ids
+    assert name in ("signs", "emoji") or max(seen) <= 4000
+
+
+@given(st.text(alphabet=st.sampled_from("абя漢字的了éÉÜß。!'s7 \n=İΣç\u0301"), min_size=30, max_size=300))
+@hypothesis_settings(max_examples=300, deadline=None)
+def test_other_scripts(text):
+    want = len(tokenizer(WORD_PIECES).encode(text, add_special_tokens=False).ids)
+    assert token_counts.count_long(text, WORD_PIECES, chunk=40, overlap=8) == want
+    parts = bpe.halves(text, 16)
+    assert bpe.join_all([bpe.Piece.encode(p, BYTES) for p in parts], BYTES).ids.tolist() == ids_of(text)
+
+
+def test_queries_against_the_libraries(spark):
+    """The queries' own columns over the whole test table."""
+    rows = {r["doc_id"]: r["text"] or "" for r in queries.table(spark, SMALL, "documents").collect()}
+    ids = {d: np.array(ids_of(t), "<u4") for d, t in rows.items()}
+    words = {d: len(tokenizer(WORD_PIECES).encode(t, add_special_tokens=False).ids) for d, t in rows.items()}
+    counts = {r["doc_id"]: (r["n_bytes"], r["n_tokens"], r["over_limit"]) for r in queries.op8_token_counts(spark, SMALL).collect()}
+    assert counts == {d: (len(t.encode()), words[d], words[d] > 2048) for d, t in rows.items()}
+    found = {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in queries.op9_bpe(spark, SMALL).collect()}
+    whole = tokenizer(BYTES)
+    assert found == {
+        d: (len(ids[d]), hashlib.sha256(ids[d].tobytes()).hexdigest(), hashlib.sha256(whole.decode(ids[d].tolist(), skip_special_tokens=False).encode()).hexdigest())
+        for d in rows
+    }
+    held, places = {}, {}
+    for r in queries.op1_packing(spark, SMALL).collect():
+        own = np.append(ids[r["doc_id"]], np.uint32(1)).astype("<u4")
+        assert r["doc_tokens"] == len(own) and r["ids_crc32"] == zlib.crc32(own[r["start"]: r["start"] + r["length"]].tobytes())
+        held.setdefault(r["doc_id"], []).append((r["start"], r["length"]))
+        places.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    assert held.keys() == rows.keys()
+    for d, pieces in held.items():
+        pieces.sort()
+        assert [s for s, _ in pieces] == [sum(n for _, n in pieces[:i]) for i in range(len(pieces))] and sum(n for _, n in pieces) == len(ids[d]) + 1
+    for pieces in places.values():
+        pieces.sort()
+        assert [o for o, _ in pieces] == [sum(n for _, n in pieces[:i]) for i in range(len(pieces))] and sum(n for _, n in pieces) <= 2048
+
+
 def test_edges(spark):
     rows = [(1, None), (2, ""), (3, "a b c"), (3, "a b c"), (None, "word " * 20_000), (4, "x" * 40_000)]
     docs = plain.documents(spark, rows)
