@@ -28,14 +28,14 @@ def exact_duplicates(
     stays, then that with the smallest id (a null id comes last).
 
     * Digests are written once; everything else reads this narrow table.
-    * A Misra-Gries summary (``tracked`` counters, merged over tasks) names at most ``candidates`` digests. Each
-      that fills more than a ``tracked``-th of all rows is sure to be among those counted. The true count and
-      the winner of every candidate are then aggregated from all rows; those of that share are broadcast, at
-      most ``candidates`` rows, and their documents leave the data before any shuffle.
-    * All other digests are grouped and joined by shuffle. None has more than that share of rows.
-
-    Null texts count as empty. A row that repeats both id and text is the same document and gets the same
-    answer. An empty table gives an empty result; columns other than the two named are not read.
+    * A Misra-Gries summary (``tracked`` counters, merged over tasks) names the ``candidates`` digests of the highest estimates; a
+      digest that fills more than a ``candidates``-th of all rows, and with room for what the counters err, is among them. The
+      true count and the winner of every candidate are then aggregated from all rows; those that fill more than a
+      ``tracked``-th are broadcast, at most ``candidates`` rows, and their documents leave the data before any shuffle.
+    * All other digests are grouped and joined by shuffle.
+
+    Null texts count as empty. Rows that repeat an id are told apart by their number of code points; a row that repeats both is
+    the same document and gets the same answer. An empty table gives an empty result; columns other than the two named are not read.
     """
     rows, _ = staged(
         docs.select(
@@ -45,7 +45,7 @@ def exact_duplicates(
         ),
         "digests",
     )
-    best = F.min(F.struct(-F.col("points"), F.col("doc_id").isNull(), F.col("doc_id"))).getField("doc_id").alias("keep_id")
+    best = F.min(F.struct((-F.col("points")).alias("less"), F.col("doc_id").isNull().alias("none"), "doc_id")).alias("best")
     summary = rows.agg(F.expr(f"approx_top_k(digest, {candidates}, {tracked})").alias("found"), F.count("*").alias("total"))
     named = summary.select("total", F.explode("found.item").alias("digest"))
     frequent = (
@@ -58,7 +58,5 @@ def exact_duplicates(
     heavy = rows.join(F.broadcast(winners), "digest")
     rest = rows.join(F.broadcast(winners.select("digest")), "digest", "left_anti")
     light = rest.join(rest.groupBy("digest").agg(best, F.count("*").alias("group_size")), "digest")
-    return heavy.unionByName(light).select(
-        "doc_id", "keep_id", "group_size",
-        F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("digest").alias("text_sha256"),
-    )
+    kept = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("points") == -F.col("best.less"))
+    return heavy.unionByName(light).select("doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", kept.alias("kept"), F.col("digest").alias("text_sha256"))
