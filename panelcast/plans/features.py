@@ -4,19 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
+from ..functions.time import seconds_between
 from ..functions.types import narrow_numeric
 from ..operators.clean import TripColumns, TripRules, clean_trips
 from ..operators.date_features import add_date_features, distinct_days
-from ..operators.densify import densify, time_axis
+from ..operators.densify import densify, time_axis, time_bounds
 from ..operators.history import add_history_features
 from ..session import cut_lineage
 from ..sources.tables import write_features
-from ..spec import PanelSpec
+from ..spec import DAY, PanelSpec
 from . import presets
 
 
+def grid_days(totals: DataFrame, spec: PanelSpec) -> DataFrame:
+    """The days that the grid of ``totals`` has a step on: with steps of a day or less, all between its bounds."""
+    if spec.step_seconds > DAY:
+        return distinct_days(time_axis(totals, spec), spec.time)
+    steps = F.floor(seconds_between(F.col("first_time"), F.col("last_time")) / spec.step_seconds)
+    last = F.col("first_time") + F.make_dt_interval(secs=steps * spec.step_seconds)
+    return time_bounds(totals, spec).select(F.explode(F.sequence(F.to_date("first_time"), F.to_date(last))).alias("day"))
+
+
 def panel_features(
     totals: DataFrame,
     spec: PanelSpec,
@@ -28,9 +38,7 @@ def panel_features(
     """Grid, trailing statistics, lags and calendar of per-step totals, in full precision."""
     grid = densify(totals, spec)
     history = add_history_features(grid, spec, intervals=intervals, lags=lags, horizon=horizon)
-    # The grid has every step between the bounds, so its days follow from the totals alone.
-    days = distinct_days(time_axis(totals, spec), spec.time)
-    return add_date_features(history, spec.time, holidays, days)
+    return add_date_features(history, spec.time, holidays, grid_days(totals, spec))
 
 
 def build_features(

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelcast.operators.densify import densify, duplicate_keys, time_axis
+from panelcast.plans.features import grid_days
 from panelcast.spec import PanelSpec
 
 START = datetime(2024, 1, 30, 22)
@@ -75,3 +76,14 @@ def test_session_zone_does_not_matter(spark):
         assert densify(df, spec).count() == 97 and time_axis(df, spec).count() == 97
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+@pytest.mark.parametrize("step", ["1h", "7h", "1d", "3d"])
+def test_days_of_the_grid(spark, step):
+    first = datetime(2024, 2, 27, 5)
+    rows = [("a", first, 1), ("b", first + timedelta(days=9, hours=20), 2), ("b", first + timedelta(hours=7), 3)]
+    spec = PanelSpec("v", "t", ("k",), step=step)
+    df = spark.createDataFrame(rows, "k string, t timestamp_ntz, v bigint")
+    want = {r[0] for r in time_axis(df, spec).selectExpr("to_date(t)").distinct().collect()}
+    got = [r["day"] for r in grid_days(df, spec).collect()]
+    assert set(got) == want and len(got) == len(want)
