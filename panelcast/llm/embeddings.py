@@ -31,8 +31,8 @@ class Settings:
     codewords: int = 256
     rounds: int = 8
     block: int = 2048
-    questions: int = 512
-    recall: float = 0.998
+    questions: int = 1024
+    recall: float = 1.0
     least_asked: int = 30
     few: int = 2048
 
@@ -115,7 +115,7 @@ def _lists(q: Quantiser, dims: int):
 SEARCH = "list int, block int, asks boolean, node long, copies long, vector binary, code binary, error double"
 
 
-#: Steps between no margin and the whole reach that are told apart.
+#: Steps between no part and the whole of a distance that are told apart.
 STEPS = 256
 
 
@@ -124,8 +124,9 @@ def _planes(q: Quantiser) -> np.ndarray:
     return 2 * np.sqrt(_squares(q.centroids, q.centroids))
 
 
-def _margins(q: Quantiser, dims: int, asked: np.ndarray, names: np.ndarray, reach: float, cosine: float):
-    """Links of the vectors ``asked`` with all others, by question and by how far the plane before the other's list lies, in steps of reach."""
+def _margins(q: Quantiser, dims: int, asked: np.ndarray, names: np.ndarray, cosine: float):
+    """Links of the vectors ``asked`` with all others, by question and by how far the plane before the other's list lies, in steps of the
+    distance between the two vectors: which does not depend on how near the links of the sample are."""
     planes, d2 = _planes(q), _squares(asked, q.centroids)
     near = d2.argmin(1)
 
@@ -134,12 +135,14 @@ def _margins(q: Quantiser, dims: int, asked: np.ndarray, names: np.ndarray, reac
         for batch in batches:
             if batch.num_rows:
                 y, nodes = _unit(batch.column(1).to_pylist(), dims), batch.column(0).to_numpy()
-                a, b = np.nonzero(asked @ y.T >= cosine)
+                alike = asked @ y.T
+                a, b = np.nonzero(alike >= cosine)
                 keep = names[a] != nodes[b]
-                a, lists = a[keep], _nearest(y, q.centroids)[b[keep]]
+                a, b = a[keep], b[keep]
+                lists, apart = _nearest(y, q.centroids)[b], np.sqrt(np.maximum(2 - 2 * alike[a, b], 1e-12))
                 gap = planes[near[a], lists]
                 away = np.divide(d2[a, lists] - d2[a, near[a]], gap, out=np.zeros(len(a)), where=gap > 0)
-                np.add.at(counts, (a, np.clip(np.ceil(away / reach * STEPS), 0, STEPS).astype(np.int64)), 1)
+                np.add.at(counts, (a, np.clip(np.ceil(away / apart * STEPS), 0, STEPS).astype(np.int64)), 1)
         who, step = np.nonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(who), pa.array(step), pa.array(counts[who, step])], names=["who", "step", "n"])
 
@@ -147,7 +150,11 @@ def _margins(q: Quantiser, dims: int, asked: np.ndarray, names: np.ndarray, reac
 
 
 def probe_margin(packed: DataFrame, q: Quantiser, dims: int, n: int, reach: float, settings: Settings) -> float:
-    """How far from a question the plane before a list may lie for the list to be probed; ``reach`` at most."""
+    """How far from a question the plane before a list may lie for the list to be probed; ``reach`` at most.
+
+    The direction from a vector to one that it links with is seldom that of a list, so the plane is a small part of their distance away.
+    That part is taken from the sample, and the distance from the farthest link there can be.
+    """
     rate = min(1.0, settings.questions / n)
     drawn = packed.filter(F.pmod(F.xxhash64("vector", F.lit(1)), F.lit(1 << 30)) < int(rate * (1 << 30))).select("node", "vector")
     asked = drawn.limit(4 * settings.questions).collect()  # a draw by hash has no more, but for chance
@@ -155,7 +162,7 @@ def probe_margin(packed: DataFrame, q: Quantiser, dims: int, n: int, reach: floa
         return reach
     names, unit = np.array([r["node"] for r in asked]), _unit([bytes(r["vector"]) for r in asked], dims)
     found = (
-        packed.select("node", "vector").mapInArrow(_margins(q, dims, unit, names, reach, settings.cosine), "who long, step long, n long")
+        packed.select("node", "vector").mapInArrow(_margins(q, dims, unit, names, settings.cosine), "who long, step long, n long")
         .groupBy("who", "step").agg(F.sum("n").alias("n")).collect()
     )
     counts = np.zeros((len(asked), STEPS + 1))
@@ -165,7 +172,7 @@ def probe_margin(packed: DataFrame, q: Quantiser, dims: int, n: int, reach: floa
     if len(counts) < settings.least_asked:
         return reach
     share = (counts / counts.sum(axis=1, keepdims=True)).mean(axis=0).cumsum()
-    return reach * min(STEPS, int(np.searchsorted(share, settings.recall)) + 1) / STEPS
+    return reach * min(STEPS, int(np.searchsorted(share, settings.recall - 1e-9)) + 1) / STEPS
 
 
 def _entries(q: Quantiser, dims: int, blocks: np.ndarray, far: np.ndarray, reach: float, margin: float, block_rows: int):
