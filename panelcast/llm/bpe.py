@@ -209,7 +209,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     def run(batches):
         for batch in batches:
             raw = batch.column(1).to_pylist()
-            for a, b in slices([r or b"" for r in raw], 16 << 20):
+            for a, b in slices([r or b"" for r in raw], 2 << 20):
                 texts = tokenizer(path).decode_batch([np.frombuffer(r or b"", ID).tolist() for r in raw[a:b]], skip_special_tokens=False)
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays(

@@ -64,7 +64,7 @@ def encode_ids(texts: list[str], path: str, ranks_path: str | None = None) -> li
     return out
 
 
-def slices(texts: list[str], most: int = 4 << 20):
+def slices(texts: list[str], most: int = 1 << 20):
     """Index ranges of ``texts`` with about ``most`` characters each, to bound what is encoded at once."""
     start = size = 0
     for i, text in enumerate(texts):
