@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelcast.operators.folds import assign_fold, held_out_rows, make_folds, train_rows
+from panelcast.operators import medians
 from panelcast.operators.medians import grouped_median
-from panelcast.operators.metrics import error_table, fold_metrics, forecast_metrics, mean_over_folds
+from panelcast.operators.metrics import backtest_errors, error_table, fold_metrics, forecast_metrics, mean_over_folds
 
 from helpers import close
 
@@ -130,3 +131,67 @@ def test_a_failed_fold_has_no_weighted_median_and_no_mean(spark, failure):
     assert set(mean_over_folds(per_fold).first()) == {None}
     sound = mean_over_folds(per_fold.where("split <> 1")).first()
     assert sound.medae == 1.0 and sound.medae_weighted == 1.0
+
+
+def test_values_close_together(spark, monkeypatch):
+    """One narrow range holds all values: it is cut again and again, and the result stays the exact median."""
+    rng = random.Random(21)
+    rows = [("a", 1000 + rng.random() * 5) for _ in range(3001)] + [("b", 7.0)] * 2000 + [("b", 7.0 + rng.random() * 1e-9) for _ in range(999)]
+    rows += [("c", 0.0)] * 10 + [("c", 5e-324), ("d", 1e300), ("d", 1.1e300), (None, 3.0), (None, 4.0), (None, 4.0)]
+    df = spark.createDataFrame(rows, "k string, x double").repartition(5)
+    want = {k: statistics.median([x for kk, x in rows if kk == k]) for k in ("a", "b", "c", "d", None)}
+    for small in (50, 10**6):
+        monkeypatch.setattr(medians, "SMALL", small)
+        assert {r.k: r["median"] for r in grouped_median(df, ["k"], F.col("x")).collect()} == want
+
+
+def test_weights_of_any_size(spark):
+    rng = random.Random(22)
+    groups = {"huge": 10.0**17, "tiny": 1e-200, "one": 1.0}
+    rows = [(k, rng.randrange(30) * 1.5, scale * rng.choice([1, 2, 5, 0.25])) for k, scale in groups.items() for _ in range(301)]
+    rows += [("one", 99.0, 0.0), ("one", 99.0, -1.0), ("one", 99.0, None), ("one", None, 1.0), ("none", 1.0, 0.0)]
+    for k in groups:
+        df = spark.createDataFrame([r for r in rows if r[0] in (k, "none")], "k string, x double, w double")
+        got = {r.k: r["median"] for r in grouped_median(df, ["k"], F.col("x"), F.col("w")).collect()}
+        pairs = sorted((x, w) for kk, x, w in rows if kk == k and x is not None and w is not None and w > 0)
+        total, upto, reached, passed = sum(w for _, w in pairs), 0.0, None, None
+        for x, w in pairs:
+            upto += w
+            reached = x if reached is None and 2 * upto >= total * (1 - 1e-12) else reached
+            passed = x if passed is None and 2 * upto > total * (1 + 1e-12) else passed
+        assert got == {k: (reached + passed) / 2}
+
+
+def test_grouping_sets_keep_null_groups_apart(spark):
+    rows = [(0, "a", 1.0), (0, None, 3.0), (1, None, 9.0), (None, "a", 5.0), (1, "a", 2.0)]
+    values = spark.createDataFrame(rows, "split int, series string, _v double")
+    got = medians.medians_of_sets(values, [["split", "series"], ["series"], ["split"]]).collect()
+    both, series, split = ([r for r in got if r._set == medians.set_id(s, ["split", "series"])] for s in (["split", "series"], ["series"], ["split"]))
+    assert {(r.split, r.series): r["median"] for r in both} == {(s, k): v for s, k, v in rows}
+    assert {r.series: r["median"] for r in series} == {"a": 2.0, None: 6.0} and {r.split: r["median"] for r in split} == {0: 2.0, 1: 5.5, None: 5.0}
+
+
+def test_all_tables_of_a_backtest(spark, results, data):
+    """One pass gives what the tables give one by one."""
+    errors = backtest_errors(results, "series", "y")
+    by_split, by_series = forecast_metrics(results, "series", "y")
+    assert errors.by_split.collect() == by_split.collect() and errors.by_series.collect() == by_series.collect()
+    folds = fold_metrics(results, "y").orderBy("split").collect()
+    assert errors.folds.collect() == folds
+    (mean,) = errors.mean.collect()
+    assert all(close(mean[m], sum(r[m] for r in folds) / len(folds)) for m in ("rmse", "medae", "mape", "medae_weighted"))
+
+
+def test_few_rows_are_shuffled_for_a_median(spark):
+    """Beside the histogram, only the rows of the middle range."""
+    df = spark.range(200_000).selectExpr("id % 3 AS k", "pow(rand(5), 3) * 1e6 AS x")
+    rows = []
+    original = medians._middle
+    found = grouped_median(df, ["k"], F.col("x"))
+    try:
+        medians._middle = lambda ranges, part, order: rows.append(ranges) or original(ranges, part, order)
+        found = grouped_median(df, ["k"], F.col("x"))
+        assert found.count() == 3
+        assert rows[-1].count() < 20_000  # distinct values of the last middle ranges
+    finally:
+        medians._middle = original
