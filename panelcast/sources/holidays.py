@@ -47,33 +47,34 @@ def lunar_day(year: int, month: int, day: int) -> date:
     return BEFORE_FIRST + timedelta(days=354 * (year - 1) + leap_days + 29 * (month - 1) + month // 2 + day)
 
 
-def feast_starts(year: int, feast: tuple[int, int, int]) -> list[date]:
-    """First days of a feast in a year, none to two of them: as announced where that is known, else by the tabular calendar."""
+def feast_starts(year: int, feast: tuple[int, int, int], computed: bool = True) -> list[date]:
+    """First days of a feast in a year, none to two of them: as announced where that is known, else by the tabular calendar, if ``computed``."""
     announced = RAMADAN_FEAST if feast is SHAWWAL_1 else SACRIFICE_FEAST
     if announced[0].year <= year <= announced[-1].year:
         return [first for first in announced if first.year == year]
+    if not computed:
+        return []
     month, day, _ = feast
     about = (year - 622) * 33 // 32
     days = (lunar_day(lunar, month, day) for lunar in range(max(1, about - 1), about + 3))
     return [first for first in days if first.year == year]
 
 
-def holiday_days(years: Iterable[int], feasts: bool = True) -> list[date]:
-    """Full public holidays of the years given, in order."""
+def holiday_days(years: Iterable[int], computed: bool = True) -> list[date]:
+    """Full public holidays of the years given, in order; ``computed`` feasts are those not known as announced."""
     years = sorted(set(years))
     days = {date(y, m, d) for y in years for m, d, begins in FIXED_DATES if y >= begins}
-    if feasts:
-        for feast in (SHAWWAL_1, DHU_AL_HIJJA_10):
-            # A feast that begins in the last days of a year goes on in the next.
-            starts = [first for y in {x + back for x in years for back in (-1, 0)} for first in feast_starts(y, feast)]
-            days.update(first + timedelta(days=i) for first in starts for i in range(feast[2]))
+    for feast in (SHAWWAL_1, DHU_AL_HIJJA_10):
+        # A feast that begins in the last days of a year goes on in the next.
+        starts = [first for y in {x + back for x in years for back in (-1, 0)} for first in feast_starts(y, feast, computed)]
+        days.update(first + timedelta(days=i) for first in starts for i in range(feast[2]))
     return sorted(day for day in days if day.year in years)
 
 
 def turkish_holidays(spark: SparkSession, years: Iterable[int], without_feasts: bool = False) -> DataFrame:
     """Full public holidays of the years given.
 
-    Movable feasts are as announced for 2010 to 2026 and computed for other years; ``without_feasts`` leaves them out.
+    Movable feasts are as announced for 2010 to 2026 and computed for other years; ``without_feasts`` leaves the computed ones out.
     """
     days = holiday_days(years, not without_feasts)
     return spark.createDataFrame(pa.table({"day": pa.array(days, pa.date32())}))
