@@ -129,6 +129,25 @@ def test_line_variants(spark):
     assert all(r["kept"] == ((r["doc_id"], r["line_no"]) == (r["keep_doc_id"], r["keep_line_no"])) for r in found)
 
 
+def test_recall_of_bands_by_similarity():
+    """Of pairs of lines at a similarity, the share that has a band in common."""
+    draw, letters, pairs = random.Random(1), "abcdefghijklmnopqrstuvwxyz     ", {0.8: [], 0.85: [], 0.9: []}
+    while min(map(len, pairs.values())) < 400:
+        a = "".join(draw.choices(letters, k=draw.randrange(60, 400))).strip()
+        b = list(a)
+        for _ in range(draw.randrange(1, max(2, len(b) // 28))):
+            b[draw.randrange(len(b))] = draw.choice(letters)
+        b = "".join(b).strip()
+        alike = line_dedup.jaccard(line_dedup.shingles(a, 5), line_dedup.shingles(b, 5))
+        for low, found in pairs.items():
+            if low <= alike < low + 0.02 and len(found) < 400:
+                found.append((a, b))
+    settings = line_dedup.Settings()
+    for low, least in ((0.8, 0.97), (0.85, 0.99), (0.9, 0.998)):
+        left, right = (line_dedup.band_keys(line_dedup.signatures(list(side), settings), settings) for side in zip(*pairs[low]))
+        assert (left == right).any(axis=1).mean() >= least
+
+
 def test_signature_in_stretches(monkeypatch):
     draw = random.Random(2)
     lines = ["".join(draw.choices("abcdef ", k=k)) for k in (1, 4, 5, 6, 100, 700)]

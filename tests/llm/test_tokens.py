@@ -3,6 +3,7 @@
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -170,6 +171,20 @@ def test_packing(spark):
     assert packing.pack(plain.documents(spark, []), BYTES).count() == 0
 
 
+def test_packing_of_odd_rows(spark):
+    """Rows that repeat an id or have none are packed each for itself; every id of every row lies in one piece."""
+    texts = [None, "", "a b c", "a b c", "x" * 30_000, "word " * 3000, "漢字 é <|endoftext|> ok"]
+    rows = [(doc, text) for doc in (7, 7, None, -3) for text in texts]
+    pieces = packing.pack(plain.documents(spark, rows).repartition(3), BYTES, ranks_path=RANKS).collect()
+    want, got = Counter(), Counter()
+    for doc, text in rows:
+        ids = [*ids_of(text or ""), 1]
+        want.update((doc, at, i, len(ids)) for at, i in enumerate(ids))
+    for p in pieces:
+        got.update((p["doc_id"], p["start"] + at, i, p["doc_tokens"]) for at, i in enumerate(np.frombuffer(p["ids"], "<u4").tolist()))
+    assert got == want
+
+
 @given(st.lists(st.integers(1, 100), max_size=60), st.integers(1, 9))
 @hypothesis_settings(max_examples=60, deadline=None)
 def test_differencing(sizes, ways):
