@@ -83,9 +83,13 @@ def split_lines(text: str):
             yield number, line
 
 
-def _digest(line: str) -> tuple[int, int]:
-    raw = xxhash.xxh3_128_digest(line.encode("utf-8", "surrogatepass"))
-    return int.from_bytes(raw[:8], "little", signed=True), int.from_bytes(raw[8:], "little", signed=True)
+def _digest(line: str) -> bytes:
+    """128 bits; the first half is a line's id, the second tells lines apart that share it."""
+    return xxhash.xxh3_128_digest(line.encode("utf-8", "surrogatepass"))
+
+
+def _ids(fresh: dict[bytes, str]) -> np.ndarray:
+    return np.frombuffer(b"".join(fresh), "<i8")
 
 
 def _hashes(codes: np.ndarray, width: int) -> np.ndarray:
@@ -187,16 +191,22 @@ def band_keys(signature: np.ndarray, settings: Settings) -> np.ndarray:
     return key.view(np.int64)
 
 
+def _fresh(batch) -> dict[bytes, str]:
+    """The lines of a batch of texts by their ids, each once."""
+    fresh: dict[bytes, str] = {}
+    for text in batch.column(0).to_pylist():
+        for _, line in split_lines(text or ""):
+            fresh.setdefault(_digest(line)[:8], line)
+    return fresh
+
+
 def _band_rows(settings: Settings):
     def run(batches):
         for batch in batches:
-            fresh: dict[int, str] = {}
-            for text in batch.column(0).to_pylist():
-                for _, line in split_lines(text or ""):
-                    fresh.setdefault(_digest(line)[0], line)
+            fresh = _fresh(batch)
             if fresh:
                 keys = band_keys(signatures(list(fresh.values()), settings), settings)
-                ids = np.repeat(np.fromiter(fresh, np.int64, len(fresh)), settings.bands)
+                ids = np.repeat(_ids(fresh), settings.bands)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(ids)], names=["key", "id"])
 
     return run
@@ -272,12 +282,9 @@ LINES = "id long, line string, n int, sketch binary"
 def _line_rows(batches):
     """``id, line`` of the lines of texts, once per batch."""
     for batch in batches:
-        fresh: dict[int, str] = {}
-        for text in batch.column(0).to_pylist():
-            for _, line in split_lines(text or ""):
-                fresh.setdefault(_digest(line)[0], line)
+        fresh = _fresh(batch)
         if fresh:
-            yield pa.RecordBatch.from_arrays([pa.array(list(fresh), pa.int64()), pa.array(list(fresh.values()), pa.string())], names=["id", "line"])
+            yield pa.RecordBatch.from_arrays([pa.array(_ids(fresh)), pa.array(list(fresh.values()), pa.string())], names=["id", "line"])
 
 
 def _sketched(settings: Settings):
@@ -294,12 +301,15 @@ def _sketched(settings: Settings):
 
 def _occurrences(batches):
     for batch in batches:
-        rows = [
-            (doc, version, number, *_digest(line))
-            for doc, version, text in zip(*(batch.column(i).to_pylist() for i in range(3))) for number, line in split_lines(text or "")
-        ]
-        columns = list(zip(*rows)) or [()] * 5
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "version", "line_no", "id", "check"])
+        rows, numbers, digests = [], [], []
+        for row, text in enumerate(batch.column(2).to_pylist()):
+            for number, line in split_lines(text or ""):
+                rows.append(row)
+                numbers.append(number)
+                digests.append(_digest(line))
+        halves, at = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2), pa.array(rows, pa.int64())
+        columns = [batch.column(0).take(at), batch.column(1).take(at), pa.array(numbers, pa.int64()), *(pa.array(halves[:, i].copy()) for i in (0, 1))]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "version", "line_no", "id", "check"])
 
 
 class _Line:
@@ -409,7 +419,7 @@ def line_links(docs: DataFrame, text_col: str, settings: Settings) -> DataFrame:
         "buckets",
     )
     lines, at_lines = staged(
-        texts.mapInArrow(_line_rows, "id long, line string").join(buckets.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
+        texts.mapInArrow(_line_rows, "id long, line string").join(buckets.select("id").distinct().hint("shuffle_hash"), "id", "left_semi").dropDuplicates(["id"])
         .mapInArrow(_sketched(settings), LINES),
         "lines",
     )
