@@ -200,13 +200,13 @@ def _moments(d: str) -> str:
     fine = f"{mean} * {mean} <= {CONDITION} * (CAST({yy} AS DOUBLE) / {n} - {mean} * {mean})"
     own, exact = plain(all_powers), centred(about(all_powers))
     parts = {
-        "v": f"CASE WHEN fine THEN {plain(seconds)[0]} ELSE {centred(about(seconds))[0]} END",
-        **{f"m{k + 2}": f"CASE WHEN fine THEN {own[k]} ELSE {exact[k]} END" for k in range(3)},
+        "v": f"CASE WHEN {fine} THEN {plain(seconds)[0]} ELSE {centred(about(seconds))[0]} END",
+        **{f"m{k + 2}": f"CASE WHEN {fine} THEN {own[k]} ELSE {exact[k]} END" for k in range(3)},
         "top": f"CAST(CAST({d}.n AS decimal(20,0)) * {d}.ty - CAST({d}.t AS decimal(20,0)) * {y} AS DOUBLE)",
         "low": f"CAST(CAST({d}.n AS decimal(20,0)) * {d}.tt - CAST({d}.t AS decimal(20,0)) * {d}.t AS DOUBLE)",
         "level": f"CAST(floor(log2({d}.rows)) AS INT)",
     }
-    fields = ", ".join(f"'{part}', {sql.replace('WHEN fine', f'WHEN {fine}')}" for part, sql in parts.items())
+    fields = ", ".join(f"'{part}', {sql}" for part, sql in parts.items())
     return f"CASE WHEN {d}.n > 0 THEN named_struct({fields}) END"
 
 
