@@ -3,8 +3,10 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from panelcast.operators.clean import clean_trips
 from panelcast.operators.densify import densify, duplicate_keys, time_axis
 from panelcast.plans.features import grid_days
+from panelcast.plans.presets import RAIL_TRIPS
 from panelcast.spec import PanelSpec
 
 START = datetime(2024, 1, 30, 22)
@@ -87,3 +89,24 @@ def test_days_of_the_grid(spark, step):
     want = {r[0] for r in time_axis(df, spec).selectExpr("to_date(t)").distinct().collect()}
     got = [r["day"] for r in grid_days(df, spec).collect()]
     assert set(got) == want and len(got) == len(want)
+
+
+def test_totals_are_not_filtered_record_by_record(spark):
+    """Names and hours of raw trips are read once per raw code, day and hour, whatever densify then asks of them."""
+    raw = spark.range(100).selectExpr(
+        "'2024-01-0' || (1 + id % 3) AS transition_date", "CAST(0 AS INT) AS transition_hour", "'M1' AS line_name",
+        "'OTOGAR ' || (1 + id % 2) AS station_poi_desc_cd", "id AS number_of_passage", "'RAYLI' AS road_type",
+    )
+    spec = PanelSpec("passage", "timestamp", ("line_name", "station"), step="1d")
+    grid = densify(clean_trips(raw, RAIL_TRIPS), spec)
+    plan = grid._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if line.lstrip(" :+-").startswith("Filter")]
+    assert filters and not any("replace(" in line for line in filters)
+    assert grid.count() == 6 and grid.where("was_null = 1").count() == 0
+
+
+def test_keys_of_nan_are_no_observations(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(START, 1.0, 5), (START, nan, 6), (START, None, 7)], "ts timestamp_ntz, k double, v bigint")
+    got = {str(r.k): (r.v, r.was_null) for r in densify(df, PanelSpec("v", "ts", ("k",))).collect()}
+    assert got == {"1.0": (5, 0), "nan": (None, 1), "None": (None, 1)}
