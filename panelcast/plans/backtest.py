@@ -161,16 +161,19 @@ def fit_trees(train: DataFrame, settings: BoostingSettings) -> GBTRegressionMode
     ).fit(train)
 
 
-def _one_fold(table: DataFrame, spec: PanelSpec, fold: Fold, keep: Sequence[str], settings: BoostingSettings, at_once: int) -> DataFrame:
+def _one_fold(table: DataFrame, spec: PanelSpec, fold: Fold, keep: Sequence[str], settings: BoostingSettings) -> DataFrame:
     """Fit on what lies before the fold, predict the fold; its rows with ``prediction``, written."""
     train = train_rows(table, spec.time, fold)
     average, rows = train.agg(F.avg("_label"), F.count(F.lit(1))).first()
     if average is None:
         raise ValueError(f"no row to train on up to {fold.start}")
     # A tree takes several small jobs: more tasks than these would cost more than they save.
-    tasks = max(1, table.sparkSession.sparkContext.defaultParallelism // at_once, -(-rows // ROWS_PER_TASK))
+    tasks = max(1, -(-rows // ROWS_PER_TASK))
     means = cut_lineage(key_means(train, spec, average, settings), "key-means")
     inputs = with_key(train, means, average, spec).select("_inputs", "_label", "_weight").repartition(tasks)
+    # Every task of a tree is sent the lineage of its rows: from written rows it is short.
+    checkpoint_dir(table.sparkSession)
+    inputs = inputs.checkpoint()
     model = fit_trees(inputs, settings)
     value = F.expm1("_raw") if settings.log_target else F.col("_raw")
     scored = model.transform(with_key(held_out_rows(table, spec.time, fold), means, average, spec))
@@ -193,7 +196,7 @@ def backtest(
     def run(i: int, fold: Fold) -> DataFrame:
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"fold-{i}")
         try:
-            return _one_fold(table, spec, fold, keep, settings, at_once).withColumn(split, F.lit(i))
+            return _one_fold(table, spec, fold, keep, settings).withColumn(split, F.lit(i))
         finally:
             spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
 

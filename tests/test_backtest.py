@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from panelcast.operators.folds import make_folds
 from panelcast.operators.history import add_history_features
 from panelcast.plans.backtest import (
-    BINS, BoostingSettings, FeatureBins, backtest, joined_key, key_means, run_backtest_job, training_table, with_key, with_label,
+    BINS, BoostingSettings, FeatureBins, backtest, fit_trees, joined_key, key_means, run_backtest_job, training_table, with_key, with_label,
 )
 from panelcast.session import checkpoint_dir
 from panelcast.sources.tables import write_features
@@ -130,3 +130,21 @@ def test_training_table_is_in_order_of_time(spark):
     assert table.count() == 100 and table.columns == ["key", "t", "v", "f", "_label", "_weight", "_features"]
     plan = table.where("t <= timestamp_ntz'2024-01-02'")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(t), LessThanOrEqual(t" in plan
+
+
+def test_trees_are_fitted_from_written_rows(spark, monkeypatch):
+    """The many small jobs of a fit carry no plan of how their rows came about, and no more tasks than the rows need."""
+    seen = []
+
+    def fit(train, settings):
+        seen.append((train._jdf.queryExecution().executedPlan().toString(), train.rdd.getNumPartitions(), train.count()))
+        return fit_trees(train, settings)
+
+    monkeypatch.setattr("panelcast.plans.backtest.fit_trees", fit)
+    first = datetime(2024, 1, 1)
+    df = spark.createDataFrame([(k, first + timedelta(days=i), i + 1, float(i)) for i in range(20) for k in "ab"], "key string, t timestamp_ntz, v bigint, f double")
+    folds = make_folds(first + timedelta(days=19), 1, 5)
+    assert backtest(df, PanelSpec("v", "t", ("key",), step="1d"), folds, BoostingSettings(n_estimators=1, min_rows_per_leaf=1)).count() == 10
+    ((plan, tasks, rows),) = seen
+    assert "ExistingRDD" in plan and not any(word in plan for word in ("Exchange", "FileScan", "Join"))
+    assert (tasks, rows) == (1, 30)
