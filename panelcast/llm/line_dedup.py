@@ -137,6 +137,13 @@ def _mixed(h: np.ndarray, turn: int) -> np.ndarray:
     return g
 
 
+def _share(g: np.ndarray, n: int) -> np.ndarray:
+    """``g * n >> 32``: which of ``n`` equal parts of all hashes each lies in."""
+    if n > 1 and n & (n - 1) == 0:
+        return g >> np.uint32(33 - n.bit_length())
+    return (g.astype(np.uint64) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
+
+
 def _dealt(out: np.ndarray, at: np.ndarray, h: np.ndarray, turns: range) -> tuple[np.ndarray, np.ndarray]:
     """Fill values of ``out`` from shingles' hashes ``h`` and lines ``at``; returns those of lines with values left over."""
     lines, n = out.shape
@@ -144,7 +151,7 @@ def _dealt(out: np.ndarray, at: np.ndarray, h: np.ndarray, turns: range) -> tupl
         now = np.full(lines * n, NONE, np.uint32)
         for start in range(0, len(h), STRETCH):
             own, g = at[start: start + STRETCH], _mixed(h[start: start + STRETCH], turn)
-            np.minimum.at(now, own * n + (g.astype(np.uint64) * np.uint64(n) >> np.uint64(32)).astype(np.int64), g)
+            np.minimum.at(now, own * n + _share(g, n), g)
         empty = out == NONE
         out[empty] = now.reshape(lines, n)[empty]
         take = (out == NONE).any(axis=1)[at]
@@ -212,6 +219,20 @@ def _band_rows(settings: Settings):
     return run
 
 
+def _longer(batches, rows: int = 1 << 16):
+    """The two columns of small batches as arrays of about ``rows`` rows: the work on an array costs about the same for a thousand rows."""
+    held, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+            size += batch.num_rows
+        if size >= rows:
+            yield tuple(map(np.concatenate, zip(*held)))
+            held, size = [], 0
+    if held:
+        yield tuple(map(np.concatenate, zip(*held)))
+
+
 def _buckets(batches):
     """Members of keys that several lines share, from rows sorted by key: ``key, leader, id``, where the leader is any member.
 
@@ -219,10 +240,7 @@ def _buckets(batches):
     """
     key_before = leader_before = None
     given = False  # whether that leader was given away
-    for batch in batches:
-        key, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        if not len(key):
-            continue
+    for key, ids in _longer(batches):
         starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         leaders = ids[starts]
         goes_on = key_before is not None and key[0] == key_before
@@ -316,11 +334,17 @@ class _Line:
     """A line whose shingles are packed when they are first asked for."""
 
     def __init__(self, line: str, width: int) -> None:
-        self.line, self.width, self.packed, self.plain = line, width, packed_shingles(line, width), None
+        self.line, self.width, self.asked, self.packed, self.plain = line, width, False, None, None
+
+    def _packed(self) -> np.ndarray | None:
+        if not self.asked:
+            self.asked, self.packed = True, packed_shingles(self.line, self.width)
+        return self.packed
 
     def like(self, other: _Line) -> float:
-        if self.packed is not None and other.packed is not None:
-            return packed_jaccard(self.packed, other.packed)
+        a, b = self._packed(), other._packed()
+        if a is not None and b is not None:
+            return packed_jaccard(a, b)
         for side in (self, other):  # short lines, and characters of scripts beyond the packed ones
             side.plain = side.plain or shingles(side.line, side.width)
         return jaccard(self.plain, other.plain)
@@ -381,8 +405,11 @@ def _scan(settings: Settings):
                 while own in root:
                     own = root[own]
                 mine = _Line(line, width)
-                close = np.flatnonzero((labels[:size] != own) & near(n[:size], held[:size], counts[i], bits[i], similarity))
+                # Most held rows are of the same component by now; sketches are compared with the others only.
+                close = np.flatnonzero(labels[:size] != own)
                 if len(close):
+                    close = close[near(n[close], held[close], counts[i], bits[i], similarity)]
+                if len(close) > 1:
                     close = close[np.argsort(np.bitwise_count(held[close] ^ bits[i]).sum(axis=1), kind="stable")]
                 for j in close.tolist():
                     if labels[j] != own and mine.like(lines[j]) >= similarity:

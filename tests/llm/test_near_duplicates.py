@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings as hypothesis_settings
 from hypothesis import strategies as st
@@ -252,3 +253,55 @@ def test_packed_shingles(a, b):
         assert line_dedup.packed_jaccard(*packed) == line_dedup.jaccard(*plain_sets)
     if packed[0] is not None:
         assert len(packed[0]) == len(plain_sets[0])
+
+
+def _member_batches(rows, size):
+    """Batches as ``_scan`` reads them: key, block, asks, component, id, line and its sketch."""
+    counts, bits = line_dedup.sketches([r[5] for r in rows], 5)
+    for i in range(0, len(rows), size):
+        part = rows[i: i + size]
+        arrays = [pa.array(c) for c in zip(*part)]
+        yield pa.RecordBatch.from_arrays(
+            [*arrays, pa.array(counts[i: i + size]), pa.array([b.tobytes() for b in bits[i: i + size]], pa.binary())],
+            names=["key", "block", "asks", "component", "id", "line", "n", "sketch"],
+        )
+
+
+def test_scan_packs_only_lines_it_compares(monkeypatch):
+    rng, packed = random.Random(5), []
+    pack = line_dedup.packed_shingles
+    monkeypatch.setattr(line_dedup, "packed_shingles", lambda line, width: packed.append(line) or pack(line, width))
+
+    def line():
+        return "".join(rng.choice("abcdefghijklmnop ") for _ in range(200))
+
+    twin = line()
+    rows = [(1, 0, False, i, i, line()) for i in range(20)] + [(2, 0, False, 30, 30, twin), (2, 0, False, 31, 31, line()), (2, 0, False, 32, 32, twin + "x")]
+    links = [(r["a"], r["b"]) for b in line_dedup._scan(line_dedup.Settings())(_member_batches(rows, 7)) for r in b.to_pylist()]
+    assert links == [(32, 30)] and sorted(packed) == sorted([twin, twin + "x"])
+
+
+def test_buckets_of_any_batches():
+    """Keys that go on from batch to batch, also past the number of rows looked at together; one leader to a key."""
+    rng = np.random.default_rng(3)
+    key = np.sort(np.concatenate([rng.integers(0, 60_000, 100_000), np.full(90_000, 30_000)]))
+    ids = rng.integers(0, 5_000, len(key))
+
+    def found(size):
+        batches = (pa.RecordBatch.from_arrays([pa.array(key[i: i + size]), pa.array(ids[i: i + size])], names=["key", "id"]) for i in range(0, len(key), size))
+        out = list(line_dedup._buckets(batches))
+        return len(out), sorted((r["key"], r["leader"], r["id"]) for b in out for r in b.to_pylist())
+
+    (few, rows), (_, whole) = found(1000), found(len(key))
+    members: dict[int, list[int]] = {}
+    for k, i in zip(key.tolist(), ids.tolist()):
+        members.setdefault(k, []).append(i)
+    expected = sorted((k, m[0], i) for k, m in members.items() if len(set(m)) > 1 for i in [m[0], *(x for x in m if x != m[0])])
+    assert rows == whole == expected and few <= 4
+
+
+def test_shares_of_hashes():
+    g = np.random.default_rng(2).integers(0, 1 << 32, 5000, dtype=np.uint32)
+    g[:2] = 0, (1 << 32) - 1
+    for n in (1, 2, 3, 48, 64, 128):
+        assert line_dedup._share(g, n).tolist() == [x * n >> 32 for x in g.tolist()]
